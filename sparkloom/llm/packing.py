@@ -20,6 +20,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,39 +40,70 @@ SEED = 77
 
 #: Texts of these characters only (printable ASCII and Latin-1, and white space) take the cached path.
 _PLAIN = re.compile(r"[^\t-\r\x20-\x7e¡-¬®-ÿ]")
+#: The pre-tokenizer's words in lower-cased text of those characters: letters, a number, a contraction, anything else.
+_WORDS = re.compile(r"[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+").findall
 
 
 class WordTokenizer:
     """Token ids as little-endian unsigned 32-bit bytes.
 
-    The vocabulary's pre-tokenizer splits a text into words that are encoded independently, so ids
-    are cached by word. Texts outside Latin-1, where case folding and normalisation differ between
-    libraries, go to the tokenizer whole.
+    The vocabulary's pre-tokenizer splits a text at white space and then into words that are encoded
+    independently, so ids are cached by run of non-space characters. Words not seen yet are encoded as one long text
+    and told apart by their last tokens, which alone carry the end-of-word mark. Texts outside Latin-1, where
+    case folding and normalisation differ between libraries, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+        # the same merges without normaliser and pattern, for words that are lower-cased and split already
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.model._resize_cache(0)  # words come once only
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 3, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
         self.most = most
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _merged(self, words: list[str], some: int = 200) -> np.ndarray:
+        """Short texts: the tokenizer's time per word grows with the text."""
+        texts = [" ".join(words[i : i + some]) for i in range(0, len(words), some)]
+        return np.concatenate([np.empty(0, "<u4")] + [np.asarray(e.ids, "<u4") for e in self.merger.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _learn(self, runs: list[str]) -> None:
+        split = [_WORDS(run) for run in map(str.lower, runs)]
+        words = list(chain.from_iterable(split))
+        ids = self._merged(words)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):  # no vocabulary of this kind: one by one
+            for run, part in zip(runs, split, strict=True):
+                self.cache[run] = b"".join(self._whole(w).tobytes() for w in part)
+            return
+        last = (ends[np.cumsum(np.fromiter(map(len, split), np.int64, len(split))) - 1] * 4).tolist()
+        self.cache.update(zip(runs, map(ids.tobytes().__getitem__, map(slice, [0, *last[:-1]], last)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.words(t.lower()) if _PLAIN.search(t) is None else None for t in texts]
+        split = [t.split() if _PLAIN.search(t) is None else None for t in texts]
         if len(self.cache) > self.most:
             self.cache.clear()
         cache = self.cache
-        new = list({w for words in split if words for w in words if w not in cache})
-        if new:
-            cache.update(zip(new, self._whole(new), strict=True))
-        return [self._whole([t])[0] if words is None else b"".join([cache[w] for w in words]) for t, words in zip(texts, split, strict=True)]
+        new = list(set().union(*filter(None, split)).difference(cache))
+        for first in range(0, len(new), 20_000):
+            self._learn(new[first : first + 20_000])
+        return [self._whole(t).tobytes() if runs is None else b"".join(map(cache.__getitem__, runs)) for t, runs in zip(texts, split, strict=True)]
+
+
+@lru_cache(maxsize=1)
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One per Python worker, kept from task to task."""
+    return WordTokenizer(path)
 
 
 def powers(n: int) -> list[int]:
@@ -131,7 +164,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
     end = np.asarray([end_id], "<u4").tobytes()
 
     def make():
-        encoder = WordTokenizer(tokenizer)
+        encoder = tokenizer_of(tokenizer)
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch, "text"):
