@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import exact_dedup, mixing, packing, simhash
+from sparkloom.llm import ann, exact_dedup, mixing, packing, secrets, simhash, toxicity, warc
 from sparkloom.llm.common import table
 
 #: Where the vocabulary lies; never copied here.
@@ -23,11 +23,35 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def span_text(spans: Column) -> Column:
+    """kind:start:end, comma-joined, of spans that are sorted already."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def span_columns(spans: str, base: dict[str, str]) -> list[Column]:
+    """The counts of the base kinds, the digest of the base spans, and all spans."""
+    s = F.col(spans)
+    kinds = F.transform(s, lambda x: x["kind"])
+    counts = [(F.size(s) - F.size(F.array_remove(kinds, kind))).cast("long").alias(name) for kind, name in base.items()]
+    only = F.filter(s, lambda x: x["kind"].isin(*base))
+    return [*counts, F.sha2(span_text(only), 256).alias("base_sha256"), span_text(s).alias("spans")]
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return carry(out, out.select("doc_id", "size", "source_size", "target", "taken", "copies"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", *span_columns("spans", {"assign": "n_assign", "access": "n_access", "hex": "n_hex"}))
+
+
 def op6_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -53,6 +77,28 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, records = warc.archive(table(spark, sf_dir, "pages"))
+    return carry(records, records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> least THEN least END AS refers_to
+FROM f
+"""
+
+
+def op9_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -68,4 +114,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op8_warc": OP8_SQL}
