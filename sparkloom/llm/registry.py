@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import ann, exact_dedup, mixing, packing, secrets, simhash, toxicity, warc
+from sparkloom.llm import ann, exact_dedup, mixing, packing, pii, secrets, simhash, toxicity, warc
 from sparkloom.llm.common import table
 
 #: Where the vocabulary lies; never copied here.
@@ -37,6 +37,11 @@ def span_columns(spans: str, base: dict[str, str]) -> list[Column]:
     return [*counts, F.sha2(span_text(only), 256).alias("base_sha256"), span_text(s).alias("spans")]
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.extract(table(spark, sf_dir, "documents"))
+    return carry(out, out.select("doc_id", *span_columns("spans", {k: f"n_{k}" for k in pii.KINDS})))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
