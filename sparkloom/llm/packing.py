@@ -21,7 +21,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -78,7 +78,7 @@ class WordTokenizer:
         return np.concatenate([np.empty(0, "<u4")] + [np.asarray(e.ids, "<u4") for e in self.merger.encode_batch_fast(texts, add_special_tokens=False)])
 
     def _learn(self, runs: list[str]) -> None:
-        split = [_WORDS(run) for run in map(str.lower, runs)]
+        split = [(run,) if run.isalpha() else _WORDS(run) for run in map(str.lower, runs)]
         words = list(chain.from_iterable(split))
         ids = self._merged(words)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
@@ -173,7 +173,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
                 for ids, mark in zip(encoder.encode(texts), part.column(2).to_pylist(), strict=True):
                     ids += end
                     cuts = cut(len(ids) // 4, length, mark % filler == 0)
-                    ends = np.cumsum(cuts).tolist()
+                    ends = list(accumulate(cuts))
                     begin = [e - n for e, n in zip(ends, cuts, strict=True)]
                     starts.append(begin)
                     lengths.append(cuts)
