@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import ann, exact_dedup, mixing, packing, pii, secrets, simhash, toxicity, warc
+from sparkloom.llm import ann, exact_dedup, mixing, packing, pii, secrets, simhash, suffix_dedup, toxicity, warc
 from sparkloom.llm.common import table
 
 #: Where the vocabulary lies; never copied here.
@@ -52,6 +52,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return carry(out, out.select("doc_id", "size", "source_size", "target", "taken", "copies"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan(table(spark, sf_dir, "documents"))
     return out.select("doc_id", *span_columns("spans", {"assign": "n_assign", "access": "n_access", "hex": "n_hex"}))
