@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import ann, exact_dedup, mixing, packing, pii, secrets, simhash, suffix_dedup, toxicity, warc
-from sparkloom.llm.common import table
+from sparkloom.llm.common import carry, table
 
 #: Where the vocabulary lies; never copied here.
 TOKENIZER_ENV = "LOOM_TOKENIZER"
@@ -112,12 +112,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def carry(owner: DataFrame, derived: DataFrame) -> DataFrame:
-    """The derived frame keeps the operator's scratch tables alive."""
-    derived._loom_scratch = getattr(owner, "_loom_scratch", None)
-    return derived
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 

@@ -291,6 +291,31 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXI
     return [r["text"] for r in rows], [int(r["_toxic"]) for r in rows]
 
 
+class Scorer:
+    """Scores texts; potentials are cached by word."""
+
+    def __init__(self, field: Field, most: int = 300_000):
+        self.field, self.most = field, most
+        self.cache: dict[str, float] = {}
+
+    def potentials(self, words: list[str]) -> np.ndarray:
+        try:
+            return np.asarray(list(map(self.cache.__getitem__, words)))
+        except KeyError:
+            for w in set(words).difference(self.cache):
+                self.cache[w] = self.field.potential(w)
+            return np.asarray(list(map(self.cache.__getitem__, words)))
+
+    def score(self, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Scores, and the marginals of every text's words."""
+        if len(self.cache) > self.most:
+            self.cache.clear()
+        probabilities = marginals([self.potentials(_WORDS.findall(t.lower())) for t in texts], self.field)
+        x = np.asarray([summary(p) for p in probabilities])
+        w = self.field.logistic
+        return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -500, 500))), probabilities
+
+
 def score(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
     """doc_id, score, spans array<struct<start, end, p>> in code points: one row for each input row."""
     weights = field.emission
@@ -299,26 +324,12 @@ def score(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
     def make():
-        own = Field(bounded.value, transition, start, logistic)
-        cache: dict[str, float] = {}
-
-        def potentials(words: list[str]) -> np.ndarray:
-            try:
-                return np.asarray([cache[w] for w in words])
-            except KeyError:
-                for w in words:
-                    if w not in cache:
-                        cache[w] = own.potential(w)
-                return np.asarray([cache[w] for w in words])
+        scorer = Scorer(Field(bounded.value, transition, start, logistic))
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch, "text", 16 << 20):
-                if len(cache) > 300_000:
-                    cache.clear()
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                probabilities = marginals([potentials(_WORDS.findall(t.lower())) for t in texts], own)
-                x = np.asarray([summary(p) for p in probabilities])
-                scores = 1 / (1 + np.exp(-np.clip(logistic[0] + x @ logistic[1:], -500, 500)))
+                scores, probabilities = scorer.score(texts)
                 found = [offending(t, p) if spans and len(p) and p.max() > 0.5 else [] for t, p in zip(texts, probabilities, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores), pa.array(found, kind)], ["doc_id", "score", "spans"])
 
@@ -328,6 +339,25 @@ def score(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
     return map_arrow(source, "doc_id long, score double, spans array<struct<start:long,end:long,p:double>>", make)
 
 
+def keep(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, whose score is below the threshold. The text column must be named text."""
+    text = docs.schema.names.index("text")
+    bounded = docs.sparkSession.sparkContext.broadcast(field.emission)
+    transition, start, logistic = field.transition, field.start, field.logistic
+
+    def make():
+        scorer = Scorer(Field(bounded.value, transition, start, logistic))
+
+        def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for part in slices(batch, "text", 16 << 20):
+                scores, _ = scorer.score([t or "" for t in part.column(text).to_pylist()])
+                yield part.filter(pa.array(scores < threshold))
+
+        return step
+
+    return map_arrow(docs, docs.schema, make)
+
+
 def offending(text: str, p: np.ndarray) -> list[dict]:
     """Runs of words with a marginal above one half. Offsets of the text as it is, not lower-cased."""
     low = text.lower()
