@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkloom.plans import base, layout, metrics, relational, sampling, text
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Sentence dedup, chunking, label join and a report by language."""
+    return text.chunk_report(base.Tables(spark, sf_dir))
 
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(base.SQL)
+
+
+__all__ = ["flagship", "layout", "metrics", "oracle_sql", "queries", "relational", "sampling"]
