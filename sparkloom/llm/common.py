@@ -115,9 +115,23 @@ def rows_of(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+#: Bytes of an Arrow batch: the JVM, the worker and its copy each hold one.
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES`` in this session, whatever the texts' length; smaller settings stay."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, "")
+    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]]) -> DataFrame:
     """``mapInArrow`` whose per-task state is built by ``make`` on the executor."""
 
+    bounded_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:

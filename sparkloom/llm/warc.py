@@ -27,7 +27,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import Scratch, map_arrow, slices
+from sparkloom.llm.common import Scratch, bounded_batches, map_arrow, slices
 
 MIN_REVISIT = 100
 FRAME_BYTES = 1 << 20
@@ -164,6 +164,7 @@ def revisits(pages: DataFrame, scratch: Scratch, min_bytes: int = MIN_REVISIT) -
 
 def write(pages: DataFrame, folder: str, scratch: Scratch, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """Writes the bundles and returns the index: a row for each record."""
+    bounded_batches(pages.sparkSession)
     again = revisits(pages, scratch, min_bytes)
     if again.count() <= BROADCAST_ROWS:
         again = F.broadcast(again)
