@@ -42,7 +42,7 @@ from sparkloom.llm.warc import open_store
 
 LENGTH = 100
 GRAM = 32
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 #: Records of a bucket (about 26 bytes each), and bytes of the strings of one suffix array.
 BUCKET_RECORDS = 600_000
 ARRAY_BYTES = 3 << 20
@@ -253,7 +253,7 @@ def read_slice(path: str) -> list[bytes]:
         return pa.ipc.open_file(pa.BufferReader(source.read())).read_all()["text"].to_pylist()
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _powers(n: int, odd: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, odd, np.uint64), np.full(n, pow(odd, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
@@ -265,7 +265,7 @@ class RollingHash:
 
     def __init__(self, text: np.ndarray, odd: np.uint64):
         n = len(text) + 1
-        room = 1 << max(23, n.bit_length())
+        room = (n >> 20) + 1 << 20
         self.up, down = _powers(room, int(odd))
         self.sums = np.concatenate([[U64(0)], np.cumsum((text.astype(np.uint64) + U64(1)) * down[: len(text)], dtype=np.uint64)])
 
@@ -578,10 +578,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slic
     scratch = Scratch(spark, "suffix")
     rows = write_slices(docs, scratch.folder("slices"), scratch, slice_bytes).withColumn("tie", F.xxhash64("digest"))
     place = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "path", "row")
-    best = rows.groupBy("digest").agg(F.min(place).alias("best"))
-    told = scratch.table(
-        rows.join(best, "digest").select("path", "row", "doc_id", "n_bytes", "tie", ((F.col("best.path") == F.col("path")) & (F.col("best.row") == F.col("row")) | (F.col("n_bytes") < length)).alias("stands")), "told"
-    )
+    # only texts that occur more than once are joined, from a written table: a plain join, which can split hot digests
+    best = scratch.table(rows.filter(F.col("n_bytes") >= length).groupBy("digest").agg(F.min(place).alias("best"), F.count("*").alias("n")).filter("n > 1").select("digest", "best.path", "best.row").toDF("digest", "b_path", "b_row"), "best")
+    stands = F.col("b_path").isNull() | ((F.col("b_path") == F.col("path")) & (F.col("b_row") == F.col("row")))
+    told = scratch.table(rows.join(best, "digest", "left").select("path", "row", "doc_id", "n_bytes", "tie", stands.alias("stands")), "told")
     work = scratch.table(told.filter("stands").groupBy("path").agg(F.collect_list(F.struct("row", "doc_id", "tie")).alias("rows"), F.sum("n_bytes").alias("n_bytes")), "work")
     sizes = work.agg(F.count("*").alias("n"), F.sum("n_bytes").alias("b")).first()
     copies = told.filter("NOT stands").select(
