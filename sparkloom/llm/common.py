@@ -122,8 +122,8 @@ BATCH_BYTES = 16 << 20
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most ``BATCH_BYTES`` in this session, whatever the texts' length; smaller settings stay."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(name, "")
-    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+    now = spark.conf.get(name).removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
