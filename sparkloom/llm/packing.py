@@ -26,6 +26,7 @@ from itertools import accumulate, chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,22 +39,30 @@ GROUP_DOCS = 4096
 FILLER = 16
 SEED = 77
 
-#: Texts of these characters only (printable ASCII and Latin-1, and white space) take the cached path.
-_PLAIN = re.compile(r"[^\t-\r\x20-\x7e¡-¬®-ÿ]")
+#: A text without such a character (all but printable ASCII and Latin-1, and white space) is split in Arrow.
+_ODD = r"[^\t-\r\x20-\x7e¡-¬®-ÿ]"
 #: The pre-tokenizer's words in lower-cased text of those characters: letters, a number, a contraction, anything else.
 _WORDS = re.compile(r"[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+").findall
 
 
+def gathered(values: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces ``at`` of ``values`` (piece i has ``size[i]`` values), one after the other, and their sizes."""
+    begin, length = (np.cumsum(size) - size)[at], size[at]
+    ends = np.cumsum(length)
+    return values[np.repeat(begin - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)], length
+
+
 class WordTokenizer:
-    """Token ids as little-endian unsigned 32-bit bytes.
+    """Token ids of texts.
 
     The vocabulary's pre-tokenizer splits a text at white space and then into words that are encoded
-    independently, so ids are cached by run of non-space characters. Words not seen yet are encoded as one long text
-    and told apart by their last tokens, which alone carry the end-of-word mark. Texts outside Latin-1, where
+    independently. So a batch is split and dictionary-encoded in Arrow, each distinct run of non-space
+    characters is encoded once, and ids are gathered by array operations. Words are encoded as texts of some hundred words and
+    told apart by their last tokens, which alone carry the end-of-word mark. Texts outside Latin-1, where
     case folding and normalisation differ between libraries, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -66,8 +75,6 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(vocabulary.values()) + 3, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.cache: dict[str, bytes] = {}
-        self.most = most
 
     def _whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -77,27 +84,56 @@ class WordTokenizer:
         texts = [" ".join(words[i : i + some]) for i in range(0, len(words), some)]
         return np.concatenate([np.empty(0, "<u4")] + [np.asarray(e.ids, "<u4") for e in self.merger.encode_batch_fast(texts, add_special_tokens=False)])
 
-    def _learn(self, runs: list[str]) -> None:
-        split = [(run,) if run.isalpha() else _WORDS(run) for run in map(str.lower, runs)]
-        words = list(chain.from_iterable(split))
-        ids = self._merged(words)
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lower-cased words, one after the other, and how many each has. Equal words are encoded once."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        ids = self._merged(distinct)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(ends) != len(words):  # no vocabulary of this kind: one by one
-            for run, part in zip(runs, split, strict=True):
-                self.cache[run] = b"".join(self._whole(w).tobytes() for w in part)
-            return
-        last = (ends[np.cumsum(np.fromiter(map(len, split), np.int64, len(split))) - 1] * 4).tolist()
-        self.cache.update(zip(runs, map(ids.tobytes().__getitem__, map(slice, [0, *last[:-1]], last)), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split() if _PLAIN.search(t) is None else None for t in texts]
-        if len(self.cache) > self.most:
-            self.cache.clear()
-        cache = self.cache
-        new = list(set().union(*filter(None, split)).difference(cache))
-        for first in range(0, len(new), 20_000):
-            self._learn(new[first : first + 20_000])
-        return [self._whole(t).tobytes() if runs is None else b"".join(map(cache.__getitem__, runs)) for t, runs in zip(texts, split, strict=True)]
+        if len(ends) != len(distinct):  # no vocabulary of this kind: one by one
+            each = [self._merged([w]) for w in distinct]
+            ids, ends = np.concatenate([np.empty(0, "<u4"), *each]), np.cumsum([len(e) for e in each], dtype=np.int64)
+        size = np.diff(np.concatenate([[0], ends]))
+        return gathered(ids, size, coded.indices.to_numpy())
+
+    def _runs(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for runs of non-space characters, which may hold several words or none."""
+        lower = pc.utf8_lower(runs)
+        alone = pc.utf8_is_alpha(lower)
+        several = [_WORDS(run) for run in lower.filter(pc.invert(alone)).to_pylist()]
+        is_alone = alone.to_numpy(zero_copy_only=False)
+        counts = np.ones(len(lower), np.int64)
+        counts[~is_alone] = [len(words) for words in several]
+        # words of single-word runs first, then of the others
+        ids, size = self._words(pa.concat_arrays([lower.filter(alone), pa.array(list(chain.from_iterable(several)), pa.string())]))
+        order = np.empty(int(counts.sum()), np.int64)
+        first = np.cumsum(counts) - counts
+        order[first[is_alone]] = np.arange(int(is_alone.sum()))
+        rest = np.repeat(~is_alone, counts)
+        order[rest] = np.arange(int(is_alone.sum()), len(order))
+        flat, each = gathered(ids, size, order)
+        stop = np.concatenate([[0], np.cumsum(each)])[np.cumsum(counts)]
+        return flat, np.diff(np.concatenate([[0], stop]))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (no nulls), one after the other, and where each text's begin; one more for the end."""
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~odd)) if odd.any() else texts
+        lists = pc.ascii_split_whitespace(plain)
+        coded = lists.flatten().dictionary_encode()
+        flat, length = gathered(*self._runs(coded.dictionary), coded.indices.to_numpy())
+        ends = np.cumsum(length)
+        edges = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()] if len(plain) else np.zeros(1, np.int64)
+        if not odd.any():
+            return flat, edges
+        parts, nth = [], 0
+        for i, is_odd in enumerate(odd.tolist()):
+            if is_odd:
+                parts.append(self._whole(texts[i].as_py()))
+            else:
+                parts.append(flat[edges[nth] : edges[nth + 1]])
+                nth += 1
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
 @lru_cache(maxsize=1)
@@ -167,18 +203,20 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
         encoder = tokenizer_of(tokenizer)
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for part in slices(batch, "text"):
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                starts, lengths, sums, total = [], [], [], []
-                for ids, mark in zip(encoder.encode(texts), part.column(2).to_pylist(), strict=True):
-                    ids += end
-                    cuts = cut(len(ids) // 4, length, mark % filler == 0)
+            for part in slices(batch, "text", 16 << 20):
+                ids, edges = encoder.encode(pc.fill_null(part.column(1), ""))
+                raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                starts, lengths, sums = [], [], []
+                total = np.diff(edges) + 1  # with the end id
+                for first, n, mark in zip((edges[:-1] * 4).tolist(), total.tolist(), part.column(2).to_pylist(), strict=True):
+                    cuts = cut(n, length, mark % filler == 0)
                     ends = list(accumulate(cuts))
-                    begin = [e - n for e, n in zip(ends, cuts, strict=True)]
+                    begin = [0, *ends[:-1]]
+                    own = [zlib.crc32(raw[first + 4 * b : first + 4 * min(e, n - 1)]) for b, e in zip(begin, ends, strict=True)]
+                    own[-1] = zlib.crc32(end, own[-1])
                     starts.append(begin)
                     lengths.append(cuts)
-                    sums.append([zlib.crc32(ids[4 * b : 4 * e]) for b, e in zip(begin, ends, strict=True)])
-                    total.append(len(ids) // 4)
+                    sums.append(own)
                 array = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(total, pa.int64()), pa.array(starts, array), pa.array(lengths, array), pa.array(sums, array), part.column(2)],
