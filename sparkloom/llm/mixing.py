@@ -4,8 +4,9 @@ Sources in code-point order (null last) weigh 1, 2, 3, repeating, and share the
 stops at ``most`` times its source's size; the excess is shared again by weight until none is above.
 Within a source every document is taken ``target // source size`` times; the rest of the budget is
 a subset sum over exact lengths: an even share of each length first, then the largest lengths
-that fit, then bounded-knapsack dynamic programming (bit sets) over what is left of the budget.
-The chosen count of each length is filled with documents by seeded hash.
+that fit, then bounded-knapsack dynamic programming (bit sets) over what is left of the budget. Where no subset
+comes to the target, further copies may, up to ``most``. The chosen count of each length is filled
+with documents by seeded hash.
 
 Scale: the text is read once into a narrow table. Each source's histogram is bounded by its
 distinct lengths, never by documents. Picking k documents of one length works on ``BUCKETS`` hash
@@ -94,6 +95,28 @@ def fit_budget(sizes: list[int], counts: list[int], budget: int, cells: int = DP
     return take
 
 
+def fit_copies(sizes: list[int], counts: list[int], target: float, most: int = MOST, cells: int = DP_BUDGET) -> list[int]:
+    """How many copies of each size to take in all, at most ``most`` of every document.
+
+    Every document as often as the target holds the source, then a subset once more; further copies only where no
+    subset comes to the target, and one document beyond it only if that is nearer.
+    """
+    words = sum(s * c for s, c in zip(sizes, counts, strict=True))
+    if not words:
+        return [0] * len(sizes)
+    base = min(most, int(target // words))
+    total, left = [c * base for c in counts], round(target) - base * words
+    for spare in (1, most - base - 1):
+        if base < most and spare > 0 and left > 0:
+            more = fit_budget(sizes, [c * spare for c in counts], left, cells)
+            total = [t + m for t, m in zip(total, more, strict=True)]
+            left -= sum(s * m for s, m in zip(sizes, more, strict=True))
+    over = [i for i, s in enumerate(sizes) if left < s < 2 * left and total[i] < most * counts[i]]
+    if over:
+        total[min(over, key=lambda i: sizes[i])] += 1
+    return total
+
+
 def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """doc_id, source, key (of the source, never null), size, bucket, rank hash; the text is read once."""
     import pyarrow as pa
@@ -133,10 +156,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
             for key, hist in zip(part["key"], part["hist"], strict=True):
                 pairs = sorted((int(h["size"]), int(h["n"])) for h in hist)
                 words, target = want[key]
-                base = min(most, int(target // words)) if words else 0
                 sizes, counts = [p[0] for p in pairs], [p[1] for p in pairs]
-                extra = fit_budget(sizes, counts, round(target) - base * words, cells) if base < most else [0] * len(pairs)
-                yield pd.DataFrame({"key": key, "size": sizes, "source_size": words, "target": target, "base": base, "extra": extra})
+                total = fit_copies(sizes, counts, target, most, cells)
+                yield pd.DataFrame(
+                    {"key": key, "size": sizes, "source_size": words, "target": target, "base": [t // c for t, c in zip(total, counts, strict=True)], "extra": [t % c for t, c in zip(total, counts, strict=True)]}
+                )
 
     hist = cells_of.groupBy("key", "size").agg(F.sum("count").alias("n")).groupBy("key").agg(F.collect_list(F.struct("size", "n")).alias("hist"))
     chosen = hist.mapInPandas(fit, "key string, size long, source_size long, target double, base long, extra long")
