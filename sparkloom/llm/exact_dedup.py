@@ -2,7 +2,7 @@
 
 1. Every text is normalised (ASCII white space removed) and digested with SHA-256 into a narrow table.
 2. A Misra-Gries summary (Spark's ``approx_top_k``: mergeable, ``tracked`` counters per task) proposes
-   frequent digests. Its guarantee: a digest with more than ``rows / (0.75 * tracked)`` rows is among them.
+   frequent digests. Its guarantee: a digest with more than 2/tracked of the rows is among them.
 3. One exact count verifies the proposals. Winners are at most ``tracked`` rows, so broadcasting
    them is bounded by a parameter, and their rows never meet in one task: the survivor and size of a
    winning group come from a partial aggregate, and its members are resolved by a map-side join.
@@ -22,6 +22,8 @@ from sparkloom.llm.common import WS, Scratch, text_of
 
 TRACKED = 8192
 HEAVY_ROWS = 64
+#: Groups of tasks whose sketches are combined first.
+COMBINED = 256
 
 
 def digest_columns(column: str = "text"):
@@ -30,9 +32,12 @@ def digest_columns(column: str = "text"):
 
 
 def heavy_groups(rows: DataFrame, key: str, tracked: int = TRACKED, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Digests that hold at least ``heavy_rows`` rows and 1/tracked of all, with exact counts. At most ``tracked`` rows."""
-    sketch = rows.agg(F.expr(f"approx_top_k({key}, {tracked // 2}, {tracked})").alias("top"), F.count("*").alias("all_rows"))
-    proposed = sketch.select("all_rows", F.explode("top").alias("t")).select(F.col("t.item").alias(key), "all_rows")
+    """Digests that hold at least ``heavy_rows`` rows and 2/tracked of all, with exact counts. At most ``tracked`` rows."""
+    # one sketch a task; groups of tasks are combined before all are, so that no task takes in every sketch
+    parts = rows.select(key, F.pmod(F.spark_partition_id(), F.lit(COMBINED)).alias("_part"))
+    sketches = parts.groupBy("_part").agg(F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("s"), F.count("*").alias("n"))
+    whole = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {tracked // 2})").alias("top"), F.sum("n").alias("all_rows"))
+    proposed = whole.select("all_rows", F.explode("top").alias("t")).select(F.col("t.item").alias(key), "all_rows")
     return (
         rows.join(F.broadcast(proposed), key)
         .groupBy(key)
@@ -41,7 +46,7 @@ def heavy_groups(rows: DataFrame, key: str, tracked: int = TRACKED, heavy_rows:
             F.count("*").alias("group_size"),
             F.first("all_rows").alias("all_rows"),
         )
-        .filter((F.col("group_size") >= heavy_rows) & (F.col("group_size") * tracked > F.col("all_rows")))
+        .filter((F.col("group_size") >= heavy_rows) & (F.col("group_size") * (tracked // 2) > F.col("all_rows")))
         .select(key, "best", "group_size")
     )
 
