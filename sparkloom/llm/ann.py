@@ -128,8 +128,8 @@ def usable(column: str) -> Column:
 
 def search(vectors: DataFrame, query_filter: Column, id_column: str = "vec_id", column: str = "embedding", k: int = K, share: float = SHARE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row that ``query_filter`` selects."""
-    rows = vectors.filter(usable(column)).filter(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(column).cast("array<double>").alias("x"), query_filter.alias("is_query"))
-    sizes = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q"), F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))).alias("norm")).first()
+    rows = vectors.filter(usable(column)).filter(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(column).alias("x"), query_filter.alias("is_query"))
+    sizes = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q"), F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))).alias("norm")).first()
     blocks, query_blocks = max(1, -(-sizes["n"] // block_rows)), max(1, -(-sizes["q"] // query_rows))
     top_norm = float(sizes["norm"] or 0.0) * (1 + 1e-12)
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
@@ -141,7 +141,7 @@ def search(vectors: DataFrame, query_filter: Column, id_column: str = "vec_id",
         data, asked = data.drop_duplicates("id"), asked.drop_duplicates("id")
         if data.empty or asked.empty:
             return _NOTHING
-        return search_block(data["id"].to_numpy(), np.stack(data["x"].to_numpy()), asked["id"].to_numpy(), np.stack(asked["x"].to_numpy()), top_norm, k, share)
+        return search_block(data["id"].to_numpy(), np.stack(data["x"].to_numpy()).astype(np.float64), asked["id"].to_numpy(), np.stack(asked["x"].to_numpy()).astype(np.float64), top_norm, k, share)
 
     key = ["b", "qb", "d"]
     found = data.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(one, "query_id long, vec_id long, score double")
