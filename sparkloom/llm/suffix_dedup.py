@@ -44,7 +44,7 @@ LENGTH = 100
 GRAM = 32
 SLICE_BYTES = 3 << 20
 #: Records of a bucket (about 26 bytes each), and bytes of the strings of one suffix array.
-BUCKET_RECORDS = 600_000
+BUCKET_RECORDS = 250_000
 ARRAY_BYTES = 3 << 20
 #: Counters of the summary, the least count of a hot minimizer, and the windows of its cut snippets.
 COUNTERS = 65_536
