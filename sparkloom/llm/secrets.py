@@ -106,10 +106,10 @@ def ordinary_identifiers(words: list[str], n: int, seed: int = SEED) -> list[str
 
 def labelled_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, seed: int = SEED) -> list[tuple[str, int]]:
     """Labelled strings: 1 random, 0 ordinary. Reads a bounded sample of documents for words."""
-    source = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).filter((F.length("text") <= sample_chars) & F.col("doc_id").isNotNull())
-    # ids first, so that the candidates of every task are small; then their texts, by a broadcast of at most sample_docs ids
-    ids = source.select("doc_id").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(sample_docs).distinct()
-    sample = source.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    # ids first, without texts, so that this is a scan of one column; then their texts, by a broadcast of at most sample_docs ids
+    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(sample_docs).distinct()
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
+    sample = texts.filter(F.length("text") <= sample_chars).dropDuplicates(["doc_id"])
     words: set[str] = set()
     for row in sample.collect():
         text = row["text"]
