@@ -42,7 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
     if configured is None:
         configured = getattr(spark, "_loom_shared", None) or tempfile.mkdtemp(prefix="loom-shared-")
         spark._loom_shared = configured
-    return configured.rstrip("/")
+    # with its scheme, so that Spark and the Python workers mean the same store
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(configured.rstrip("/"))
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
 
 
 def _delete(spark: SparkSession, path: str) -> None:

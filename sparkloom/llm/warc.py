@@ -45,7 +45,9 @@ INDEX = "page_id long, record_id string, bundle string, frame int, frame_offset
 
 
 def open_store(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace("file:", "", 1))
+    """File system and path of a URI; Hadoop spells local ones ``file:/path``."""
+    local = path.startswith("file:") and not path.startswith("file://")
+    return pyarrow.fs.FileSystem.from_uri(path.removeprefix("file:") if local else path)
 
 
 def record_id(page_id: int | None, digest: str) -> str:
