@@ -48,15 +48,15 @@ def layout_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_layout(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Good pages and bad ones (path, record): files that are no JSON are set aside, not raised."""
-    raw = spark.read.schema(LAYOUT_SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True).option("pathGlobFilter", "*layout_*.json").json(folder)
-    named = raw.select("*", F.col("_metadata.file_path").alias("path"))
-    bad = named.filter(F.col("_corrupt_record").isNotNull()).select("path", F.col("_corrupt_record").alias("record"))
-    return named.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), bad
+    whole = read_whole_texts(spark, folder, "*layout_*.json")
+    parsed = whole.withColumn("p", F.from_json("text", LAYOUT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+    bad = F.col("p").isNull() | F.col("p._corrupt_record").isNotNull()
+    return parsed.filter(~bad).select("p.*", "path").drop("_corrupt_record"), parsed.filter(bad).select("path", F.col("text").alias("record"))
 
 
 def read_whole_texts(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
     """path, text of every file; unreadable files are skipped."""
-    out = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("ignoreCorruptFiles", True).text(folder)
+    out = spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", True).text(folder, wholetext=True, recursiveFileLookup=True)
     return out.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def uniform01(key: Column, seed: int) -> Column:
@@ -55,7 +56,7 @@ def poisson(key: Column, mean: float, most: int, seed: int) -> Column:
 
 def gamma_gaps(rows: DataFrame, rate: float, burstiness: float, seed: int, key: str = "req") -> DataFrame:
     """Adds ``gap``: gamma gaps of mean 1/rate; burstiness 1 is a Poisson process."""
-    schema = rows.schema.add("gap", "double")
+    schema = T.StructType([*rows.schema.fields, T.StructField("gap", T.DoubleType())])
 
     def draw(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:

@@ -25,36 +25,41 @@ def with_dead_letters(raw: DataFrame, schema: str, column: str = "value") -> tup
     return good, parsed.filter(bad).select(F.col(column).alias("record"), F.lit("not valid JSON").alias("reason"))
 
 
+def watermarked(events: DataFrame, time: str, late: str) -> DataFrame:
+    """Watermarks need an instant; times without a zone are read in the session's zone."""
+    return events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+
+
 def replay(events: DataFrame, first_seq: int, late: str | None = None, time: str = "ts") -> DataFrame:
     """Events from a sequence number on, each number once. On a stream ``late`` bounds the state."""
     rows = events.filter(F.col("seq") >= first_seq)
-    return rows.withWatermark(time, late).dropDuplicatesWithinWatermark(["seq"]) if late else rows.dropDuplicates(["seq"])
+    return watermarked(rows, time, late).dropDuplicatesWithinWatermark(["seq"]) if late else rows.dropDuplicates(["seq"])
 
 
 def tumbling(events: DataFrame, time: str, width: str, keys: list[str], *aggregates, late: str | None = None) -> DataFrame:
     """start, end, keys and aggregates by fixed windows; counters start anew in every window."""
-    rows = events.withWatermark(time, late) if late else events
+    rows = watermarked(events, time, late) if late else events
     out = rows.groupBy(F.window(time, width).alias("w"), *keys).agg(*aggregates)
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, *[c for c in out.columns if c not in ("w", *keys)])
 
 
 def sliding(events: DataFrame, time: str, width: str, step: str, keys: list[str], *aggregates, late: str | None = None) -> DataFrame:
-    rows = events.withWatermark(time, late) if late else events
+    rows = watermarked(events, time, late) if late else events
     out = rows.groupBy(F.window(time, width, step).alias("w"), *keys).agg(*aggregates)
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, *[c for c in out.columns if c not in ("w", *keys)])
 
 
 def sessions(events: DataFrame, time: str, gap: str, keys: list[str], *aggregates, late: str | None = None) -> DataFrame:
     """start, end (last event plus gap), keys and aggregates by sessions."""
-    rows = events.withWatermark(time, late) if late else events
+    rows = watermarked(events, time, late) if late else events
     out = rows.groupBy(F.session_window(time, gap).alias("w"), *keys).agg(*aggregates)
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, *[c for c in out.columns if c not in ("w", *keys)])
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, within: str, late: str) -> DataFrame:
     """Pairs of one key whose right time lies within an interval after the left; both sides forget late rows."""
-    a = left.withWatermark("ts", late).alias("a")
-    b = right.withWatermark("ts", late).alias("b")
+    a = watermarked(left, "ts", late).alias("a")
+    b = watermarked(right, "ts", late).alias("b")
     return a.join(b, F.expr(f"a.{key} = b.{key} AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL {within}"))
 
 
