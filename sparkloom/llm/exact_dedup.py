@@ -33,10 +33,10 @@ def digest_columns(column: str = "text"):
 
 def heavy_groups(rows: DataFrame, key: str, tracked: int = TRACKED, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Digests that hold at least ``heavy_rows`` rows and 2/tracked of all, with exact counts. At most ``tracked`` rows."""
-    # one sketch a task; groups of tasks are combined before all are, so that no task takes in every sketch
+    # one sketch a task (grouped, since the sketch functions have no answer for no rows); groups of tasks are combined before all are, so that no task takes in every sketch
     parts = rows.select(key, F.pmod(F.spark_partition_id(), F.lit(COMBINED)).alias("_part"))
     sketches = parts.groupBy("_part").agg(F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("s"), F.count("*").alias("n"))
-    whole = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {tracked // 2})").alias("top"), F.sum("n").alias("all_rows"))
+    whole = sketches.groupBy(F.lit(0).alias("_whole")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {tracked // 2})").alias("top"), F.sum("n").alias("all_rows"))
     proposed = whole.select("all_rows", F.explode("top").alias("t")).select(F.col("t.item").alias(key), "all_rows")
     return (
         rows.join(F.broadcast(proposed), key)
