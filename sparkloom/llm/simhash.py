@@ -21,6 +21,7 @@ shingle; repeated rows share their component; an empty table gives an empty resu
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -190,18 +191,21 @@ def links(vertices: DataFrame, radius: int = RADIUS, seed: int = MASK_SEED) -> D
 def components(edges: DataFrame, scratch: Scratch, label: str = "cc") -> DataFrame:
     """v, c: for every vertex of an edge its component, named by the smallest vertex in it.
 
-    Every round hooks each vertex to its smallest neighbour (or itself), shortens the hooks by two
-    pointer jumps and maps the edges to what their ends hook to. Chains shrink fourfold a round.
+    Every round hooks each vertex to its smallest neighbour (or itself), follows the hooks to their roots by
+    pointer jumping, which halves the longest path each time, and maps the edges to the roots of their
+    ends. Only vertices that are smallest among their neighbours are left for the next round.
     """
     edges = scratch.table(edges.select("a", "b"), f"{label}-edges")
     steps: list[DataFrame] = []
     while edges.limit(1).count():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("p"))
-        for jump in range(2):
-            hook = scratch.table(hook, f"{label}-hook{len(steps)}-{jump}")
-            hook = hook.join(hook.toDF("p", "q"), "p").select("v", F.col("q").alias("p"))
-        hook = scratch.table(hook, f"{label}-hook{len(steps)}")
+        hook = scratch.table(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("p")), f"{label}-hook{len(steps)}")
+        for jump in itertools.count():
+            up = hook.join(hook.toDF("p", "q"), "p").select("v", F.col("q").alias("p"), (F.col("q") != F.col("p")).alias("moved"))
+            up = scratch.table(up, f"{label}-hook{len(steps)}-{jump}")
+            hook = up.select("v", "p")
+            if not up.filter("moved").limit(1).count():
+                break
         steps.append(hook)
         ha, hb = hook.toDF("a", "pa"), hook.toDF("b", "pb")
         moved = edges.join(ha, "a").join(hb, "b").filter("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
