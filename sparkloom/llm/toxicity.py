@@ -54,7 +54,8 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def feature_names(word: str) -> list[str]:
-    return ["w" + word] + [f"p{word[:n]}" for n in _PREFIXES if len(word) >= n] + ["s" + word[-3:]]
+    """The word, its prefixes, its suffix, and a feature that all words have."""
+    return ["w" + word] + [f"p{word[:n]}" for n in _PREFIXES if len(word) >= n] + ["s" + word[-3:], "every"]
 
 
 def feature_ids(word: str) -> list[int]:
@@ -146,19 +147,30 @@ def toxic_features(toxic: list[list[str]], other: list[list[str]]) -> set[str]:
         words.update(set(text))
     leading: dict[str, str] = {}
     for w in sorted(words, key=lambda w: (words[w], w)):
-        for f in feature_names(w)[1:-1]:
+        for f in feature_names(w)[1:-2]:
             leading[f] = w
 
     def present(texts: list[list[str]]) -> Counter:
         counts: Counter = Counter()
         for text in texts:
-            counts.update({f for w in set(text) for f in feature_names(w)[:-1] if leading.get(f) != w})
+            counts.update({f for w in set(text) for f in feature_names(w)[:-2] if leading.get(f) != w})
         return counts
 
     n1, n0 = len(toxic), len(other)
     c1, c0 = present(toxic), present(other)
+    n_features = len(c1)
+    # a passage that several documents share has the same neighbours everywhere: it counts once
+    around: dict[str, tuple[set, set]] = {}
+    for text in toxic:
+        for before, w, after in zip(["", *text], text, [*text[1:], ""], strict=False):
+            for f in feature_names(w)[:-2]:
+                if leading.get(f) != w and c1[f] >= 3:
+                    sides = around.setdefault(f, (set(), set()))
+                    sides[0].add(before)
+                    sides[1].add(after)
+    c1 = Counter({f: min(c1[f], len(left), len(right)) for f, (left, right) in around.items()})
     prior = n1 / (n1 + n0)
-    enough = max(SIGNIFICANT, float(np.log(max(1, len(c1)))))
+    enough = max(SIGNIFICANT, float(np.log(max(1, n_features))))
     found = set()
     for f, a in c1.items():
         b = c0.get(f, 0)
@@ -176,7 +188,7 @@ def narrow_prefixes(sequences: list[tuple[list[str], np.ndarray]], least: int =
     having: dict[str, set[str]] = {}
     for words, labels in sequences:
         for i in np.flatnonzero(labels).tolist():
-            for f in feature_names(words[i])[1:]:
+            for f in feature_names(words[i])[1:-1]:
                 having.setdefault(f, set()).add(words[i])
     return {zlib.crc32(f.encode()) & ((1 << HASH_BITS) - 1) for f, words in having.items() if len(words) < least}
 
@@ -192,7 +204,7 @@ def _fit_field(sequences: list[tuple[list[str], np.ndarray]], seed: int = SEED)
     for part in (with_one, without):
         rng.shuffle(part)  # type: ignore[arg-type]
     segments = with_one[: SEGMENTS // 2] + without[:SEGMENTS]
-    width = 2 + len(_PREFIXES)
+    width = 3 + len(_PREFIXES)
     n = len(segments)
     blocked = narrow_prefixes(sequences)
     ids = np.full((n, SEGMENT, width), 1 << HASH_BITS, np.int64)  # the last weight stays 0
@@ -253,16 +265,16 @@ def train(texts: list[str], labels: list[int]) -> Field:
     if len(set(labels)) < 2:
         return empty
     words = [_WORDS.findall(t.lower()) for t in texts]
-    kept = without_copies(words)
-    if len({labels[i] for i in kept}) < 2:
-        kept = list(range(len(texts)))
+    # by class: a toxic text may be a clean one with some words put in
+    by_class = [[i for i, y in enumerate(labels) if bool(y) == toxic] for toxic in (True, False)]
+    kept = [own[k] for own in by_class for k in without_copies([words[i] for i in own])]
     words, labels = [words[i] for i in kept], [labels[i] for i in kept]
     marks = toxic_features([w for w, y in zip(words, labels, strict=True) if y], [w for w, y in zip(words, labels, strict=True) if not y])
     known: dict[str, float] = {}
 
     def mark(word: str) -> float:
         if word not in known:
-            known[word] = float(any(f in marks for f in feature_names(word) if f[0] != "s"))
+            known[word] = float(any(f in marks for f in feature_names(word)))
         return known[word]
 
     tagged = [(w, np.asarray([mark(x) for x in w]) if y else np.zeros(len(w))) for w, y in zip(words, labels, strict=True)]
