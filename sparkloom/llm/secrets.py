@@ -35,8 +35,8 @@ SAMPLE_WORDS = 60_000
 SEED = 5
 #: A candidate token, and the thresholds of the log-likelihood ratio (nats).
 MIN_TOKEN = 16
-PER_CHAR = 0.5
-TOTAL = 12.0
+PER_CHAR = 0.25
+TOTAL = 8.0
 
 # The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -45,6 +45,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 NAMES = ("password", "passwd", "secret", "token", "api")
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN)
+#: A word of letters that is no part of a longer token.
+WHOLE_WORD = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{2,}(?![A-Za-z0-9+/_=-])")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CODE = np.full(256, len(ALPHABET), np.uint8)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(len(ALPHABET), dtype=np.uint8)
@@ -115,7 +117,7 @@ def labelled_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_char
         text = row["text"]
         for a, b, _ in base_spans(text):
             text = text[:a] + " " * (b - a) + text[b:]
-        words.update(re.findall(r"[A-Za-z]{2,}", text))
+        words.update(WHOLE_WORD.findall(text))
     some = sorted(words)[:SAMPLE_WORDS]
     return [(s, 1) for s in random_strings(20_000, seed)] + [(s, 0) for s in ordinary_identifiers(some, 20_000, seed)]
 
