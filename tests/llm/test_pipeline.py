@@ -7,7 +7,8 @@ from sparkloom.llm import exact_dedup, simhash
 from sparkloom.llm.common import table
 
 
-def test_stages_on_the_smallest_tables(spark, sf_dir, tmp_path):
+def test_stages_on_small_tables(spark, tmp_path):
+    sf_dir = "/root/testdata/sf0.01"
     docs, seen = table(spark, sf_dir, "documents"), []
     for name, stage in corpus_pipeline.STAGES:
         stage(spark, docs, sf_dir).write.parquet(str(tmp_path / name))
