@@ -96,8 +96,12 @@ def media_source(url: Column, allowed_root: str | None = None) -> Column:
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
     """Batch requests, one JSON a line; blank lines are skipped; the body stays text."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    return lines.select(F.from_json("value", "custom_id string, method string, url string, body string").alias("r")).select("r.*")
+    return parsed_requests(spark.read.text(path))
+
+
+def parsed_requests(lines: DataFrame) -> DataFrame:
+    """The same from rows of lines (value)."""
+    return lines.filter(F.trim("value") != "").select(F.from_json("value", "custom_id string, method string, url string, body string").alias("r")).select("r.*")
 
 
 def responses(rows: DataFrame) -> DataFrame:
