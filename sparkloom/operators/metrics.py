@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.operators.layout import global_number
+
 DESCRIBE = (0.25, 0.5, 0.75, 0.9, 0.99, 0.999, 0.9999)
 
 
@@ -118,23 +120,33 @@ def running_requests(intervals: DataFrame, keys: tuple[str, ...] = ()) -> DataFr
 
 
 def recent_hit_rate(stats: DataFrame, most: int, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Adds ``hit_rate`` over the latest rows whose requests sum to at most ``most``; the newest row always counts; 0 without queries.
+    """keys, seq, hit_rate over the latest rows whose requests sum to at most ``most``; the newest row always counts; 0 without queries.
 
-    Rows in order of seq. The start of each suffix is found by its running sum, with a range window on that sum.
+    Rows in order of seq. What lies before the suffix of a row is a running sum over the rows' starts (sums of
+    requests) and the points where suffixes begin, merged in one order: a window over twice the rows, no self-join.
+    """
+    w = Window.partitionBy(*keys).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    run = stats.select(*keys, "seq", "requests", "queries", "hits", *[F.sum(c).over(w).alias(f"_{c}") for c in ("requests", "queries", "hits")])
+    start, begin = F.col("_requests") - F.col("requests"), F.col("_requests") - most
+    place = F.explode(F.array(F.struct(start.alias("x"), F.lit(1).alias("row")), F.struct(begin.alias("x"), F.lit(0).alias("row"))))
+    merged = run.select("*", start.alias("_start"), place.alias("_p")).select("*", "_p.x", "_p.row")
+    before = Window.partitionBy(*keys).orderBy("x", "row").rowsBetween(Window.unboundedPreceding, 0)
+    gone = {c: F.coalesce(F.sum(F.when(F.col("row") == 1, F.col(c))).over(before), F.lit(0)) for c in ("queries", "hits")}
+    asked = merged.select("*", *[g.alias(f"_gone_{c}") for c, g in gone.items()]).filter("row = 0")
+    alone = F.col("_start") < F.col("x")
+    queries, hits = [F.when(alone, F.col(c)).otherwise(F.col(f"_{c}") - F.col(f"_gone_{c}")) for c in ("queries", "hits")]
+    return asked.select(*keys, "seq", F.when(queries > 0, hits / queries).otherwise(0.0).alias("hit_rate"))
+
+
+def warmup_cutoffs(rows: DataFrame, percentages: list[float], span: float = 1000.0) -> DataFrame:
+    """pct, n, runtime_s, mean latency of the rows left after the first share of them (in order of start_ms).
+
+    Rows are numbered by spans of start time, so that no window holds them all.
     """
-    w = Window.partitionBy(*keys).orderBy("seq")
-    before = F.coalesce(F.sum("requests").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    run = stats.withColumn("_start", before).withColumn("_end", F.col("_start") + F.col("requests"))
-    later = run.select(*keys, F.col("seq").alias("_seq"), F.col("_end").alias("_upto"))
-    joined = run.join(later, list(keys)) if keys else run.crossJoin(later)
-    inside = joined.filter((F.col("seq") <= F.col("_seq")) & ((F.col("_start") >= F.col("_upto") - most) | (F.col("seq") == F.col("_seq"))))
-    return inside.groupBy(*keys, F.col("_seq").alias("seq")).agg(F.when(F.sum("queries") > 0, F.sum("hits") / F.sum("queries")).otherwise(0.0).alias("hit_rate"))
-
-
-def warmup_cutoffs(rows: DataFrame, percentages: list[float]) -> DataFrame:
-    """pct, n, runtime_s, mean latency of the rows left after the first share of them (in order of start_ms)."""
-    numbered = rows.withColumn("_n", F.row_number().over(Window.orderBy("start_ms", "req"))).withColumn("_all", F.count("*").over(Window.partitionBy()))
-    cut = numbered.withColumn("pct", F.explode(F.array(*[F.lit(float(p)) for p in percentages]))).filter(F.col("_n") > F.floor(F.col("pct") * F.col("_all")))
+    spans = rows.withColumn("_span", F.floor(F.col("start_ms") / span))
+    numbered = global_number(spans, ["start_ms", "req"], "_span").withColumnRenamed("number", "_n")
+    total = rows.agg(F.count("*").alias("_all"))
+    cut = numbered.crossJoin(F.broadcast(total)).withColumn("pct", F.explode(F.array(*[F.lit(float(p)) for p in percentages]))).filter(F.col("_n") > F.floor(F.col("pct") * F.col("_all")))
     return cut.groupBy("pct").agg(
         F.count("*").alias("n"), ((F.max_by(F.col("start_ms") + F.col("latency_ms"), "_n") - F.min_by("start_ms", "_n")) / 1000).alias("runtime_s"), F.avg("latency_ms").alias("mean_ms")
     )

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -114,6 +115,26 @@ def lru_cache(accesses: DataFrame, capacity: int) -> DataFrame:
     return accesses.groupBy("cache").applyInPandasWithState(update, "cache long, seq long, hash string, hit boolean", "held array<string>", "append", GroupStateTimeout.NoTimeout)
 
 
+class QueryStats(StreamingQueryListener):
+    """Collects input rows and duration of every batch of every stream: a statistics logger to attach to a session."""
+
+    def __init__(self) -> None:
+        self.batches: list[dict] = []
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.batches.append({"name": p.name, "batch": p.batchId, "rows": p.numInputRows, "ms": p.durationMs.get("triggerExecution", 0)})
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
 def run_to_memory(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Runs a stream over what is there and returns its rows: for tests and small results."""
     query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()

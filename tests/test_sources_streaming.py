@@ -169,3 +169,27 @@ def test_interval_join_stream(stream):
     got = S.run_to_memory(joined.select("event_id", "other"), "t_join").count()
     a, b = batch.alias("a"), batch.alias("b")
     assert got == a.join(b, F.expr("a.user_id = b.user_id AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 10 MINUTES")).count()
+
+
+def test_stream_statistics(spark, stream):
+    _, live = stream
+    stats = S.QueryStats()
+    spark.streams.addListener(stats)
+    S.run_to_memory(live.select("event_id"), "t_stats")
+    spark.streams.removeListener(stats)
+    import time
+
+    for _ in range(50):
+        if stats.batches:
+            break
+        time.sleep(0.1)
+    assert sum(b["rows"] for b in stats.batches) == live.sparkSession.table("t_stats").count()
+
+
+def test_sql_functions(spark):
+    from sparkloom.functions.sql import register
+
+    assert "collapse_repetition" in register(spark)
+    text = "alpha beta alpha beta alpha beta alpha beta omega"
+    assert spark.sql(f"SELECT collapse_repetition('{text}') AS v").first()["v"] == "alpha beta omega"
+    assert spark.sql("SELECT table_matrix_to_html('<table><tr><td>a</td><td><l></l></td></tr></table>') AS v").first()["v"] == '<table><tr><td colspan="2">a</td></tr></table>'
