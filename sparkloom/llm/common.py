@@ -97,7 +97,7 @@ def carry(owner: DataFrame, derived: DataFrame) -> DataFrame:
 
 
 #: Results may be re-derived (``df.select(...)``) after the frame that owns a run is gone, so the last runs stay.
-_KEEP = 4
+_KEEP = 64
 _RECENT: list[Scratch] = []
 
 
