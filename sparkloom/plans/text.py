@@ -265,9 +265,6 @@ def _(t: Tables):
     return D.beyond_high_water(rows, done).groupBy("page").agg(F.count("*").alias("n"))
 
 
-_MD = "list_transform(range(1, 6), lambda i: '## 페이지 ' || (i * CASE WHEN i > 3 THEN 2 ELSE 1 END) || chr(10) || chr(10) || 'body ' || doc_id || ' ' || i || chr(10) || chr(10) || '---')"
-
-
 @query("jn4_page_slice", "SELECT doc_id, 'body ' || doc_id || ' 2' AS second, 'body ' || doc_id || ' 4' AS eighth, NULL::VARCHAR AS seventh FROM {documents}")
 def _(t: Tables):
     pages = [(1, 1), (2, 2), (3, 3), (4, 8), (5, 10)]
