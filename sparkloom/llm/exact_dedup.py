@@ -78,11 +78,13 @@ def duplicates(docs: DataFrame, tracked: int = TRACKED, heavy_rows: int = HEAVY_
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """The rows that stay, with all their columns. Rows equal in id and text count as one."""
     marks = duplicates(docs, **options)
-    kept = marks.filter("kept").select(F.col("doc_id").alias("_k"), F.col("text_sha256").alias("_h"), F.col("n_points").alias("_n"))
+    # plain equality on the same four columns throughout, so that the text is shuffled once for the join and the window
+    key = [F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))]
+    kept = marks.filter("kept").select(key[0].alias("_z"), key[1].alias("_k"), F.col("text_sha256").alias("_h"), F.col("n_points").alias("_n"))
     digest, points = digest_columns()
-    own = docs.select("*", digest.alias("_h0"), points.alias("_n0"))
-    joined = own.join(kept, own["doc_id"].eqNullSafe(kept["_k"]) & (own["_h0"] == kept["_h"]) & (own["_n0"] == kept["_n"]))
-    once = Window.partitionBy("_h0", "_n0", "doc_id").orderBy("text")
+    own = docs.select("*", key[0].alias("_z"), key[1].alias("_k"), digest.alias("_h"), points.alias("_n"))
+    joined = own.join(kept, ["_z", "_k", "_h", "_n"])
+    once = Window.partitionBy("_z", "_k", "_h", "_n").orderBy("text")
     out = joined.withColumn("_r", F.row_number().over(once)).filter("_r = 1").select(*docs.columns)
     out._loom_scratch = marks._loom_scratch
     return out

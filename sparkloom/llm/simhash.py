@@ -236,9 +236,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """One document of each component stays: the smallest id, of rows with that id the first text."""
     marks = near_duplicates(docs, **options)
-    stay = marks.select("component_id").distinct().withColumnRenamed("component_id", "_c")
-    joined = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_c"]))
-    first = Window.partitionBy("doc_id").orderBy("text")
-    out = joined.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*docs.columns)
+    # plain equality on the same two columns, so that the text is shuffled once for the join and the window
+    stay = marks.select(F.col("component_id").isNull().alias("_z"), F.coalesce("component_id", F.lit(0)).alias("_k")).distinct()
+    own = docs.select("*", F.col("doc_id").isNull().alias("_z"), F.coalesce("doc_id", F.lit(0)).alias("_k"))
+    first = Window.partitionBy("_z", "_k").orderBy("text")
+    out = own.join(stay, ["_z", "_k"]).withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*docs.columns)
     out._loom_scratch = marks._loom_scratch
     return out
