@@ -42,7 +42,7 @@ from sparkloom.llm.warc import open_store
 
 LENGTH = 100
 GRAM = 32
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 #: Records of a bucket (about 26 bytes each), and bytes of the strings of one suffix array.
 BUCKET_RECORDS = 250_000
 ARRAY_BYTES = 3 << 20
