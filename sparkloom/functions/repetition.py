@@ -29,7 +29,7 @@ def collapse_sentences(text: str, least: int, observed: bool) -> str:
     """
     parts, out, at = _MARKS.split(text), [], 0
     while at < len(parts):
-        may = at + 2 * least <= len(parts) and (observed or at % 2 == 0)
+        may = at + 2 * least <= len(parts) and (observed or at % 2 == 0) and parts[at] == parts[at + 2]
         count = _run(parts, at, 1, 2) if may else 1
         if count >= least:
             out += parts[at : at + 2]
@@ -49,7 +49,9 @@ def collapse_words(sentence: str, least: int) -> str:
     while at < len(words):
         step = 1
         for width in range(widest, 1, -1):
-            count = _run(words, at, width, width) if at + width * least <= len(words) else 1
+            if at + width * least > len(words) or words[at] != words[at + width]:
+                continue
+            count = _run(words, at, width, width)
             if count >= least:
                 out += words[at : at + width]
                 step = width * count

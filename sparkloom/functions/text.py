@@ -10,6 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, not wherever it occurs."""
+    return F.transform(F.array(value), body)[0]
+
+
 EDGES = r"(?U)^\s+|\s+$"
 
 
@@ -44,7 +49,6 @@ def split_chunks(text: Column, most: int = 3000) -> Column:
     A single sentence longer than ``most`` stays whole. Joining costs 4 characters of room for a paragraph, 2 for a sentence.
     """
     piece = "array<struct<text:string,sep:string,room:int>>"
-    paragraphs = F.split(text, "\n\n", -1)
 
     def pieces(p: Column) -> Column:
         short = F.array(F.struct(p.alias("text"), F.lit("\n\n").alias("sep"), F.lit(4).alias("room")))
@@ -61,8 +65,11 @@ def split_chunks(text: Column, most: int = 3000) -> Column:
         joined = F.when(acc["open"] != "", F.concat(acc["open"], x["sep"], x["text"])).otherwise(x["text"])
         return F.struct(F.when(fits, acc["done"]).otherwise(closed(acc)).alias("done"), F.when(fits, joined).otherwise(x["text"]).alias("open"))
 
-    packed = F.aggregate(F.flatten(F.transform(paragraphs, pieces)), start, add, closed)
-    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).when(F.length(text) <= most, F.array(text)).otherwise(packed)
+    def whole(value: Column) -> Column:
+        packed = F.aggregate(F.flatten(F.transform(F.split(value, "\n\n", -1), pieces)), start, add, closed)
+        return F.when(F.coalesce(value, F.lit("")) == "", F.array().cast("array<string>")).when(F.length(value) <= most, F.array(value)).otherwise(packed)
+
+    return let(text, whole)
 
 
 def gated_chunks(text: Column, most: int = 2000) -> Column:

@@ -5,7 +5,6 @@ A box row has doc, page, pos (its place in the input), label, text and coordinat
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,29 +56,27 @@ def with_thresholds(detections: DataFrame, classes: DataFrame) -> DataFrame:
     return detections.join(F.broadcast(classes), "class_id").filter(F.col("score") >= F.col("threshold"))
 
 
-def column_leaders(x: list[float], near: float = X_NEAR) -> list[int]:
-    """Leader clustering: a value joins the first cluster whose first value is nearer than ``near``."""
-    leaders: list[float] = []
-    out = []
-    for value in x:
-        hit = next((i for i, first in enumerate(leaders) if abs(value - first) < near), None)
-        if hit is None:
-            leaders.append(value)
-            hit = len(leaders) - 1
-        out.append(hit)
-    return out
+def column_leaders(x: Column, near: float = X_NEAR) -> Column:
+    """Leader clustering of an array: a value joins the first cluster whose first value is nearer than ``near``. Cluster of each value."""
+    state = "struct<leaders:array<double>,out:array<int>>"
 
+    def join(acc: Column, value: Column) -> Column:
+        # numbers of the leaders in reach; null for the others, which array_min skips
+        hit = F.array_min(F.transform(acc["leaders"], lambda first, i: F.when(F.abs(value - first) < near, i)))
+        leaders = F.when(hit.isNull(), F.concat(acc["leaders"], F.array(value))).otherwise(acc["leaders"])
+        return F.struct(leaders.alias("leaders"), F.concat(acc["out"], F.array(F.coalesce(hit, F.size(acc["leaders"])))).alias("out")).cast(state)
 
-def with_columns_of_page(boxes: DataFrame) -> DataFrame:
-    """Adds ``x_group``. The clusters depend on input order, so a page is one Arrow group (bounded by its boxes)."""
-    names = boxes.columns
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in boxes.schema.fields) + ", x_group int"
+    start = F.struct(F.array().cast("array<double>").alias("leaders"), F.array().cast("array<int>").alias("out")).cast(state)
+    return F.aggregate(x, start, join)["out"]
 
-    def cluster(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("pos", kind="stable")
-        return page.assign(x_group=column_leaders([c[0] for c in page["coordinate"]]))[[*names, "x_group"]]
 
-    return boxes.groupBy("doc", "page").applyInPandas(cluster, schema)
+def with_columns_of_page(boxes: DataFrame) -> DataFrame:
+    """Adds ``x_group``. The clusters depend on input order, so a page is folded as one array (bounded by its boxes)."""
+    rest = [c for c in boxes.columns if c not in ("doc", "page", "pos")]
+    pages = boxes.groupBy("doc", "page").agg(F.array_sort(F.collect_list(F.struct("pos", *rest))).alias("_b"))
+    groups = column_leaders(F.transform("_b", lambda b: b["coordinate"][0].cast("double")))
+    rows = pages.select("doc", "page", F.explode(F.arrays_zip(F.col("_b").alias("b"), groups.alias("g"))).alias("_r"))
+    return rows.select("doc", "page", "_r.b.*", F.col("_r.g").alias("x_group"))
 
 
 def block_order(boxes: DataFrame) -> DataFrame:

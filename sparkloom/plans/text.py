@@ -74,10 +74,14 @@ FROM chunks JOIN documents USING (doc_id) LEFT JOIN labels USING (doc_id) GROUP
 @query("str5_chunk_report", _FLAGSHIP)
 def chunk_report(t: Tables):
     """Sentences deduplicated, chunked, joined with labels, counted by language. Chunks are counted in place, so no text is shuffled."""
-    docs = t("documents").select("doc_id", "lang", T.gated_chunks(T.dedup_sentences(F.col("text"))).alias("c")).filter(F.size("c") > 0)
-    sizes = docs.select("doc_id", "lang", F.size("c").alias("n"), F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("chars"))
-    joined = sizes.join(t("labels").select("doc_id", "toxic"), "doc_id", "left")
-    return joined.groupBy("lang", "toxic").agg(F.sum("n").alias("chunks"), F.count("*").alias("docs"), F.round(F.sum("chars") / F.sum("n"), 6).alias("mean_chars"))
+    def sizes(chunks):
+        return F.struct(F.size(chunks).alias("n"), F.aggregate(chunks, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("chars"))
+
+    # no filter on the chunks: it would be pushed below their projection and split every text twice
+    docs = t("documents").select("doc_id", "lang", T.let(T.gated_chunks(T.dedup_sentences(F.col("text"))), sizes).alias("s")).select("doc_id", "lang", "s.n", "s.chars")
+    joined = docs.join(t("labels").select("doc_id", "toxic"), "doc_id", "left")
+    out = joined.groupBy("lang", "toxic").agg(F.sum("n").alias("chunks"), F.count_if(F.col("n") > 0).alias("docs"), F.sum("chars").alias("chars"))
+    return out.filter("chunks > 0").select("lang", "toxic", "chunks", "docs", F.round(F.col("chars") / F.col("chunks"), 6).alias("mean_chars"))
 
 
 @query("str3_repetition_collapse")

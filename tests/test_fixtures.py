@@ -38,8 +38,10 @@ def test_block_ordering(spark):
     assert [(r["text"], r["block_id"]) for r in rows] == [("1. Intro", 0), ("body", 0), ("far", 1), ("12", 2), ("right col", 3)]
 
 
-def test_leaders_compare_with_the_first_member():
-    assert L.column_leaders([0, 90, 150, 95, 260]) == [0, 0, 1, 0, 2]
+def test_leaders_compare_with_the_first_member(spark):
+    x = F.array(*[F.lit(float(v)) for v in (0, 90, 150, 95, 260)])
+    assert value(spark, L.column_leaders(x)) == [0, 0, 1, 0, 2]
+    assert value(spark, L.column_leaders(F.array().cast("array<double>"))) == []
 
 
 def test_page_markdown(spark):
