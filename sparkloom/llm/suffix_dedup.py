@@ -64,28 +64,28 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
     n = len(text)
     if not n:
         return np.zeros(0, bool)
-    differs = np.flatnonzero(text[1:] != text[:-1])
-    rises = np.zeros(n, bool)
     # positions up to and with a change compare as the change does
-    following = np.searchsorted(differs, np.arange(n))
-    inside = following < len(differs)
-    at = differs[following[inside]]
-    rises[inside] = text[at] < text[at + 1]
+    change = np.where(text[1:] != text[:-1], np.arange(n - 1), n - 1)
+    change = np.minimum.accumulate(change[::-1])[::-1]
+    rises = np.zeros(n, bool)
+    inside = change < n - 1
+    at = change[inside]
+    rises[:-1][inside] = text[at] < text[at + 1]
     return rises
 
 
-def _words(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Eight bytes from each position, as big-endian numbers: their order is that of the bytes."""
-    view = np.lib.stride_tricks.as_strided(padded, (len(padded) - 7, 8), (1, 1))
-    return view[at].copy().view(">u8").ravel().astype(np.uint64)
+def words_of(text: np.ndarray, room: int) -> np.ndarray:
+    """Eight bytes from each position as big-endian numbers, whose order is that of the bytes; zeros follow the text."""
+    padded = np.concatenate([text, np.zeros(room + 16, np.uint8)])
+    return np.ndarray((len(padded) - 7,), ">u8", padded, strides=(1,)).astype(np.uint64)
 
 
-def common_prefix(padded: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Length of the common prefix of the suffixes at a and b, at most ``most``."""
     out = np.full(len(a), most, np.int64)
     live = np.arange(len(a))
     for depth in range(0, most, 8):
-        x = _words(padded, a[live] + depth) ^ _words(padded, b[live] + depth)
+        x = words[a[live] + depth] ^ words[b[live] + depth]
         apart = x != 0
         if apart.any():
             bits = np.frexp((x[apart] >> U64(11)).astype(np.float64))[1].astype(np.int64) + 11
@@ -98,11 +98,11 @@ def common_prefix(padded: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -
     return out
 
 
-def sort_directly(padded: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+def sort_directly(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     """Positions by their first ``depth`` bytes. Rounds of eight bytes; groups of equal strings leave early."""
     if not len(at):
         return at
-    key = _words(padded, at)
+    key = words[at]
     order = np.argsort(key, kind="stable")
     at, key = at[order], key[order]
     done = 8
@@ -114,13 +114,13 @@ def sort_directly(padded: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
         if done >= 24:  # most groups left are equal strings: those are finished
             same = np.ones(len(tied), bool)
             mates = np.flatnonzero(group[tied[1:]] == group[tied[:-1]])
-            equal = common_prefix(padded, at[tied[mates]] + done, at[tied[mates + 1]] + done, depth - done) >= depth - done
+            equal = common_prefix(words, at[tied[mates]] + done, at[tied[mates + 1]] + done, depth - done) >= depth - done
             open_groups = np.unique(group[tied[mates[~equal]]])
             same = ~np.isin(group[tied], open_groups)
             tied = tied[~same]
             if not len(tied):
                 break
-        key = _words(padded, at[tied] + done)
+        key = words[at[tied] + done]
         order = np.lexsort((key, group[tied]))
         at[tied] = at[tied[order]]
         key, own = key[order], group[tied]
@@ -133,7 +133,7 @@ def sort_directly(padded: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return at
 
 
-def two_stage(text: np.ndarray, needed: np.ndarray, depth: int) -> np.ndarray:
+def two_stage(text: np.ndarray, needed: np.ndarray, depth: int, words: np.ndarray | None = None) -> np.ndarray:
     """The needed suffixes in the order of their first ``depth`` bytes.
 
     Suffixes smaller than their successors are sorted directly. The others are induced: buckets (first
@@ -142,7 +142,6 @@ def two_stage(text: np.ndarray, needed: np.ndarray, depth: int) -> np.ndarray:
     those that induce them take part.
     """
     n = len(text)
-    padded = np.concatenate([text, np.zeros(depth + 16, np.uint8)])
     rises = smaller_than_next(text)
     wanted = needed.copy()
     # a larger suffix needs its successor, up to the first smaller one
@@ -152,7 +151,8 @@ def two_stage(text: np.ndarray, needed: np.ndarray, depth: int) -> np.ndarray:
         following = following[~wanted[following]]
         wanted[following] = True
         falls = following[~rises[following]]
-    direct = sort_directly(padded, np.flatnonzero(wanted & rises), depth)
+    words = words_of(text, depth) if words is None else words
+    direct = sort_directly(words, np.flatnonzero(wanted & rises), depth)
     bytes_of = text[direct]
     larger = wanted & ~rises
     inducing = np.zeros(n + 1, bool)
@@ -203,11 +203,11 @@ def window_classes(strings: list[bytes], windows: np.ndarray, length: int = LENG
     at = starts[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows))
     needed = np.zeros(len(text), bool)
     needed[at] = True
-    order = two_stage(text, needed, length)
-    padded = np.concatenate([text, np.zeros(length + 16, np.uint8)])
-    prefix = common_prefix(padded, order[:-1], order[1:], length)
+    words = words_of(text, length)
+    order = two_stage(text, needed, length, words)
+    prefix = common_prefix(words, order[:-1], order[1:], length)
     classes = np.cumsum(np.concatenate([[True], prefix < length])) - 1 if len(order) else np.empty(0, np.int64)
-    string = np.searchsorted(starts, order, "right") - 1
+    string = np.repeat(np.arange(len(strings), dtype=np.int32), sizes)[order]
     return string, order - starts[string], classes
 
 
@@ -415,8 +415,9 @@ def runs_by_bucket(work: DataFrame, hot: np.ndarray, buckets: int, length: int,
 
 def by_first_place(record: np.ndarray, docs: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     """Order by keys, then by place: document order, then first window."""
-    d = docs[record["doc"]]
-    return np.lexsort((record["first"], d["row"], d["tie"], d["id"], 1 - d["null"].astype(np.int8), *reversed(keys)))
+    rank = np.empty(len(docs), np.int64)
+    rank[np.lexsort((docs["row"], docs["tie"], docs["id"], 1 - docs["null"].astype(np.int8)))] = np.arange(len(docs))
+    return np.lexsort((rank[record["doc"]] << 32 | record["first"], *reversed(keys)))
 
 
 def resolve_bucket(paths: list[str], docs: list[bytes], runs: list[bytes]) -> Iterator[tuple[str, bytes, bytes, int]]:

@@ -141,8 +141,8 @@ def test_two_stage_order_is_suffix_order(parts, depth):
 
 def test_common_prefix():
     raw = b"abcdefghijXklmnop" + b"abcdefghijYklmnop" + bytes(64)
-    padded = np.frombuffer(raw, np.uint8)
-    assert suffix_dedup.common_prefix(padded, np.array([0, 5, 0]), np.array([17, 22, 0]), 30).tolist() == [10, 5, 30]
+    words = suffix_dedup.words_of(np.frombuffer(raw, np.uint8), 0)
+    assert suffix_dedup.common_prefix(words, np.array([0, 5, 0]), np.array([17, 22, 0]), 30).tolist() == [10, 5, 30]
 
 
 def plain_removal(rows, length):
