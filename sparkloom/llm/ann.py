@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.ship import ship
+
 K = 20
 PROJECTIONS = 64
 THRESHOLD = 0.8
@@ -128,6 +130,7 @@ def usable(column: str) -> Column:
 
 def search(vectors: DataFrame, query_filter: Column, id_column: str = "vec_id", column: str = "embedding", k: int = K, share: float = SHARE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row that ``query_filter`` selects."""
+    ship(vectors.sparkSession)
     rows = vectors.filter(usable(column)).filter(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(column).alias("x"), query_filter.alias("is_query"))
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q"), F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))).alias("norm")).first()
     blocks, query_blocks = max(1, -(-sizes["n"] // block_rows)), max(1, -(-sizes["q"] // query_rows))

@@ -17,6 +17,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.ship import ship
+
 #: ASCII white space, as a Java character class.
 WS = r"[\x20\x09-\x0D]"
 #: A word: a maximal run of anything else.
@@ -31,6 +33,7 @@ def text_of(column: str = "text") -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -64,6 +67,7 @@ class Scratch:
     last frame is garbage, the folder goes."""
 
     def __init__(self, spark: SparkSession, label: str):
+        ship(spark)
         self.spark, self.label = spark, label
         self._live: dict[str, object] = {}
 
@@ -132,6 +136,7 @@ def bounded_batches(spark: SparkSession) -> None:
 def map_arrow(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]]) -> DataFrame:
     """``mapInArrow`` whose per-task state is built by ``make`` on the executor."""
 
+    ship(df.sparkSession)
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
