@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkloom.ship import ship
+
 _MARKS = re.compile(r"([.!?\n])")
 SHORT = 20
 LONGEST = 15
@@ -70,6 +72,7 @@ def collapse_repetition(text: str | None, least: int = 4, observed: bool = False
 
 def collapsed(text: Column, least: int = 4, mode: str = "intended") -> Column:
     """Column form. ``mode`` is ``intended`` or ``observed``."""
+    ship()
     observed = mode == "observed"
 
     @F.pandas_udf("string")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions.repetition import collapse_repetition
 from sparkloom.functions.tables import html_to_matrix, matrix_to_html
+from sparkloom.ship import ship
 
 #: Name, function of one text.
 SCALARS = {
@@ -28,6 +29,7 @@ def _vectorised(function):
 
 def register(spark: SparkSession) -> list[str]:
     """Registers all scalars in a session and returns their names."""
+    ship(spark)
     for name, function in SCALARS.items():
         spark.udf.register(name, _vectorised(function))
     return sorted(SCALARS)

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkloom.ship import ship
+
 MARKS = ("l", "t", "lt")
 
 
@@ -113,6 +115,8 @@ def html_to_matrix(html: str) -> str:
 
 
 def _apply(text: Column, convert, tolerant: bool) -> Column:
+    ship()
+
     def fragment(part: str) -> str:
         if cells(part) is None:
             return part

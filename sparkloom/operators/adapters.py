@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.ship import ship
+
 _LOADED: dict[str, Any] = {}
 
 
@@ -26,6 +28,7 @@ def loaded(name: str, load: Callable[[], Any]) -> Any:
 
 def with_model(rows: DataFrame, name: str, load: Callable[[], Any], apply: Callable[[Any, pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
     """Rows through a model: ``apply(model, batch)`` gives a batch of ``schema``."""
+    ship(rows.sparkSession)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -141,6 +144,8 @@ def quietest_split(samples: list[float], rate: int, longest: float, window: int)
 def split_audio(audio: DataFrame, rate: int, longest: float, window: int) -> DataFrame:
     """audio, first, last sample of every span of rows audio, samples (array)."""
 
+    ship(audio.sparkSession)
+
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = [(a, f, t) for a, s in zip(part["audio"], part["samples"], strict=True) for f, t in quietest_split(list(s), rate, longest, window)]

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.ship import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -26,6 +28,7 @@ FROM {lineitem} GROUP BY l_orderkey, l_linenumber
 
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
+        ship(spark)
         self.spark, self.sf_dir = spark, sf_dir
 
     def __call__(self, name: str) -> DataFrame:

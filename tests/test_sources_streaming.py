@@ -193,3 +193,56 @@ def test_sql_functions(spark):
     text = "alpha beta alpha beta alpha beta alpha beta omega"
     assert spark.sql(f"SELECT collapse_repetition('{text}') AS v").first()["v"] == "alpha beta omega"
     assert spark.sql("SELECT table_matrix_to_html('<table><tr><td>a</td><td><l></l></td></tr></table>') AS v").first()["v"] == '<table><tr><td colspan="2">a</td></tr></table>'
+
+
+def test_metadata_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("d1", "t1", "/a"), ("d2", "t2", "/b")], "doc string, title string, _source_path string")
+    sinks.write_metadata(rows, str(tmp_path / "per_doc"))
+    back = spark.read.json(str(tmp_path / "per_doc"))
+    assert sorted(back.columns) == ["doc", "title"] and back.count() == 2
+    sinks.write_combined([rows, rows.withColumn("extra", F.lit(1))], str(tmp_path / "all"))
+    assert spark.read.json(str(tmp_path / "all")).count() == 4
+    one = sinks.envelope(rows.drop("_source_path"), "1.0", "/src", F.lit("2024-01-02").cast("timestamp")).first()
+    assert (one["total_files"], len(one["metadata"]), one["generated_at"], one["version"]) == (2, 2, "2024-01-02T00:00:00", "1.0")
+
+
+def test_benchmark_results(spark, tmp_path):
+    for name, qps in (("chunked", 2), ("chunked", 4), ("disagg", 2), ("other", 2)):
+        (tmp_path / f"{name}-qps-{qps}.json").write_text(json.dumps({"qps": qps, "mean_ttft_ms": 1.5 * qps}))
+    got = files.benchmark_results(spark, str(tmp_path), ["chunked", "disagg"])
+    assert sorted((r["name"], r["qps"]) for r in got.collect()) == [("chunked", 2), ("chunked", 4), ("disagg", 2)]
+
+
+def test_transcripts(spark, tmp_path):
+    rows = spark.createDataFrame([("x", 0.0, 65.0, "A", "hello"), ("x", 65.0, 66.0, "UNKNOWN", "noise")], "audio string, start double, end double, speaker string, text string")
+    header = sinks.transcript_header({"audio_filename": F.lit("x.wav"), "duration_seconds": F.lit(66.0)})
+    sinks.write_transcripts(rows, header, str(tmp_path / "time"), str(tmp_path / "text"))
+    timeline = files.read_whole_texts(spark, str(tmp_path / "time"), "*.txt").first()["text"]
+    assert timeline.startswith("[00:00 - 01:05] **A**: hello")
+    text = files.read_whole_texts(spark, str(tmp_path / "text"), "*.txt").first()["text"]
+    assert text == '<!--METADATA:{"audio_filename": "x.wav", "duration_seconds": 66.0}-->\n\nhello\n'
+
+
+def test_excel_report_refuses_large_tables(spark, tmp_path):
+    with pytest.raises((RuntimeError, ValueError, ImportError, ModuleNotFoundError)):
+        sinks.write_excel({"s": spark.range(5)}, str(tmp_path / "r.xlsx"), rows=2)
+
+
+def test_package_goes_with_the_session(tmp_path):
+    """A driver elsewhere, with no path to the package for its workers."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+from sparkloom.operators import adapters
+print(adapters.infer(spark.createDataFrame([(1, "a")], "id int, text string"), "generate").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().endswith("1"), done.stderr[-2000:]
