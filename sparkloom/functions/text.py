@@ -220,7 +220,7 @@ def bare_json_tool_calls(output: Column) -> Column:
 
 #: Parsers of model output by name; ``register_parser`` adds more.
 TOOL_PARSERS: dict[str, Callable[[Column], Column]] = {
-    "hermes": tagged_tool_calls,
+    "call_tags": tagged_tool_calls,
     "bare_json": bare_json_tool_calls,
     "bracketed": lambda c: tagged_tool_calls(c, r"\[TOOL_CALLS\]", r"\[/TOOL_CALLS\]"),
 }

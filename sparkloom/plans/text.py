@@ -176,7 +176,7 @@ def _(t: Tables):
     turn = F.col("turn") % 3
     call = F.concat(F.lit('<tool_call>\n{"name": "look", "arguments": {"id":'), F.col("conv_id").cast("string"), F.lit("}}\n</tool_call>"))
     output = F.when(turn == 0, F.concat("role", call)).when(turn == 1, F.concat(call, F.lit("<tool_call>{broken</tool_call>"))).otherwise(F.col("role"))
-    rows = t("conversations").select("conv_id", "turn", T.TOOL_PARSERS["hermes"](output).alias("r"))
+    rows = t("conversations").select("conv_id", "turn", T.TOOL_PARSERS["call_tags"](output).alias("r"))
     return rows.select("conv_id", "turn", "r.called", F.get("r.calls", F.lit(0))["name"].alias("name"), F.get("r.calls", F.lit(0))["arguments"].alias("arguments"))
 
 
