@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HASHED = "struct<parent:string,out:array<string>>"
-
 
 def prefix_block_hashes(tokens: Column, size: int, extra: Column | None = None) -> Column:
     """A chained hash for every full block: digest of the parent's hash, the block's tokens and extra keys."""
-    key = F.lit("") if extra is None else F.coalesce(extra.cast("string"), F.lit(""))
-    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(tokens) / size).cast("int") - 1), lambda i: F.slice(tokens, i * size + 1, F.lit(size)))
 
-    def chain(acc: Column, block: Column) -> Column:
-        h = F.sha2(F.concat_ws("|", acc["parent"], F.array_join(F.transform(block, lambda t: t.cast("string")), ","), key), 256)
-        return F.struct(h.alias("parent"), F.concat(acc["out"], F.array(h)).alias("out")).cast(HASHED)
+    def chain(rows: pa.Array, extras: pa.Array) -> pa.Array:
+        out = []
+        for row, key in zip(rows, extras.to_pylist(), strict=True):
+            values, parent, hashes = row.as_py(), "root", []
+            for first in range(0, len(values or []) // size * size, size):
+                block = ",".join(str(v) for v in values[first : first + size] if v is not None)
+                parent = hashlib.sha256(f"{parent}|{block}|{key or ''}".encode()).hexdigest()
+                hashes.append(parent)
+            out.append(None if values is None else hashes)
+        return pa.array(out, pa.list_(pa.string()))
 
-    start = F.struct(F.lit("root").alias("parent"), F.array().cast("array<string>").alias("out")).cast(HASHED)
-    return F.when(F.size(tokens) < size, F.array().cast("array<string>")).otherwise(F.aggregate(blocks, start, chain)["out"])
+    key = F.lit("") if extra is None else F.coalesce(extra.cast("string"), F.lit(""))
+    return F.arrow_udf(chain, "array<string>")(tokens, key)
 
 
 def ngram_proposal(tokens: Column, shortest: int, longest: int, k: int, most: int) -> Column:
@@ -55,20 +61,15 @@ def replaced(tokens: Column, pattern: list[int], with_: list[int]) -> Column:
     """Occurrences of a pattern replaced from the left, without overlap; an empty pattern changes nothing."""
     if not pattern:
         return tokens
-    width = len(pattern)
-    new, old = F.array(*[F.lit(t) for t in with_]).cast("array<int>"), F.array(*[F.lit(t) for t in pattern]).cast("array<int>")
-    state = "struct<skip:int,out:array<int>>"
+    width, new = len(pattern), F.array(*[F.lit(t) for t in with_]).cast("array<int>")
 
-    def step(acc: Column, i: Column) -> Column:
-        hit = F.slice(tokens, i, F.lit(width)) == old
-        return (
-            F.when(acc["skip"] > 0, F.struct((acc["skip"] - 1).alias("skip"), acc["out"].alias("out")).cast(state))
-            .when(hit, F.struct(F.lit(width - 1).alias("skip"), F.concat(acc["out"], new).alias("out")).cast(state))
-            .otherwise(F.struct(F.lit(0).alias("skip"), F.concat(acc["out"], F.slice(tokens, i, F.lit(1))).alias("out")).cast(state))
-        )
-
-    start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<int>").alias("out")).cast(state)
-    return F.when(F.size(tokens) == 0, tokens).otherwise(F.aggregate(F.sequence(F.lit(1), F.size(tokens)), start, step)["out"])
+    def joined(starts: Column) -> Column:
+        after = F.concat(F.array(F.lit(0)), F.transform(starts, lambda s: s + width))
+        pieces = F.transform(after, lambda e, i: F.slice(tokens, e + 1, F.coalesce(F.get(starts, i), F.size(tokens)) - e))
+        return F.flatten(F.transform(pieces, lambda p, i: F.when(i < F.size(starts), F.concat(p, new)).otherwise(p)))
+
+    # a lambda's argument, so that the starts are found once
+    return F.transform(F.array(found_at(tokens, pattern)), joined)[0]
 
 
 def found_at(tokens: Column, pattern: list[int]) -> Column:

@@ -102,10 +102,11 @@ def logits(t: Tables) -> DataFrame:
     return rows.select("req", "token_id", F.round(F.col("x").cast("double") * 20, 1).alias("logit"))
 
 
-#: Token arrays of a document: word lengths mod 4 of its first 40 words.
+#: SQL of ``tokens`` on the first 40 words only; ``tokens`` itself takes every word.
 TOKENS_SQL = "SELECT doc_id, list_transform(string_split(text, ' ')[1:40], lambda x: CAST(length(x) % 4 AS INT)) AS tokens FROM documents"
 
 
 def tokens(t: Tables) -> DataFrame:
-    words = F.slice(F.split("text", " ", -1), 1, 40)
+    """Token arrays of a document: word lengths mod 4 of all its words."""
+    words = F.split("text", " ", -1)
     return t("documents").select("doc_id", F.transform(words, lambda w: (F.length(w) % 4).cast("int")).alias("tokens"))

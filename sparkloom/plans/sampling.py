@@ -180,7 +180,7 @@ m AS (SELECT doc_id, n, min(i) FILTER (WHERE c.p IS NULL) AS miss, count(*) AS b
 SELECT t.doc_id AS req, CAST(coalesce(least(coalesce(miss - 1, blocks), floor((len(t.tokens) - 1) / 4)), 0) AS INT) AS blocks FROM t LEFT JOIN m USING (doc_id)""")
 def _(t: Tables):
     rows = tokens(t).select(F.col("doc_id").alias("req"), F.size("tokens").alias("n"), K.prefix_block_hashes(F.col("tokens"), 4).alias("hashes"))
-    cache = rows.filter("req % 2 = 0").select(F.explode("hashes").alias("hash"))
+    cache = rows.filter("req % 2 = 0").select(F.explode_outer("hashes").alias("hash"))  # outer: no filter that hashes once more
     return Q.cached_prefix(rows, cache, 4).select("req", "blocks")
 
 
@@ -188,7 +188,7 @@ def _(t: Tables):
 m AS (SELECT doc_id, t, len(t) AS n, list_filter(range(1, len(t) - 2), lambda i: t[i:i + 2] = t[-3:]) AS m3, list_filter(range(1, len(t) - 1), lambda i: t[i:i + 1] = t[-2:]) AS m2 FROM s)
 SELECT doc_id, array_to_string(CASE WHEN n > 3 AND len(m3) > 0 THEN t[m3[1] + 3 : least(m3[1] + 5, n)] WHEN n > 2 AND len(m2) > 0 THEN t[m2[1] + 2 : least(m2[1] + 4, n)] END, ',') AS proposal FROM m""")
 def _(t: Tables):
-    p = K.ngram_proposal(F.slice("tokens", 1, 20), 2, 3, 3, 100)
+    p = K.ngram_proposal(F.col("tokens"), 2, 3, 3, 100)
     return tokens(t).select("doc_id", F.array_join(F.transform(p, lambda x: x.cast("string")), ",").alias("proposal"))
 
 
