@@ -157,8 +157,8 @@ def _(t: Tables):
 
 @query("tk8_beam_search")
 def _(t: Tables):
-    starts = t("embeddings").filter("vec_id < 20").select(F.col("vec_id").alias("req"))
-    table = P.with_logprobs(logits(t)).filter("req < 20 AND token_id < 8").select("req", "token_id", "logprob")
+    starts = t("embeddings").select(F.col("vec_id").alias("req"))
+    table = P.with_logprobs(logits(t)).select("req", "token_id", "logprob")
     out = P.beam_search(lambda b: b.select("req", "beam").join(table, "req"), starts, 3, 4, eos=0)
     return out.select("req", F.col("rank").cast("long").alias("rank"), F.array_join(F.transform("tokens", lambda x: x.cast("string")), ",").alias("tokens"), F.round("score", 6).alias("score"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 from collections import Counter
 
@@ -75,3 +76,37 @@ def test_ngram_lookup_takes_all_words(spark, texts, token_dir):
         return None
 
     assert result(spark, "jsn10_ngram_lookup", token_dir, "doc_id", "proposal") == {i: proposal(tokens_of(t)) for i, t in texts.items()}
+
+
+@pytest.fixture(scope="module")
+def vector_dir(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("vectors")
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-0.4, 0.4) for _ in range(11)]) for i in [*range(3), *range(30, 34), *range(400, 423)]]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(str(path / "embeddings.parquet"))
+    return str(path), dict(rows)
+
+
+def brute_beams(row: list[float], width: int, steps: int, eos: int) -> list[tuple[str, float]]:
+    """The same rule over every token of the vocabulary."""
+    x = [round(v * 20, 1) for v in row]
+    lp = [v - math.log(sum(map(math.exp, x))) for v in x]
+    beams, ended = [((), 0.0)], []
+    for _ in range(steps):
+        grown = sorted(((s + p, b, i, toks) for b, (toks, s) in enumerate(beams) for i, p in enumerate(lp)), key=lambda g: (-g[0], g[1], g[2]))[: 2 * width]
+        ended += [(toks, s) for s, _, i, toks in grown if i == eos]
+        beams = [((*toks, i), s) for s, _, i, toks in grown if i != eos][:width]
+    scored = sorted(((s / max(len(toks), 1), toks) for toks, s in ended + beams), key=lambda g: (-g[0], g[1]))[:width]
+    return [(",".join(map(str, toks)), s) for s, toks in scored]
+
+
+def test_beam_search_takes_all_requests_and_tokens(spark, vector_dir):
+    path, rows = vector_dir
+    got = {(r["req"], r["rank"]): r for r in QUERIES["tk8_beam_search"](spark, path).collect()}
+    assert {k[0] for k in got} == set(rows)
+    for i, row in rows.items():
+        expected = brute_beams(row, 3, 4, 0)
+        assert len([k for k in got if k[0] == i]) == len(expected)
+        assert sorted(got[i, r + 1]["score"] for r in range(len(expected))) == pytest.approx(sorted(s for _, s in expected), abs=1e-5)
+        assert got[i, 1]["tokens"].count(",") == expected[0][0].count(",")
+    assert any(int(x) >= 8 for r in got.values() for x in r["tokens"].split(",") if x)
