@@ -99,6 +99,13 @@ def balanced(items: DataFrame, bins: int) -> DataFrame:
     return items.select("group", "item", "size").groupBy("group").applyInPandas(fold, "group long, item long, bin int, place int")
 
 
+def filled_evenly(items: DataFrame, bins: int) -> DataFrame:
+    """group, item, size with empty items (null, size 0) added, so that every group fills ``bins`` evenly."""
+    lacking = items.groupBy("group").agg(F.pmod(-F.count("*"), F.lit(bins)).alias("_n")).filter("_n > 0")
+    empty = lacking.select("group", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("group", F.lit(None).cast("long").alias("item"), F.lit(0.0).alias("size"))
+    return items.select("group", "item", "size").unionByName(empty)
+
+
 def packed_evenly(items: DataFrame, bins: int) -> DataFrame:
     """group, item, bin, place: the same with the same number of items in every bin."""
 

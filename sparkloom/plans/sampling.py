@@ -265,8 +265,8 @@ def _(t: Tables):
 
 @query("tk15_even_packing")
 def _(t: Tables):
-    items = t("embeddings").filter("vec_id < 400").select((F.col("vec_id") % 10).alias("group"), F.col("vec_id").alias("item"), F.abs(F.col("embedding")[0]).cast("double").alias("size"))
-    return Q.packed_evenly(items, 8).groupBy("group", "bin").agg(F.count("*").alias("n"))
+    items = t("embeddings").select(F.floor(F.col("vec_id") / 40).alias("group"), F.col("vec_id").alias("item"), F.abs(F.col("embedding")[0]).cast("double").alias("size"))
+    return Q.packed_evenly(Q.filled_evenly(items, 8), 8).filter("item IS NOT NULL").groupBy("group", "bin").agg(F.count("*").alias("n"))
 
 
 @query("tk17_modality_runs", "SELECT conv_id, count(*) AS runs FROM (SELECT conv_id, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS new FROM {conversations} WHERE turn % 3 <> 1) WHERE new GROUP BY conv_id")

@@ -110,3 +110,12 @@ def test_beam_search_takes_all_requests_and_tokens(spark, vector_dir):
         assert sorted(got[i, r + 1]["score"] for r in range(len(expected))) == pytest.approx(sorted(s for _, s in expected), abs=1e-5)
         assert got[i, 1]["tokens"].count(",") == expected[0][0].count(",")
     assert any(int(x) >= 8 for r in got.values() for x in r["tokens"].split(",") if x)
+
+
+def test_even_packing_takes_all_rows(spark, vector_dir):
+    path, rows = vector_dir
+    counts = Counter()
+    for r in QUERIES["tk15_even_packing"](spark, path).collect():
+        counts[r["group"]] += r["n"]
+        assert r["n"] <= -(-sum(i // 40 == r["group"] for i in rows) // 8)
+    assert counts == Counter(i // 40 for i in rows)
