@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import Scratch, map_arrow
+from sparkloom.llm.common import WS, Scratch, map_arrow, text_of
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -177,13 +177,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
 
 
 def materialised_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: each row as often as the mix takes it. Rows of one id must be equal or are told apart by source and size."""
+    """The mixed documents: each row as often as the mix takes it. Rows of one id (or none), source and size share their copies
+    in the order of their texts; which of them has one more does not change the words taken."""
     picks = mix(docs, **options)
-    some = picks.filter("copies > 0").select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), "copies")
-    n = some.groupBy("_d", "_s").agg(F.sum("copies").alias("_all"), F.count("*").alias("_rows"))
-    joined = docs.join(n, docs["doc_id"].eqNullSafe(n["_d"]) & docs["source"].eqNullSafe(n["_s"]))
-    # repeated rows of an id share its copies
-    copy = F.when(F.col("_rows") == 1, F.col("_all")).otherwise(F.ceil(F.col("_all") / F.col("_rows"))).cast("int")
-    out = joined.withColumn("_i", F.explode(F.sequence(F.lit(1), copy))).select(*docs.columns)
+    key = [F.col("doc_id").isNull().alias("_z"), F.coalesce("doc_id", F.lit(0)).alias("_k"), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("_s")]
+    n = picks.select(*key, F.col("size").alias("_w"), "copies").groupBy("_z", "_k", "_s", "_w").agg(F.sum("copies").alias("_all"), F.count("*").alias("_rows")).filter("_all > 0")
+    words = F.size(F.filter(F.split(text_of(), f"{WS}+"), lambda w: w != "")).cast("long")
+    joined = docs.select("*", *key, words.alias("_w")).join(n, ["_z", "_k", "_s", "_w"])
+    rank = F.row_number().over(Window.partitionBy("_z", "_k", "_s", "_w").orderBy("text"))
+    copy = F.floor(F.col("_all") / F.col("_rows")) + F.when(F.col("_i") <= F.col("_all") % F.col("_rows"), 1).otherwise(0)
+    out = joined.withColumn("_i", rank).withColumn("_n", copy.cast("int")).filter("_n > 0")
+    out = out.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
     out._loom_scratch = picks._loom_scratch
     return out

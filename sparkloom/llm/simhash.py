@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import Scratch, map_arrow, slices
+from sparkloom.llm.common import Scratch, map_arrow, slices, text_of
 
 SHINGLE = 3
 RADIUS = 3
@@ -64,18 +64,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = HASH_SEED) -> i
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = HASH_SEED) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = HASH_SEED, digest: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), and the text's SHA-256 if ``digest``."""
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch, "text"):
                 values = np.asarray([fingerprint(t or b"", shingle, seed) for t in part.column(1).to_pylist()], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values), *part.columns[2:]], ["doc_id", "fp", "digest"][: part.num_columns])
 
         return step
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")), "doc_id long, fp long", make)
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")]
+    return map_arrow(docs.select(*own, *[F.sha2(text_of(), 256).alias("digest")] * digest), "doc_id long, fp long" + ", digest string" * digest, make)
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64, seed: int = MASK_SEED) -> list[int]:
@@ -219,27 +220,39 @@ def components(edges: DataFrame, scratch: Scratch, label: str = "cc") -> DataFra
     return out
 
 
+def _components_of(rows: DataFrame, scratch: Scratch, radius: int) -> DataFrame:
+    """fp, low (smallest id), c: the component of every distinct fingerprint."""
+    vertices = scratch.table(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "vertices")
+    label = components(links(vertices.select("fp"), radius), scratch)
+    named = vertices.join(label.toDF("fp", "c"), "fp", "left").select("fp", "low", F.coalesce("c", "fp").alias("c"))
+    return scratch.table(named, "named")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, hash_seed: int = HASH_SEED) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: one row for each input row."""
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.table(fingerprints(docs, shingle, hash_seed), "fp")
-    vertices = scratch.table(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "vertices")
-    label = components(links(vertices.select("fp"), radius), scratch)
-    named = vertices.join(label.toDF("fp", "c"), "fp", "left").select("fp", "low", F.coalesce("c", "fp").alias("c"))
-    named = scratch.table(named, "named")
+    named = _components_of(rows, scratch, radius)
     least = named.groupBy("c").agg(F.min("low").alias("component_id"))
     by_fp = named.join(least, "c").select("fp", "component_id")
     out = rows.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     return scratch.own(out)
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component stays: the smallest id, of rows with that id the first text."""
-    marks = near_duplicates(docs, **options)
-    # plain equality on the same two columns, so that the text is shuffled once for the join and the window
-    stay = marks.select(F.col("component_id").isNull().alias("_z"), F.coalesce("component_id", F.lit(0)).alias("_k")).distinct()
-    own = docs.select("*", F.col("doc_id").isNull().alias("_z"), F.coalesce("doc_id", F.lit(0)).alias("_k"))
-    first = Window.partitionBy("_z", "_k").orderBy("text")
-    out = own.join(stay, ["_z", "_k"]).withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*docs.columns)
-    out._loom_scratch = marks._loom_scratch
-    return out
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, hash_seed: int = HASH_SEED) -> DataFrame:
+    """One document of each component stays: the smallest id (null last), of rows with that id the smallest text digest.
+
+    Rows are told apart by id and digest, so unrelated texts without an id, or under one id, stay each.
+    """
+    scratch = Scratch(docs.sparkSession, "simhash")
+    rows = scratch.table(fingerprints(docs, shingle, hash_seed, digest=True), "fp")
+    named = _components_of(rows, scratch, radius)
+    key = [F.col("doc_id").isNull().alias("_z"), F.coalesce("doc_id", F.lit(0)).alias("_k")]
+    # by fingerprint first, so that equal texts go into the join as one row
+    of_fp = rows.groupBy("fp").agg(F.min(F.struct(*key, F.col("digest").alias("_h"))).alias("m"))
+    stay = of_fp.join(named.select("fp", "c"), "fp").groupBy("c").agg(F.min("m").alias("m")).select("m._z", "m._k", "m._h")
+    # plain equality on the same columns, so that the text is shuffled once for the join and the window
+    own = docs.select("*", *key, F.sha2(text_of(), 256).alias("_h"))
+    first = Window.partitionBy("_z", "_k", "_h").orderBy("text")
+    out = own.join(stay, ["_z", "_k", "_h"]).withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*docs.columns)
+    return scratch.own(out)

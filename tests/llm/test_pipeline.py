@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import corpus_pipeline
-from sparkloom.llm import exact_dedup, simhash
+from sparkloom.llm import exact_dedup, mixing, simhash
 from sparkloom.llm.common import table
 
 
@@ -34,3 +35,25 @@ def test_stages_take_odd_rows(spark, sf_dir, odd_rows, words):
         docs = spark.createDataFrame(stage(spark, docs, sf_dir).collect(), docs.schema)
         assert docs.count() > 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= docs.count()
+
+
+def test_near_copies_keep_unrelated_rows_without_or_under_one_id(spark, words):
+    rng = random.Random(3)
+    own = [" ".join(rng.choices(words, k=60)) for _ in range(9)]
+    rows = [(None, t) for t in own[:4]] + [(5, own[4]), (5, own[5])] + [(6, own[6]), (7, own[6]), (7, own[7]), (None, own[7]), (8, own[8]), (8, own[8]), (None, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.one_of_each(docs).collect()), key=repr)
+    expected = [(None, t) for t in own[:4]] + [(5, own[4]), (5, own[5]), (6, own[6]), (7, own[7]), (8, own[8]), (9, "")]
+    assert got == sorted(expected, key=repr)
+
+
+def test_mix_of_rows_without_an_id_takes_what_it_chose(spark, words):
+    rng = random.Random(4)
+    rows = [(None if i % 3 == 0 else i // 2, " ".join(rng.choices(words, k=rng.randint(0, 12))), "en", "ab"[i % 2], 0) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    chosen, taken = Counter(), Counter()
+    for r in mixing.mix(docs).collect():
+        chosen[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    for r in mixing.materialised_mix(docs).collect():
+        taken[r["doc_id"], r["source"], len(r["text"].split())] += 1
+    assert taken == +chosen
