@@ -273,7 +273,7 @@ def _(t: Tables):
 def _(t: Tables):
     from sparkloom.operators.documents import consecutive_groups
 
-    return consecutive_groups(t("conversations").filter("turn % 3 <> 1").select("conv_id", "turn", "role"), ["conv_id"], ["turn"], "role").groupBy("conv_id").agg(F.max("island").alias("runs"))
+    return consecutive_groups(t("conversations").select("conv_id", "turn", "role"), ["conv_id"], ["turn"], "role").groupBy("conv_id").agg(F.max("island").alias("runs"))
 
 
 @query("set7_store_if_absent", "SELECT source, count(DISTINCT md5(text)) AS n FROM {documents} WHERE md5(text) NOT IN (SELECT md5(text) FROM documents WHERE doc_id < 100) GROUP BY source")

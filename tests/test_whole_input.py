@@ -119,3 +119,16 @@ def test_even_packing_takes_all_rows(spark, vector_dir):
         counts[r["group"]] += r["n"]
         assert r["n"] <= -(-sum(i // 40 == r["group"] for i in rows) // 8)
     assert counts == Counter(i // 40 for i in rows)
+
+
+def test_modality_runs_take_all_turns(spark, tmp_path):
+    rows = [(1, k, role, "") for k, role in enumerate("abaab")] + [(2, k, role, "") for k, role in enumerate("aab")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    assert result(spark, "tk17_modality_runs", str(tmp_path), "conv_id", "runs") == {1: 4, 2: 2}
+
+
+def test_level_aggregates_take_all_lines(spark, tmp_path):
+    rows = [(order, line, order * line) for order in range(1, 11) for line in range(1, 4)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert result(spark, "ag3_level_histogram", str(tmp_path), "level", "n") == Counter(p % 3 + 1 for _, _, p in rows)
+    assert result(spark, "ag4_min_level", str(tmp_path), "page", "docs") == {2: 10, 4: 10, 6: 10}
