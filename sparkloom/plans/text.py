@@ -99,11 +99,11 @@ def _(t: Tables):
 
 @query("str6_chunk_response", r"SELECT doc_id, len(string_split(text, chr(10))) AS n, trim(string_split(text, chr(10))[1], E' \t\n\r') AS first_chunk FROM {documents} WHERE NOT regexp_matches(text, '\n\s*\n|^\s|\s$')")
 def _(t: Tables):
-    rows = t("documents").filter(~F.col("text").rlike(r"\n\s*\n|^\s|\s$"))
+    rows = t("documents")
     lines = F.split("text", "\n", -1)
     response = F.array_join(F.transform(lines, lambda s, i: F.concat(F.lit("청크 "), (i + 1).cast("string"), F.lit(":\n"), s)), "\n")
     found = T.parse_chunk_response(response)
-    return rows.select("doc_id", F.size(found).cast("long").alias("n"), found[0].alias("first_chunk"))
+    return rows.select("doc_id", F.size(found).cast("long").alias("n"), F.get(found, F.lit(0)).alias("first_chunk"))
 
 
 @query("str7_think_removal", r"""SELECT conv_id, turn, trim(text, E' \t\n\r') AS closed, trim(left(text, 5), E' \t\n\r') AS unclosed FROM {conversations}""")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -132,3 +133,16 @@ def test_level_aggregates_take_all_lines(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
     assert result(spark, "ag3_level_histogram", str(tmp_path), "level", "n") == Counter(p % 3 + 1 for _, _, p in rows)
     assert result(spark, "ag4_min_level", str(tmp_path), "page", "docs") == {2: 10, 4: 10, 6: 10}
+
+
+def test_chunk_response_gives_a_row_for_every_document(spark, tmp_path):
+    texts = {1: "a\nb", 2: "a\n\nb\nc", 3: " a \n b", 4: "a\n", 5: " \n ", 6: ""}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    expected = {}
+    for i, text in texts.items():
+        answer = "\n".join(f"청크 {k}:\n{s}" for k, s in enumerate(text.split("\n"), 1))
+        found = [c.strip() for c in re.findall(r"청크 \d+:\s*\n([\s\S]*?)(?=\n\s*청크 \d+:|$)", answer)]
+        chunks = [c for c in found if c]
+        expected[i] = (len(chunks), chunks[0] if chunks else None)
+    got = {r["doc_id"]: (r["n"], r["first_chunk"]) for r in QUERIES["str6_chunk_response"](spark, str(tmp_path)).collect()}
+    assert got == expected
