@@ -102,8 +102,8 @@ def logits(t: Tables) -> DataFrame:
     return rows.select("req", "token_id", F.round(F.col("x").cast("double") * 20, 1).alias("logit"))
 
 
-#: SQL of ``tokens`` on the first 40 words only; ``tokens`` itself takes every word.
-TOKENS_SQL = "SELECT doc_id, list_transform(string_split(text, ' ')[1:40], lambda x: CAST(length(x) % 4 AS INT)) AS tokens FROM documents"
+#: SQL of ``tokens``.
+TOKENS_SQL = "SELECT doc_id, list_transform(string_split(text, ' '), lambda x: CAST(length(x) % 4 AS INT)) AS tokens FROM documents"
 
 
 def tokens(t: Tables) -> DataFrame:

@@ -83,9 +83,9 @@ def _(t: Tables):
     return L.running_index(boxes(t), "label").select("doc", "page", "pos", "index")
 
 
-@query("wn4_global_number", "SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS number FROM {lineitem} WHERE l_returnflag = 'R'")
+@query("wn4_global_number", "SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS number FROM {lineitem}")
 def _(t: Tables):
-    rows = t("lineitem").filter("l_returnflag = 'R'").select("l_orderkey", "l_linenumber").withColumn("span", F.floor(F.col("l_orderkey") / 1000))
+    rows = t("lineitem").select("l_orderkey", "l_linenumber").withColumn("span", F.floor(F.col("l_orderkey") / 1000))
     return L.global_number(rows, ["l_orderkey", "l_linenumber"], "span").drop("span")
 
 

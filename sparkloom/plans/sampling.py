@@ -31,10 +31,10 @@ def _(t: Tables):
     return t("embeddings").select("vec_id", e.alias("e")).select("vec_id", F.round(F.col("e")[0], 6).alias("x1"), F.round(F.col("e")[15], 6).alias("x16"))
 
 
-@query("mth12_softmax", "SELECT vec_id, round(exp(CAST(embedding[1] AS DOUBLE)) / list_sum(list_transform(embedding[1:8], lambda x: exp(CAST(x AS DOUBLE)))), 6) AS p1, round(1 / (1 + exp(-CAST(embedding[1] AS DOUBLE))), 6) AS s1 FROM embeddings")
+@query("mth12_softmax", "SELECT vec_id, round(exp(CAST(embedding[1] AS DOUBLE)) / list_sum(list_transform(embedding, lambda x: exp(CAST(x AS DOUBLE)))), 6) AS p1, round(1 / (1 + exp(-CAST(embedding[1] AS DOUBLE))), 6) AS s1 FROM embeddings")
 def _(t: Tables):
-    e = F.slice("embedding", 1, 8)
-    return t("embeddings").select("vec_id", F.round(V.classified(e, 8)[0], 6).alias("p1"), F.round(V.classified(e, 1)[0], 6).alias("s1"))
+    e = F.col("embedding")
+    return t("embeddings").select("vec_id", F.round(V.classified(e, 64)[0], 6).alias("p1"), F.round(V.classified(e, 1)[0], 6).alias("s1"))
 
 
 @query("mth13_token_pooling", "SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 6) AS first_x, round(CAST(embedding[64] AS DOUBLE), 6) AS last_x FROM embeddings")
@@ -173,7 +173,7 @@ def _(t: Tables):
     return tokens(t).select("doc_id", h.alias("h")).select("doc_id", F.size("h").alias("blocks"), F.get("h", F.lit(0)).alias("first_hash"), F.get("h", F.lit(1)).alias("second_hash"))
 
 
-@query("jn9_cached_prefix", f"""WITH {TK}, k AS (SELECT doc_id, len(tokens) AS n, list_transform(range(1, CAST(floor(len(tokens) / 4) AS BIGINT) + 1), lambda i: array_to_string(tokens[1:i * 4], ',')) AS p FROM t),
+@query("jn9_cached_prefix", f"""WITH {TK}, k AS (SELECT doc_id, len(tokens) AS n, list_transform(range(1, CAST(floor(len(tokens) / 4) AS BIGINT) + 1), lambda i: md5(array_to_string(tokens[1:i * 4], ','))) AS p FROM t),
 c AS (SELECT DISTINCT unnest(p) AS p FROM k WHERE doc_id % 2 = 0),
 r AS (SELECT doc_id, n, p[i] AS prefix, i FROM k, unnest(range(1, len(p) + 1)) u(i)),
 m AS (SELECT doc_id, n, min(i) FILTER (WHERE c.p IS NULL) AS miss, count(*) AS blocks FROM r LEFT JOIN c ON c.p = r.prefix GROUP BY doc_id, n)
@@ -184,9 +184,9 @@ def _(t: Tables):
     return Q.cached_prefix(rows, cache, 4).select("req", "blocks")
 
 
-@query("jsn10_ngram_lookup", f"""WITH {TK}, s AS (SELECT doc_id, tokens[1:20] AS t FROM t),
-m AS (SELECT doc_id, t, len(t) AS n, list_filter(range(1, len(t) - 2), lambda i: t[i:i + 2] = t[-3:]) AS m3, list_filter(range(1, len(t) - 1), lambda i: t[i:i + 1] = t[-2:]) AS m2 FROM s)
-SELECT doc_id, array_to_string(CASE WHEN n > 3 AND len(m3) > 0 THEN t[m3[1] + 3 : least(m3[1] + 5, n)] WHEN n > 2 AND len(m2) > 0 THEN t[m2[1] + 2 : least(m2[1] + 4, n)] END, ',') AS proposal FROM m""")
+@query("jsn10_ngram_lookup", f"""WITH {TK}, s AS (SELECT doc_id, tokens AS t, 100 - len(tokens) AS room FROM t),
+m AS (SELECT doc_id, t, len(t) AS n, room, list_filter(range(1, len(t) - 2), lambda i: t[i:i + 2] = t[-3:]) AS m3, list_filter(range(1, len(t) - 1), lambda i: t[i:i + 1] = t[-2:]) AS m2 FROM s)
+SELECT doc_id, array_to_string(CASE WHEN room <= 0 THEN NULL WHEN n > 3 AND len(m3) > 0 THEN t[m3[1] + 3 : least(m3[1] + 2 + least(3, room), n)] WHEN n > 2 AND len(m2) > 0 THEN t[m2[1] + 2 : least(m2[1] + 1 + least(3, room), n)] END, ',') AS proposal FROM m""")
 def _(t: Tables):
     p = K.ngram_proposal(F.col("tokens"), 2, 3, 3, 100)
     return tokens(t).select("doc_id", F.array_join(F.transform(p, lambda x: x.cast("string")), ",").alias("proposal"))
@@ -269,7 +269,7 @@ def _(t: Tables):
     return Q.packed_evenly(Q.filled_evenly(items, 8), 8).filter("item IS NOT NULL").groupBy("group", "bin").agg(F.count("*").alias("n"))
 
 
-@query("tk17_modality_runs", "SELECT conv_id, count(*) AS runs FROM (SELECT conv_id, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS new FROM {conversations} WHERE turn % 3 <> 1) WHERE new GROUP BY conv_id")
+@query("tk17_modality_runs", "SELECT conv_id, count(*) AS runs FROM (SELECT conv_id, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS new FROM {conversations}) WHERE new GROUP BY conv_id")
 def _(t: Tables):
     from sparkloom.operators.documents import consecutive_groups
 

@@ -97,7 +97,14 @@ def _(t: Tables):
     return t("documents").select("doc_id", F.length(T.remove_page_markers(md)).cast("long").alias("n"))
 
 
-@query("str6_chunk_response", r"SELECT doc_id, len(string_split(text, chr(10))) AS n, trim(string_split(text, chr(10))[1], E' \t\n\r') AS first_chunk FROM {documents} WHERE NOT regexp_matches(text, '\n\s*\n|^\s|\s$')")
+#: An empty line takes the next numbered line into its chunk, so every other line of a run of empty ones heads a chunk.
+_RESPONSE = r"""WITH l AS (SELECT doc_id, i, len(x) AS m, x[i] AS line, regexp_matches(x[i], '^\s*$') AS blank FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM {documents}), unnest(range(1, len(x) + 1)) u(i)),
+r AS (SELECT *, i - 1 - coalesce(max(CASE WHEN NOT blank THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM l),
+c AS (SELECT doc_id, i, CASE WHEN NOT blank THEN trim(line, E' \t\n\r') WHEN i < m THEN rtrim('청크 ' || (i + 1) || ':' || chr(10) || next, E' \t\n\r') END AS chunk FROM r WHERE run % 2 = 0)
+SELECT doc_id, count(chunk) AS n, first(chunk ORDER BY i) FILTER (WHERE chunk IS NOT NULL) AS first_chunk FROM c GROUP BY doc_id"""
+
+
+@query("str6_chunk_response", _RESPONSE)
 def _(t: Tables):
     rows = t("documents")
     lines = F.split("text", "\n", -1)
@@ -106,11 +113,11 @@ def _(t: Tables):
     return rows.select("doc_id", F.size(found).cast("long").alias("n"), F.get(found, F.lit(0)).alias("first_chunk"))
 
 
-@query("str7_think_removal", r"""SELECT conv_id, turn, trim(text, E' \t\n\r') AS closed, trim(left(text, 5), E' \t\n\r') AS unclosed FROM {conversations}""")
+@query("str7_think_removal", r"""SELECT conv_id, turn, trim(text, E' \t\n\r') AS closed, trim(text, E' \t\n\r') AS unclosed FROM {conversations}""")
 def _(t: Tables):
     text = F.col("text")
     closed = T.remove_thinking(F.concat(F.lit("<think>a\nb</think>"), text))
-    return t("conversations").select("conv_id", "turn", closed.alias("closed"), T.remove_thinking(F.concat(F.left(text, F.lit(5)), F.lit("<think>"), text)).alias("unclosed"))
+    return t("conversations").select("conv_id", "turn", closed.alias("closed"), T.remove_thinking(F.concat(text, F.lit("<think>"), text)).alias("unclosed"))
 
 
 @query("str8_keywords", f"""SELECT doc_id, array_to_string(({_DISTINCT.format(x='k')})[1:5], '|') AS keywords FROM
@@ -215,32 +222,28 @@ def _(t: Tables):
     return D.valid_pages(t("orders").select(p.alias("page_num"))).agg(F.count("*").alias("n"), F.sum(F.col("page_num").try_cast("bigint")).alias("total"))
 
 
-_TOC = "SELECT l_orderkey AS doc, CAST(l_linenumber * 2 AS INT) AS page, CAST(l_partkey % 3 + 1 AS INT) AS level FROM {lineitem} WHERE l_orderkey % 5 < 4"
+_TOC = "SELECT l_orderkey AS doc, CAST(l_linenumber * 2 AS INT) AS page, CAST(l_partkey % 3 + 1 AS INT) AS level FROM {lineitem}"
+#: Returned lines and accepted ones are entries; documents without such lines have no table of contents.
+_SOME_TOC = _TOC + " WHERE l_returnflag <> 'N'"
 _TOC_PAGES = "SELECT l_orderkey AS doc, CAST(l_linenumber AS INT) AS page FROM {lineitem} UNION SELECT l_orderkey AS doc, CAST(l_linenumber + 3 AS INT) AS page FROM {lineitem}"
 
 
-def _levels(t: Tables):
-    """The same columns of every line; only flt9 needs documents without a table of contents."""
-    k = F.col("l_partkey") % 3 + 1
-    return t("lineitem").select(F.col("l_orderkey").alias("doc"), (F.col("l_linenumber") * 2).cast("int").alias("page"), k.cast("int").alias("level"))
-
-
-@query("flt9_toc_pages", f"""WITH toc AS ({_TOC}), p AS ({_TOC_PAGES}), m AS (SELECT doc, page, min(level) AS level FROM toc GROUP BY ALL),
+@query("flt9_toc_pages", f"""WITH toc AS ({_SOME_TOC}), p AS ({_TOC_PAGES}), m AS (SELECT doc, page, min(level) AS level FROM toc GROUP BY ALL),
 d AS (SELECT doc, max(level) >= 2 AS deep FROM toc GROUP BY doc),
 f AS (SELECT p.doc, p.page, coalesce(deep, false) AS deep, last_value(level IGNORE NULLS) OVER (PARTITION BY p.doc ORDER BY p.page ROWS UNBOUNDED PRECEDING) AS level FROM p LEFT JOIN m USING (doc, page) LEFT JOIN d USING (doc))
 SELECT doc, count(*) AS n, sum(page) AS pages FROM f WHERE NOT deep OR coalesce(level <> 1, true) GROUP BY doc""")
 def _(t: Tables):
-    return D.toc_pages(t.sql(_TOC_PAGES), t.sql(_TOC)).groupBy("doc").agg(F.count("*").alias("n"), F.sum("page").alias("pages"))
+    return D.toc_pages(t.sql(_TOC_PAGES), t.sql(_SOME_TOC)).groupBy("doc").agg(F.count("*").alias("n"), F.sum("page").alias("pages"))
 
 
 @query("ag3_level_histogram", f"SELECT level, count(*) AS n FROM ({_TOC}) GROUP BY level")
 def _(t: Tables):
-    return D.level_histogram(_levels(t))
+    return D.level_histogram(t.sql(_TOC))
 
 
 @query("ag4_min_level", f"SELECT page, count(*) AS docs, sum(level) AS levels FROM (SELECT doc, page, min(level) AS level FROM ({_TOC}) GROUP BY ALL) GROUP BY page")
 def _(t: Tables):
-    return _levels(t).groupBy("doc", "page").agg(F.min("level").alias("level")).groupBy("page").agg(F.count("*").alias("docs"), F.sum("level").alias("levels"))
+    return t.sql(_TOC).groupBy("doc", "page").agg(F.min("level").alias("level")).groupBy("page").agg(F.count("*").alias("docs"), F.sum("level").alias("levels"))
 
 
 @query("ag6_page_range", """SELECT l_orderkey AS doc, CASE WHEN min(l_linenumber) = max(l_linenumber) THEN lpad(CAST(min(l_linenumber) AS VARCHAR), 3, '0')

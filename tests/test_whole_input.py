@@ -11,6 +11,7 @@ from collections import Counter
 import pytest
 
 from sparkloom.plans import registry
+from tests.compare import connect, of_sql
 
 QUERIES = registry.queries()
 
@@ -136,7 +137,7 @@ def test_level_aggregates_take_all_lines(spark, tmp_path):
 
 
 def test_chunk_response_gives_a_row_for_every_document(spark, tmp_path):
-    texts = {1: "a\nb", 2: "a\n\nb\nc", 3: " a \n b", 4: "a\n", 5: " \n ", 6: ""}
+    texts = {1: "a\nb", 2: "a\n\nb\nc", 3: " a \n b", 4: "a\n", 5: " \n ", 6: "", 7: "\n\n\nb\n\n c\n\n\n\n", 8: "\nx"}
     spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     expected = {}
     for i, text in texts.items():
@@ -146,3 +147,5 @@ def test_chunk_response_gives_a_row_for_every_document(spark, tmp_path):
         expected[i] = (len(chunks), chunks[0] if chunks else None)
     got = {r["doc_id"]: (r["n"], r["first_chunk"]) for r in QUERIES["str6_chunk_response"](spark, str(tmp_path)).collect()}
     assert got == expected
+    names, rows = of_sql(connect(str(tmp_path)), registry.oracle_sql()["str6_chunk_response"])
+    assert {r[0]: (r[2], r[1]) for r in rows} == expected
