@@ -1,125 +1,132 @@
 """Approximate nearest neighbours by collision-counting hashing with query-aware windows.
 
-Largest inner product is turned into smallest distance: a vector x gets one more component sqrt(M^2 - |x|^2), a query gets 0.
-Every projection is one seeded Gaussian direction whose values are kept sorted. A query opens a window around its own
-value in each projection; virtual rehashing widens all windows by a factor without rebuilding anything, and
-only the newly covered entries are counted. A vector that collides in at least ``threshold`` of the
-projections is a candidate; windows widen until ``share`` of the block and ``PER_NEIGHBOUR`` vectors for each wanted neighbour are candidates. Candidates are
-verified by their exact inner product in double precision.
-
-Every row is indexed, in blocks by hash of the id; every block sees every query, in query blocks, and
-returns its ``k`` best, which a window function merges. Memory per task is one block and one query
-block; nothing is broadcast. Parameters do not depend on the data; recall is measured in the tests.
-
-Defined edge cases: vectors that are null, zero or hold null or non-finite components take no part; vectors of
-different length never meet; rows that repeat an id count once; with fewer than ``k`` candidates all are returned.
+Largest inner product is turned into smallest distance: a vector x gets one more component sqrt(M^2 - |x|^2), where M is the
+largest norm of its block; a query is stretched to length M and gets 0 there. Every projection is one seeded Gaussian
+direction whose values are kept sorted. A query opens a window around its own value in each projection; a vector whose place
+in the sorted array lies in the window collides there. Virtual rehashing widens all windows by a factor without
+rebuilding anything. A vector that collides in at least ``threshold`` of the projections is a candidate; windows widen until
+``share`` of the block and ``PER_NEIGHBOUR`` vectors for each wanted neighbour are candidates, which are
+verified by their exact inner product in double precision, summed in one fixed order for every row.
+
+Every row is indexed, in blocks by hash of the id. Queries are written once as bounded files in the shared folder; the task of
+a block builds its index once and streams all queries past it, and returns the ``k`` best of each, which a window function
+merges. So vectors are shuffled once, whatever the number of queries, and a task holds one block and one batch of
+queries. Nothing is broadcast. Parameters do not depend on the data; recall is measured in the tests. Work is that of a
+stated query set against all rows: queries times blocks.
+
+Defined edge cases: vectors that are null, zero or hold null or non-finite components take no part, nor do rows without an id;
+vectors of different length never meet; of rows that repeat an id the smallest vector counts; ties go to the smaller
+id; components are scaled before they are projected, so that huge and tiny ones neither overflow nor vanish, and an
+inner product that overflows to no number ranks last; with fewer than ``k`` candidates all are returned; an empty table gives
+an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.ship import ship
+from sparkloom.llm.common import Scratch, bounded_batches
+from sparkloom.llm.warc import open_store
 
 K = 20
-PROJECTIONS = 64
-THRESHOLD = 0.8
-SHARE = 0.15
+#: Fewer than 256, since collisions are counted in bytes.
+PROJECTIONS = 128
+THRESHOLD = 0.9
+SHARE = 0.04
 #: Candidates asked for per wanted neighbour, besides the share of the block.
-PER_NEIGHBOUR = 12
-WIDEN = 1.12
+PER_NEIGHBOUR = 8
+WIDEN = 1.04
 SEED = 3
+#: Rows of a block (places are counted in two bytes), rows that the first radius is taken from, and queries of a batch.
 BLOCK_ROWS = 8192
-QUERY_ROWS = 4096
+PROBE_ROWS = 512
+QUERY_ROWS = 2048
 
 
-_NOTHING = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Rows stretched to length 1, without overflow."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
 class CollisionIndex:
-    """Sorted projections of one block of vectors."""
+    """Sorted projections of one block of non-zero, finite vectors."""
 
-    def __init__(self, vectors: np.ndarray, top_norm: float, projections: int = PROJECTIONS, seed: int = SEED):
+    def __init__(self, vectors: np.ndarray, projections: int = PROJECTIONS, seed: int = SEED):
         n, d = vectors.shape
-        rest = np.sqrt(np.maximum(0.0, top_norm**2 - np.einsum("ij,ij->i", vectors, vectors)))
+        if n >> 16 or projections >> 8:
+            raise ValueError("a block has at most 65,535 rows and 255 projections")
+        scaled = vectors / np.abs(vectors).max()
+        square = (scaled * scaled).sum(axis=1)
+        self.norm = float(np.sqrt(square.max()))
         self.axes = np.random.default_rng(seed).standard_normal((d + 1, projections))
-        values = vectors @ self.axes[:d] + rest[:, None] * self.axes[d]
+        values = scaled @ self.axes[:d] + np.sqrt(np.maximum(0.0, square.max() - square))[:, None] * self.axes[d]
         order = np.argsort(values, axis=0, kind="stable")
-        self.order = [np.ascontiguousarray(order[:, j]) for j in range(projections)]
-        self.values = [values[self.order[j], j] for j in range(projections)]
-        self.vectors, self.n, self.d, self.radius = vectors, n, d, 1e-3 * max(top_norm, 1e-300)
-
-    def windows(self, queries: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-        """First and one past last entry of every query's window in every projection."""
-        at = queries @ self.axes[: self.d]
-        low = np.stack([np.searchsorted(v, at[:, j] - radius, "left") for j, v in enumerate(self.values)], axis=1)
-        high = np.stack([np.searchsorted(v, at[:, j] + radius, "right") for j, v in enumerate(self.values)], axis=1)
-        return low, high
+        #: Values of each projection in order, and the place of every vector in that order.
+        self.values = np.ascontiguousarray(np.take_along_axis(values, order, axis=0).T)
+        self.place = np.empty((projections, n), np.uint16)
+        np.put_along_axis(self.place, order.T, np.arange(n, dtype=np.uint16)[None, :], axis=1)
+        self.probe = values[:: max(1, n // PROBE_ROWS)]
+        self.n, self.d = n, d
+
+    def windows(self, at: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First place and number of places of every query's window in every projection."""
+        low, high = at - radius[:, None], at + radius[:, None]
+        first = np.stack([v.searchsorted(low[:, j]) for j, v in enumerate(self.values)], axis=1)
+        last = np.stack([v.searchsorted(high[:, j], "right") for j, v in enumerate(self.values)], axis=1)
+        return first.astype(np.uint16), (last - first).astype(np.uint16)
 
     def candidates(self, queries: np.ndarray, least: int, threshold: float = THRESHOLD, widen: float = WIDEN) -> list[np.ndarray]:
-        """Candidates of every query: the radius of all unfinished queries is widened step by step."""
-        need = int(np.ceil(threshold * len(self.order)))
+        """Candidates of every query (at least ``least``): the radius starts where a probe of the block has them, and widens."""
+        need, least = int(np.ceil(threshold * len(self.place))), min(least, self.n)
+        at = unit(queries) @ self.axes[: self.d] * self.norm
+        rank = min(len(self.probe) - 1, least * len(self.probe) // self.n)
+        reach = [np.partition(np.partition(np.abs(self.probe - one), need - 1, axis=1)[:, need - 1], rank)[rank] for one in at]
+        radius = np.maximum(np.asarray(reach), 1e-9 * self.norm)
         out: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
-        least = min(least, self.n)
-        start = self._start(queries, least, need, widen)
-        low, high = self.windows(queries, start)
-        counts: dict[int, np.ndarray] = {}
-        open_, radius = np.arange(len(queries)), start
-        seen_low = seen_high = None
+        open_ = np.arange(len(queries))
         while len(open_):
             still = []
-            for row, q in enumerate(open_.tolist()):
-                if seen_low is None:
-                    parts = [o[a:b] for o, a, b in zip(self.order, low[row].tolist(), high[row].tolist(), strict=True)]
-                    count = np.bincount(np.concatenate(parts), minlength=self.n)
-                else:
-                    parts = [o[a:b] for o, a, b in zip(self.order, low[row].tolist(), seen_low[row].tolist(), strict=True)]
-                    parts += [o[a:b] for o, a, b in zip(self.order, seen_high[row].tolist(), high[row].tolist(), strict=True)]
-                    count = counts.pop(q) + np.bincount(np.concatenate(parts), minlength=self.n)
-                hit = np.flatnonzero(count >= need)
-                if len(hit) >= least:
-                    out[q] = hit
-                else:
-                    counts[q] = count
-                    still.append(row)
-            open_, radius = open_[still], radius * widen
-            if len(open_):
-                seen_low, seen_high = low[still], high[still]
-                low, high = self.windows(queries[open_], radius)
+            for q, first, width in zip(open_.tolist(), *self.windows(at[open_], radius[open_]), strict=True):
+                # places below the window wrap round to large numbers
+                inside = self.place - first[:, None] < width[:, None]
+                out[q] = np.flatnonzero(inside.view(np.uint8).sum(axis=0, dtype=np.uint8) >= need)
+                if len(out[q]) < least:
+                    still.append(q)
+            open_ = np.asarray(still, np.int64)
+            radius[open_] *= widen
         return out
 
-    def _start(self, queries: np.ndarray, least: int, need: int, widen: float) -> float:
-        """A radius at which the first query has almost enough candidates; other queries widen from there."""
-        at = queries[0] @ self.axes[: self.d]
-        gaps = np.empty((self.n, len(self.order)))
-        for j, (v, o) in enumerate(zip(self.values, self.order, strict=True)):
-            gaps[o, j] = np.abs(v - at[j])
-        reach = np.partition(gaps, need - 1, axis=1)[:, need - 1]
-        return max(float(np.partition(reach, least - 1)[least - 1]) / widen, np.finfo(float).tiny)
+
+def inner(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, each summed in the same order wherever its row lies; what is no number ranks last."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = (vectors * query).sum(axis=1)
+    return np.where(np.isnan(out), -np.inf, out)
 
 
-def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, top_norm: float, k: int = K, share: float = SHARE, **index) -> pd.DataFrame:
-    """The best ``k`` of the block for every query, verified. Queries are taken in slices to bound the counters."""
+def search_block(built: CollisionIndex, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = K, share: float = SHARE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """query, vector, score: the best ``k`` of the block for every query, verified."""
     out_q, out_v, out_s = [], [], []
-    built = CollisionIndex(vectors, top_norm, **index)
-    least = min(len(ids), PER_NEIGHBOUR * (k + 1) + int(share * len(ids)))
+    least = PER_NEIGHBOUR * (k + 1) + int(share * len(ids))
     for first in range(0, len(queries), 256):
-        some, own = queries[first : first + 256], query_ids[first : first + 256]
-        for q, hits in enumerate(built.candidates(some, least)):
-            hits = hits[ids[hits] != own[q]]
-            score = vectors[hits] @ some[q]
+        some = queries[first : first + 256]
+        for own, query, hits in zip(query_ids[first : first + 256].tolist(), some, built.candidates(some, least), strict=True):
+            hits = hits[ids[hits] != own]
+            score = inner(vectors[hits], query)
             if len(hits) > k:  # all that tie with the k-th stay until ids decide
-                edge = np.partition(score, len(score) - k)[len(score) - k]
-                keep = score >= edge
+                keep = score >= np.partition(score, len(score) - k)[len(score) - k]
                 hits, score = hits[keep], score[keep]
             best = np.lexsort((ids[hits], -score))[:k]
-            out_q.append(np.full(len(best), own[q]))
+            out_q.append(np.full(len(best), own, np.int64))
             out_v.append(ids[hits][best])
             out_s.append(score[best])
-    return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
+    return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
 
 
 def usable(column: str) -> Column:
@@ -128,25 +135,55 @@ def usable(column: str) -> Column:
     return x.isNotNull() & (F.size(x) > 0) & F.coalesce(finite, F.lit(False)) & F.exists(x, lambda v: v != 0)
 
 
+def by_length(ids: np.ndarray, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """ids and vectors (double) of each length that a list column holds."""
+    sizes = np.diff(column.offsets.to_numpy())
+    flat, first = column.values.to_numpy(zero_copy_only=False).astype(np.float64), column.offsets.to_numpy()
+    for d in np.unique(sizes).tolist():
+        own = np.flatnonzero(sizes == d)
+        yield ids[own], flat[first[own][:, None] + np.arange(d)]
+
+
 def search(vectors: DataFrame, query_filter: Column, id_column: str = "vec_id", column: str = "embedding", k: int = K, share: float = SHARE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row that ``query_filter`` selects."""
-    ship(vectors.sparkSession)
+    spark = vectors.sparkSession
+    scratch = Scratch(spark, "ann")
+    bounded_batches(spark)
     rows = vectors.filter(usable(column)).filter(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(column).alias("x"), query_filter.alias("is_query"))
-    sizes = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q"), F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))).alias("norm")).first()
-    blocks, query_blocks = max(1, -(-sizes["n"] // block_rows)), max(1, -(-sizes["q"] // query_rows))
-    top_norm = float(sizes["norm"] or 0.0) * (1 + 1e-12)
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    query_block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks)).cast("int")
-    data = rows.select("id", "x", block.alias("b"), F.size("x").alias("d")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = rows.filter("is_query").select("id", "x", query_block.alias("qb"), F.size("x").alias("d")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def one(data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        data, asked = data.drop_duplicates("id"), asked.drop_duplicates("id")
-        if data.empty or asked.empty:
-            return _NOTHING
-        return search_block(data["id"].to_numpy(), np.stack(data["x"].to_numpy()).astype(np.float64), asked["id"].to_numpy(), np.stack(asked["x"].to_numpy()).astype(np.float64), top_norm, k, share)
-
-    key = ["b", "qb", "d"]
-    found = data.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(one, "query_id long, vec_id long, score double")
+    blocks = max(1, -(-rows.count() // block_rows))
+    # one task a block, here and below
+    single = rows.repartition(blocks, "id").groupBy("id").agg(F.min("x").alias("x"), F.max("is_query").alias("is_query"))
+    asked = scratch.table(single.filter("is_query").select("id", "x"), "queries")
+    paths = sorted(asked.inputFiles())
+
+    def batches_of(paths: list[str]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for path in paths:
+            store, inner_path = open_store(path)
+            with store.open_input_file(inner_path) as source:
+                yield from pq.ParquetFile(source).iter_batches(query_rows, columns=["id", "x"])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def results(ids: np.ndarray, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for first in range(0, len(ids), 4 * block_rows):  # a hash may give a block some more rows
+                own, some = ids[first : first + 4 * block_rows], block[first : first + 4 * block_rows]
+                built = CollisionIndex(some)
+                for batch in batches_of(paths):
+                    for q_ids, queries in by_length(batch.column(0).to_numpy(), batch.column(1)):
+                        if queries.shape[1] == some.shape[1]:
+                            found = search_block(built, own, some, q_ids, queries, k, share)
+                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
+
+        for part in parts:
+            for ids, block in by_length(part.column(0).to_numpy(), part.column(1)):
+                held.setdefault(block.shape[1], []).append((ids, block))
+        for d in sorted(held):
+            yield from results(np.concatenate([i for i, _ in held[d]]), np.concatenate([v for _, v in held.pop(d)]))
+
+    found = single.select("id", "x").mapInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    out = found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return scratch.own(out)
