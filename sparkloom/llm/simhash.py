@@ -9,14 +9,15 @@ Covering masks: every bit position gets a seeded non-zero vector of radius + 1 b
 fingerprints within the radius always collide there. Nothing is missed, at any size of the data.
 
 Scale: equal fingerprints are one vertex from the start, so exact copies and their groups cost nothing more. Only
-(key, fingerprint) pairs are shuffled. In a bucket a spanning set of links is found by leaders:
-a member within the radius of a leader joins it, and members of two leaders are compared only if the
-leaders are near and not connected yet, so a large group of near copies yields fewer links than
-members and no pairs are spelt out. Components shrink by hooking every vertex to its smallest neighbour,
-round by round, in Spark; nothing of this is collected.
+(key, fingerprint) pairs are shuffled. Buckets are counted, and those of more than ``HOT_BUCKET`` fingerprints are split into
+finer ones that still hold every near pair. In a bucket a spanning set of links is found, so a large group of near
+copies yields fewer links than members and no pairs are spelt out. Components shrink by hooking every vertex to its
+smallest neighbour, round by round, in Spark; nothing of this is collected.
 
 Defined edge cases: null and empty text has fingerprint zero and links like any other; fewer words than a shingle make one
-shingle; repeated rows share their component; an empty table gives an empty result.
+shingle; repeated rows and ties share their component; a null id takes part, and names a component only if all its ids are
+null; a text is hashed whole by one task, with about 60 bytes a word; extra columns are ignored by ``near_duplicates`` and
+preserved by ``one_of_each``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,15 +27,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import Scratch, map_arrow, slices, text_of
+from sparkloom.llm.common import Scratch, map_arrow, private, slices, text_of
 
 SHINGLE = 3
 RADIUS = 3
 HASH_SEED = 42
 MASK_SEED = 11
+#: Distinct fingerprints of a bucket beyond which it is split.
+HOT_BUCKET = 50_000
 
 
 def shingle_hashes(text: bytes, shingle: int, seed: int) -> np.ndarray:
@@ -88,14 +91,24 @@ def covering_masks(radius: int = RADIUS, bits: int = 64, seed: int = MASK_SEED)
     return [sum(1 << i for i, a in enumerate(vectors.tolist()) if (a & v).bit_count() & 1) for v in range(1, 1 << (radius + 1))]
 
 
-def _near(one: np.ndarray, many: np.ndarray, radius: int) -> np.ndarray:
-    return np.bitwise_count(one ^ many) <= radius
+def bits_of(mask: int) -> list[int]:
+    return [i for i in range(64) if mask >> i & 1]
+
+
+def finer(mask: int, radius: int) -> list[int]:
+    """Masks that keep one of radius + 1 groups of the other positions as well. Two fingerprints of a bucket within the
+    radius differ in at most ``radius`` of these groups, so some finer bucket holds both."""
+    free = bits_of(~mask & (1 << 64) - 1)
+    return [mask | sum(1 << i for i in free[g :: radius + 1]) for g in range(radius + 1)]
 
 
 def bucket_links(members: np.ndarray, radius: int, small: int = 512) -> list[tuple[int, int]]:
-    """Links (positions) that connect what the pairs within the radius connect; fewer links than members."""
-    n = len(members)
-    parent = list(range(n))
+    """Links (positions) that connect what the pairs of distinct members within the radius connect; fewer links than members.
+
+    Up to ``small`` members are compared with each other; more are split by the groups of ``finer`` on the
+    positions in which they differ, and parts that are connected already are left out.
+    """
+    parent = list(range(len(members)))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -111,41 +124,79 @@ def bucket_links(members: np.ndarray, radius: int, small: int = 512) -> list[tup
             parent[max(ra, rb)] = min(ra, rb)
             links.append((a, b))
 
-    if n <= small:
-        for a, b in zip(*np.nonzero(np.triu(np.bitwise_count(members[:, None] ^ members[None, :]) <= radius, 1)), strict=True):
-            link(int(a), int(b))
-        return links
-    free, leaders, groups = np.arange(n), [], []
-    while len(free):
-        hit = _near(members[free[0]], members[free], radius)
-        leaders.append(int(free[0]))
-        groups.append(free[hit])
-        for x in free[hit][1:].tolist():
-            link(leaders[-1], x)
-        free = free[~hit]
-    heads = members[np.asarray(leaders)]
-    for i in range(len(leaders)):
-        for j in np.nonzero(np.bitwise_count(heads[i] ^ heads[i + 1 :]) <= 3 * radius)[0].tolist():
-            j += i + 1
-            if root(leaders[i]) == root(leaders[j]):
-                continue
-            a, b = groups[i], groups[j]
-            if len(a) > len(b):
-                a, b = b, a
-            for x in a.tolist():
-                hit = np.nonzero(_near(members[x], members[b], radius))[0]
-                if len(hit):
-                    link(x, int(b[hit[0]]))
-                    break
+    def compare(at: np.ndarray) -> None:
+        """Breadth first through the near pairs, so that only links of a spanning forest are spelt out."""
+        near = np.bitwise_count(members[at][:, None] ^ members[at][None, :]) <= radius
+        left = near.sum(axis=1) > 1
+        while left.any():
+            front = np.asarray([int(left.argmax())])
+            left[front] = False
+            while len(front):
+                others = np.flatnonzero(left)
+                reach = near[front][:, others]
+                hit = reach.any(axis=0)
+                fresh, by = others[hit], front[reach[:, hit].argmax(axis=0)]
+                for a, b in zip(at[by].tolist(), at[fresh].tolist(), strict=True):
+                    link(a, b)
+                left[fresh] = False
+                front = fresh
+
+    todo = [np.arange(len(members))]
+    while todo:
+        at = todo.pop()
+        one = root(int(at[0]))
+        if all(root(x) == one for x in at.tolist()):
+            continue
+        if len(at) <= small:
+            compare(at)
+            continue
+        own = members[at]
+        differ = bits_of(int(np.bitwise_or.reduce(own ^ own[0])))
+        if len(differ) <= radius:
+            for x in at[1:].tolist():
+                link(int(at[0]), x)
+            continue
+        for g in range(radius + 1):
+            key = own & np.uint64(sum(1 << i for i in differ[g :: radius + 1]))
+            order = np.argsort(key, kind="stable")
+            edge = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+            todo += [at[order[x:y]] for x, y in zip(edge, [*edge[1:], len(at)], strict=True) if y - x > 1]
     return links
 
 
-def links(vertices: DataFrame, radius: int = RADIUS, seed: int = MASK_SEED) -> DataFrame:
-    """a, b: links among distinct fingerprints (column fp) that give all components of pairs within the radius."""
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def buckets(vertices: DataFrame, scratch: Scratch, radius: int, seed: int = MASK_SEED, most: int = HOT_BUCKET) -> DataFrame:
+    """mask, key, fp: every fingerprint in its bucket of each table.
+
+    Buckets of more than ``most`` distinct fingerprints are counted exactly and split by ``finer``, again until none is
+    left: a bucket has at most 2^(positions it does not keep) members, so two or three splits suffice.
+    """
+
+    def placed(masks: Column) -> Column:
+        return F.explode(F.transform(masks, lambda m: F.struct(m.alias("mask"), F.col("fp").bitwiseAND(m).alias("key")))).alias("k")
+
     masks = covering_masks(radius, seed=seed)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    tables = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for i, m in enumerate(signed)])
-    keyed = vertices.select("fp", F.explode(tables).alias("k")).select("k.t", "k.key", "fp")
+    keyed = vertices.select("fp", placed(F.array(*[F.lit(_signed(m)).cast("long") for m in masks]))).select("k.mask", "k.key", "fp")
+    done: list[DataFrame] = []
+    while True:
+        hot = scratch.table(keyed.groupBy("mask", "key").count().filter(F.col("count") > most).select("mask", "key"), f"hot{len(done)}")
+        if not hot.limit(1).count():
+            break
+        done.append(keyed.join(hot, ["mask", "key"], "left_anti"))
+        parts = {m: finer(m, radius) for m in masks}
+        into = F.create_map(*[x for m, some in parts.items() for x in (F.lit(_signed(m)).cast("long"), F.array(*[F.lit(_signed(y)).cast("long") for y in some]))])
+        split = keyed.join(hot, ["mask", "key"]).select("fp", placed(into[F.col("mask")])).select("k.mask", "k.key", "fp")
+        keyed, masks = scratch.table(split, f"split{len(done)}"), sorted({y for some in parts.values() for y in some})
+    for part in done:
+        keyed = keyed.unionByName(part)
+    return keyed
+
+
+def links(vertices: DataFrame, scratch: Scratch, radius: int = RADIUS, seed: int = MASK_SEED, most: int = HOT_BUCKET) -> DataFrame:
+    """a, b: links among distinct fingerprints (column fp) that give all components of pairs within the radius."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Buckets arrive sorted; the last bucket of a batch stays open."""
@@ -167,7 +218,7 @@ def links(vertices: DataFrame, radius: int = RADIUS, seed: int = MASK_SEED) -> D
 
         keys, values = [], []
         for batch in batches:
-            k = np.stack([batch.column(0).to_numpy().astype(np.int64), batch.column(1).to_numpy()], axis=1)
+            k = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)
             v = batch.column(2).to_numpy().view(np.uint64)
             change = np.flatnonzero(np.any(k[1:] != k[:-1], axis=1))
             fresh = not keys or bool(np.any(keys[-1][-1] != k[0])) if len(k) else False
@@ -184,8 +235,7 @@ def links(vertices: DataFrame, radius: int = RADIUS, seed: int = MASK_SEED) -> D
         if sum(map(len, keys)):
             yield from emit(np.concatenate(keys), np.concatenate(values))
 
-    # only keys that two fingerprints share go on; a partial count comes before the shuffle
-    dealt = keyed.repartition("t", "key").sortWithinPartitions("t", "key", "fp")
+    dealt = buckets(vertices, scratch, radius, seed, most).repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
     return dealt.mapInArrow(find, "a long, b long").distinct()
 
 
@@ -223,7 +273,7 @@ def components(edges: DataFrame, scratch: Scratch, label: str = "cc") -> DataFra
 def _components_of(rows: DataFrame, scratch: Scratch, radius: int) -> DataFrame:
     """fp, low (smallest id), c: the component of every distinct fingerprint."""
     vertices = scratch.table(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "vertices")
-    label = components(links(vertices.select("fp"), radius), scratch)
+    label = components(links(vertices.select("fp"), scratch, radius), scratch)
     named = vertices.join(label.toDF("fp", "c"), "fp", "left").select("fp", "low", F.coalesce("c", "fp").alias("c"))
     return scratch.table(named, "named")
 
@@ -247,12 +297,13 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, h
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.table(fingerprints(docs, shingle, hash_seed, digest=True), "fp")
     named = _components_of(rows, scratch, radius)
-    key = [F.col("doc_id").isNull().alias("_z"), F.coalesce("doc_id", F.lit(0)).alias("_k")]
+    *names, rank = private(docs.columns, "_z", "_k", "_h", "_r")
+    key = [F.col("doc_id").isNull().alias(names[0]), F.coalesce("doc_id", F.lit(0)).alias(names[1])]
     # by fingerprint first, so that equal texts go into the join as one row
-    of_fp = rows.groupBy("fp").agg(F.min(F.struct(*key, F.col("digest").alias("_h"))).alias("m"))
-    stay = of_fp.join(named.select("fp", "c"), "fp").groupBy("c").agg(F.min("m").alias("m")).select("m._z", "m._k", "m._h")
+    of_fp = rows.groupBy("fp").agg(F.min(F.struct(*key, F.col("digest").alias(names[2]))).alias("m"))
+    stay = of_fp.join(named.select("fp", "c"), "fp").groupBy("c").agg(F.min("m").alias("m")).select("m.*")
     # plain equality on the same columns, so that the text is shuffled once for the join and the window
-    own = docs.select("*", *key, F.sha2(text_of(), 256).alias("_h"))
-    first = Window.partitionBy("_z", "_k", "_h").orderBy("text")
-    out = own.join(stay, ["_z", "_k", "_h"]).withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*docs.columns)
-    return scratch.own(out)
+    own = docs.select("*", *key, F.sha2(text_of(), 256).alias(names[2]))
+    first = Window.partitionBy(*names).orderBy("text")
+    out = own.join(stay, names).withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1)
+    return scratch.own(out.select(*[F.col(f"`{c}`") for c in docs.columns]))
