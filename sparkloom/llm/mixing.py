@@ -8,13 +8,16 @@ that fit, then bounded-knapsack dynamic programming (bit sets) over what is left
 comes to the target, further copies may, up to ``most``. The chosen count of each length is filled
 with documents by seeded hash.
 
-Scale: the text is read once into a narrow table. Each source's histogram is bounded by its
-distinct lengths, never by documents. Picking k documents of one length works on ``BUCKETS`` hash
+Scale: the text is read once into a narrow table. Sources are weighed and filled in Spark. Each source's histogram is bounded
+by its distinct lengths, never by documents. Picking k documents of one length works on ``BUCKETS`` hash
 buckets per (source, length): only whole buckets, and one boundary bucket that is ranked, are needed, so
-a source or a length with a third of all rows never meets in one task.
+a source or a length with a third of all rows never meets in one task, nor do rows without an id. The dynamic programme holds
+at most ``DP_BUDGET`` bits for each length that extends its sums, whatever the lengths are.
 
 Defined edge cases: null text and empty text have size 0 and are taken 0 times; a null source is a
-source of its own; repeated rows count each; an empty table gives an empty result.
+source of its own; repeated rows count each, and of rows equal in id and text any may be the one taken once more; ties in
+length are broken by a seeded hash of id and text; a text is counted whole; extra columns are ignored by ``mix`` and preserved by
+``materialised_mix``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,15 +26,15 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import WS, Scratch, map_arrow, text_of
+from sparkloom.llm.common import WS, Scratch, carry, map_arrow, private, slices, text_of
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
 SEED = 20240607
-BUCKETS = 256
+BUCKETS = 1024
 #: Cells of the dynamic programme: the part of a budget that it fits exactly.
 DP_BUDGET = 1 << 16
 
@@ -73,7 +76,12 @@ def fit_budget(sizes: list[int], counts: list[int], budget: int, cells: int = DP
         more = min(counts[i] - take[i], max(0, (left - cells // 2) // max(1, sizes[i])))
         take[i] += more
         left -= more * sizes[i]
-    left = min(left, sum(s * (c - t) for s, c, t in zip(sizes, counts, take, strict=True)))
+    # only documents too large for what is above the cells are left to take now: the largest that fits, until none does
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        while left > cells and take[i] < counts[i] and 0 < sizes[i] <= left:
+            take[i] += 1
+            left -= sizes[i]
+    left = min(left, cells, sum(s * (c - t) for s, c, t in zip(sizes, counts, take, strict=True)))
     mask = (1 << (left + 1)) - 1
     reach, steps = 1, []
     for i, s in enumerate(sizes):  # bounded knapsack: each count as powers of two and a rest
@@ -118,61 +126,110 @@ def fit_copies(sizes: list[int], counts: list[int], target: float, most: int = M
 
 
 def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """doc_id, source, key (of the source, never null), size, bucket, rank hash; the text is read once."""
+    """doc_id, source, key (of the source, never null), size, bucket, rank hash (of id and text); the text is read once."""
     import pyarrow as pa
 
     def make():
+        import xxhash
+
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            words = [0 if x is None else len(x.split()) for x in batch.column(2).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.int64())], ["doc_id", "source", "size"])
+            for part in slices(batch, "text"):
+                texts = [x or b"" for x in part.column(2).to_pylist()]
+                words = [len(x.split()) for x in texts]
+                marks = [xxhash.xxh64_intdigest(x) >> 1 for x in texts]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(words, pa.int64()), pa.array(marks, pa.int64())], ["doc_id", "source", "size", "mark"])
 
         return step
 
-    counted = map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")), "doc_id long, source string, size long", make)
+    source = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("binary").alias("text"))
+    counted = map_arrow(source, "doc_id long, source string, size long, mark long", make)
+    h = F.xxhash64(F.lit(seed), "doc_id", "mark")
     return counted.select(
         "doc_id",
         "source",
         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("key"),
         "size",
-        F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(BUCKETS)).cast("int").alias("bucket"),
-        F.xxhash64(F.lit(seed), "doc_id").alias("h"),
+        F.pmod(h, F.lit(BUCKETS)).cast("int").alias("bucket"),
+        h.alias("h"),
     )
 
 
+def numbered(sources: DataFrame, scratch: Scratch) -> DataFrame:
+    """Adds ``place`` from 0 in code-point order, null last, without a window over all sources."""
+    order = [F.col("key") == "n", F.col("key")]
+    ranged = scratch.table(sources.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy("part").count()
+    before = F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    return ranged.join(sizes.select("part", before.alias("before")), "part").withColumn("place", F.col("before") + within - 1).drop("part", "before")
+
+
+def source_targets(words: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """key, source_size, target of rows key, words: the water filling of ``targets``, a pass over the sources each round.
+
+    Sources may be as many as there are web domains, so none of this is collected but the sums of a round.
+    """
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    all_ = scratch.table(numbered(words, scratch).select("key", "words", weight.cast("long").alias("weight")), "weights")
+    everything = all_.agg(F.sum("words")).first()[0] or 0
+    full_at: list[Column] = []  # a source is full if a round has found it so; each round is a level of words a weight
+
+    def is_full() -> Column:
+        out = F.lit(False)
+        for level in full_at:
+            out = out | level
+        return out
+
+    while True:
+        sums = all_.agg(F.sum(F.when(is_full(), F.col("words") * most)).alias("gone"), F.sum(F.when(~is_full(), F.col("weight"))).alias("weight"), F.count_if(is_full()).alias("n")).first()
+        left, total = float(everything - (sums["gone"] or 0)), sums["weight"]
+        if not total:
+            break
+        own = F.lit(left) * F.col("weight") / F.lit(total)
+        above = own > F.col("words") * most
+        if not all_.filter(~is_full() & above).limit(1).count():
+            break
+        full_at.append(above)
+    share = (F.col("words") * most).cast("double")
+    if total:
+        share = F.when(is_full(), share).otherwise(own)
+    return scratch.table(all_.select("key", F.col("words").alias("source_size"), share.alias("target")), "targets")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, cells: int = DP_BUDGET) -> DataFrame:
     """doc_id, source, size, source_size, target, taken (words), copies: one row for each input row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
     rows = scratch.table(sized(docs, seed), "sizes")
     cells_of = scratch.table(rows.groupBy("key", "size", "bucket").count(), "cells")
-    # one row for each source; a mix has a bounded list of sources
-    by_source = {r["key"]: int(r["words"]) for r in cells_of.groupBy("key").agg(F.sum(F.col("size") * F.col("count")).alias("words")).toLocalIterator()}
-    name = {k: k[1:] if k[0] == "s" else None for k in by_source}
-    goal = targets({name[k]: v for k, v in by_source.items()}, weights, most)
-    want = {k: (by_source[k], goal[name[k]]) for k in by_source}
+    goals = source_targets(cells_of.groupBy("key").agg(F.sum(F.col("size") * F.col("count")).alias("words")), scratch, weights, most)
 
     def fit(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for key, hist in zip(part["key"], part["hist"], strict=True):
+            for key, hist, words, target in zip(part["key"], part["hist"], part["source_size"], part["target"], strict=True):
                 pairs = sorted((int(h["size"]), int(h["n"])) for h in hist)
-                words, target = want[key]
                 sizes, counts = [p[0] for p in pairs], [p[1] for p in pairs]
-                total = fit_copies(sizes, counts, target, most, cells)
+                total = fit_copies(sizes, counts, float(target), most, cells)
                 yield pd.DataFrame(
                     {"key": key, "size": sizes, "source_size": words, "target": target, "base": [t // c for t, c in zip(total, counts, strict=True)], "extra": [t % c for t, c in zip(total, counts, strict=True)]}
                 )
 
     hist = cells_of.groupBy("key", "size").agg(F.sum("count").alias("n")).groupBy("key").agg(F.collect_list(F.struct("size", "n")).alias("hist"))
-    chosen = hist.mapInPandas(fit, "key string, size long, source_size long, target double, base long, extra long")
+    chosen = hist.join(goals, "key").mapInPandas(fit, "key string, size long, source_size long, target double, base long, extra long")
     before = Window.partitionBy("key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    plan = (
+    plan = scratch.table(
         cells_of.join(chosen, ["key", "size"])
         .withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0)))
-        .select("key", "size", "bucket", "source_size", "target", "base", F.greatest(F.lit(0), F.least("count", F.col("extra") - F.col("before"))).alias("more"))
+        .select("key", "size", "bucket", "source_size", "target", "base", "count", F.greatest(F.lit(0), F.least("count", F.col("extra") - F.col("before"))).alias("more")),
+        "plan",
     )
+    # whole and empty buckets need no rank; at most one bucket of a source and size is cut
+    joined = rows.join(plan, ["key", "size", "bucket"])
+    cut = (F.col("more") > 0) & (F.col("more") < F.col("count")) & (F.col("size") > 0)
     rank = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy("h", "doc_id"))
-    out = rows.join(plan, ["key", "size", "bucket"]).withColumn("copies", F.col("base") + F.when(rank <= F.col("more"), 1).otherwise(0))
-    out = out.withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(F.col("copies")).cast("int"))
+    whole = joined.filter(~cut).withColumn("copies", F.col("base") + F.when(F.col("more") > 0, 1).otherwise(0))
+    some = joined.filter(cut).withColumn("copies", F.col("base") + F.when(rank <= F.col("more"), 1).otherwise(0))
+    out = whole.unionByName(some).withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(F.col("copies")).cast("int"))
     return scratch.own(out.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"))
 
 
@@ -180,13 +237,13 @@ def materialised_mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it. Rows of one id (or none), source and size share their copies
     in the order of their texts; which of them has one more does not change the words taken."""
     picks = mix(docs, **options)
-    key = [F.col("doc_id").isNull().alias("_z"), F.coalesce("doc_id", F.lit(0)).alias("_k"), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("_s")]
-    n = picks.select(*key, F.col("size").alias("_w"), "copies").groupBy("_z", "_k", "_s", "_w").agg(F.sum("copies").alias("_all"), F.count("*").alias("_rows")).filter("_all > 0")
+    *names, total, rows, place, copies = private(docs.columns, "_z", "_k", "_s", "_w", "_all", "_rows", "_i", "_n")
+    key = [F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))]
+    n = picks.select(*[c.alias(x) for c, x in zip([*key, F.col("size")], names, strict=True)], "copies").groupBy(*names).agg(F.sum("copies").alias(total), F.count("*").alias(rows)).filter(F.col(total) > 0)
     words = F.size(F.filter(F.split(text_of(), f"{WS}+"), lambda w: w != "")).cast("long")
-    joined = docs.select("*", *key, words.alias("_w")).join(n, ["_z", "_k", "_s", "_w"])
-    rank = F.row_number().over(Window.partitionBy("_z", "_k", "_s", "_w").orderBy("text"))
-    copy = F.floor(F.col("_all") / F.col("_rows")) + F.when(F.col("_i") <= F.col("_all") % F.col("_rows"), 1).otherwise(0)
-    out = joined.withColumn("_i", rank).withColumn("_n", copy.cast("int")).filter("_n > 0")
-    out = out.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
-    out._loom_scratch = picks._loom_scratch
-    return out
+    joined = docs.select("*", *[c.alias(x) for c, x in zip([*key, words], names, strict=True)]).join(n, names)
+    rank = F.row_number().over(Window.partitionBy(*names).orderBy("text"))
+    copy = F.floor(F.col(total) / F.col(rows)) + F.when(F.col(place) <= F.col(total) % F.col(rows), 1).otherwise(0)
+    out = joined.withColumn(place, rank).withColumn(copies, copy.cast("int")).filter(F.col(copies) > 0)
+    out = out.withColumn(place, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return carry(picks, out.select(*[F.col(f"`{c}`") for c in docs.columns]))
