@@ -10,8 +10,9 @@ fits takes one descent.
 Scale: only piece lengths and checksums are shuffled, never text or ids, and a group holds about
 ``group_docs`` documents whatever the size of the corpus. Tokenising is one narrow pass.
 
-Defined edge cases: null and empty text is the end id alone; repeated rows are packed each; an empty
-table gives an empty result; extra columns are ignored.
+Defined edge cases: null and empty text is the end id alone; a special token's spelling in a text gives that token's id, as the
+tokenizer has it; texts of any length are tokenised whole, in batches of bounded bytes or one by one; repeated rows and ties in
+length are packed each, in order of id; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ class WordTokenizer:
     independently. So a batch is split and dictionary-encoded in Arrow, each distinct run of non-space
     characters is encoded once, and ids are gathered by array operations. Words are encoded as texts of some hundred words and
     told apart by their last tokens, which alone carry the end-of-word mark. Texts outside Latin-1, where
-    case folding and normalisation differ between libraries, go to the tokenizer whole.
+    case folding and normalisation differ between libraries, and texts that hold an added (special) token go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -67,7 +68,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # added tokens are found in the text before it is split, in any letter case if they are normalised
+        added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content})
+        self.odd = "|".join([_ODD] + [f"(?i:{re.escape(t)})" for t in added])
         # the same merges without normaliser and pattern, for words that are lower-cased and split already
         self.merger = Tokenizer(self.tokenizer.model)
         self.merger.model._resize_cache(0)  # words come once only
@@ -117,7 +120,7 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (no nulls), one after the other, and where each text's begin; one more for the end."""
-        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
         plain = texts.filter(pa.array(~odd)) if odd.any() else texts
         lists = pc.ascii_split_whitespace(plain)
         coded = lists.flatten().dictionary_encode()
