@@ -10,8 +10,9 @@ scanned, and joined with the revisits alone: broadcast when their counted number
 Bundles have a bounded size. A task that is repeated writes a new file name, and only files that the
 returned index names are ever read, so lost executors leave no half-written bundle in a result.
 
-Defined edge cases: null payload is empty; null url has no target header; a null id is kept as an empty
-identifier; of repeated rows with the smallest id all are responses; an empty table gives an empty index.
+Defined edge cases: null payload is empty; null url has no target header, other urls are read back as they were; a null id is
+kept as an empty identifier; of repeated rows with the smallest id all are responses; a payload larger than a frame is a
+frame of its own, held whole by one task; an empty table gives an empty index; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs
@@ -35,6 +36,8 @@ BUNDLE_BYTES = 64 << 20
 LEVEL = 3
 #: At most so many revisit rows (about 150 bytes each) are broadcast.
 BROADCAST_ROWS = 100_000
+#: Tasks that read archives; beyond it a task reads several bundles.
+MOST_TASKS = 50_000
 DATE = "2024-01-01T00:00:00Z"
 
 # Fixed values of the seekable format.
@@ -67,7 +70,9 @@ def encode_record(page_id: int | None, url: str | None, payload: bytes, digest:
         f"X-Page-ID: {'' if page_id is None else page_id}",
     ]
     if url is not None:
-        head.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~')}")
+        # as it is, unless it holds what would end or blur a header line; then percent signs are escaped as well
+        plain = url.isprintable() and url == url.strip()
+        head += [f"WARC-Target-URI: {url}"] if plain else [f"WARC-Target-URI: {quote(url, safe='')}", "X-Target-URI-Escaped: yes"]
     if is_revisit:
         head += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
@@ -224,7 +229,9 @@ def read(spark: SparkSession, index: DataFrame) -> DataFrame:
 
     Size and digest are taken from the payload itself; for a revisit, from its header.
     """
-    frames = index.select("bundle", "frame").distinct()
+    # a task for each bundle, as near as a hash deals them; the index is too small to split by its size
+    bundles = index.select("bundle").distinct().count()
+    frames = index.select("bundle", "frame").distinct().repartition(max(1, min(bundles, MOST_TASKS)), "bundle")
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
@@ -244,7 +251,7 @@ def read(spark: SparkSession, index: DataFrame) -> DataFrame:
                     rows.append(
                         (
                             int(head["X-Page-ID"]) if head["X-Page-ID"] else None,
-                            head.get("WARC-Target-URI"),
+                            unquote(head["WARC-Target-URI"]) if "X-Target-URI-Escaped" in head else head.get("WARC-Target-URI"),
                             head["WARC-Type"],
                             None if full else int(head["X-Refers-To-Page-ID"]),
                             len(r["payload"]) if full else int(r["http"]["Content-Length"]),
