@@ -9,14 +9,17 @@ Training: labels mark documents, so words are labelled first. A feature (word or
 likelihood ratio of its presence in toxic against other documents is above ``SIGNIFICANT`` nats and it hardly
 occurs in others; words with such a feature in toxic documents get label 1, all other words label 0. The
 field is fitted to these labelled words by gradient steps on the exact conditional likelihood; then the logistic
-function is fitted to the same documents. The sample is bounded: ``SAMPLE_TOXIC`` and ``SAMPLE_OTHER``
-labelled documents with the smallest hashes, of at most ``SAMPLE_CHARS`` characters. Only rows with
+function is fitted to the same documents. The training sample is bounded by parameters: ``SAMPLE_TOXIC`` and ``SAMPLE_OTHER``
+labelled documents with the smallest hashes, of at most ``SAMPLE_CHARS`` characters; of their segments of ``SEGMENT`` words the
+field is fitted to ``SEGMENTS`` / 2 with a marked word and ``SEGMENTS`` without one, drawn with a seed. Only rows with
 crc32(doc_id) mod 3 <> 1 are ever learned from. Scoring reads every text whole.
 
 Scale: training data and model are bounded by parameters; scoring is one narrow pass without a shuffle.
 
 Defined edge cases: null and empty text has no words and gets the score of no evidence; without labelled
-rows of both classes every score is 0; repeated rows are scored each.
+rows of both classes every score is 0; repeated rows are scored each; of texts that share a labelled id the smallest is learned
+from; an id that is labelled twice is toxic if either label says so; a text is held whole by one task, with about 60 bytes a word;
+an empty table gives an empty result; extra columns are ignored by ``score`` and preserved by ``keep``.
 """
 
 from __future__ import annotations
@@ -46,6 +49,14 @@ STEPS = 60
 SEED = 9
 
 _WORDS = re.compile(r"[^\W\d_]+")
+
+
+def folded(text: str) -> str:
+    """Lower-cased without a change of length: characters whose lower case is longer stay, so that offsets hold."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+
+
 _PREFIXES = (4, 5, 6)
 
 
@@ -264,7 +275,7 @@ def train(texts: list[str], labels: list[int]) -> Field:
     empty = Field(np.zeros(1 << HASH_BITS), np.zeros((2, 2)), 0.0, np.array([-50.0, 0, 0, 0]))
     if len(set(labels)) < 2:
         return empty
-    words = [_WORDS.findall(t.lower()) for t in texts]
+    words = [_WORDS.findall(folded(t)) for t in texts]
     # by class: a toxic text may be a clean one with some words put in
     by_class = [[i for i, y in enumerate(labels) if bool(y) == toxic] for toxic in (True, False)]
     kept = [own[k] for own in by_class for k in without_copies([words[i] for i in own])]
@@ -295,8 +306,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXI
         docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
         .filter(F.length("text") <= chars)
         .join(F.broadcast(some), F.col("doc_id") == F.col("_id"))
-        .select("doc_id", "text", "_toxic")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.max("_toxic").alias("_toxic"))
         .collect()
     )
     rows.sort(key=lambda r: r["doc_id"])
@@ -322,7 +333,7 @@ class Scorer:
         """Scores, and the marginals of every text's words."""
         if len(self.cache) > self.most:
             self.cache.clear()
-        probabilities = marginals([self.potentials(_WORDS.findall(t.lower())) for t in texts], self.field)
+        probabilities = marginals([self.potentials(_WORDS.findall(folded(t))) for t in texts], self.field)
         x = np.asarray([summary(p) for p in probabilities])
         w = self.field.logistic
         return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -500, 500))), probabilities
@@ -372,12 +383,9 @@ def keep(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFra
 
 def offending(text: str, p: np.ndarray) -> list[dict]:
     """Runs of words with a marginal above one half. Offsets of the text as it is, not lower-cased."""
-    low = text.lower()
-    words = list(_WORDS.finditer(low if len(low) == len(text) else text))
+    words = list(_WORDS.finditer(folded(text)))
     out: list[dict] = []
     for i in np.flatnonzero(p > 0.5).tolist():
-        if i >= len(words):
-            break
         m = words[i]
         if out and out[-1]["last"] == i - 1:
             out[-1] |= {"end": m.end(), "p": max(out[-1]["p"], float(p[i])), "last": i}
