@@ -32,17 +32,32 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def private(columns: list[str], *names: str) -> list[str]:
+    """The names, longer where a column has them already, so that helper columns never clash with the caller's."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Own temporary folder only where the setting is unset."""
+    """The folder that driver and executors share. Where the setting is unset, an own folder on a local master (tests); an
+    error on a cluster, whose executors would each see another folder."""
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         configured = getattr(spark, "_loom_shared", None) or tempfile.mkdtemp(prefix="loom-shared-")
         spark._loom_shared = configured
     # with its scheme, so that Spark and the Python workers mean the same store

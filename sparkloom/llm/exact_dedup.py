@@ -10,7 +10,8 @@
 
 Defined edge cases: a null text is an empty text (all empty texts are equal); a null ``doc_id``
 sorts before others; of fully equal rows (same id, same text) exactly one is kept; an empty table
-gives an empty result; extra columns of any name are ignored by ``duplicates`` and preserved by ``deduplicate``.
+gives an empty result; extra columns of any name are ignored by ``duplicates`` and preserved by ``deduplicate``; texts of
+any length are digested whole, one row at a time; of copies with equally many code points the smallest ``doc_id`` stays.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import WS, Scratch, text_of
+from sparkloom.llm.common import WS, Scratch, carry, private, text_of
 
 TRACKED = 8192
 HEAVY_ROWS = 64
@@ -79,12 +80,11 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """The rows that stay, with all their columns. Rows equal in id and text count as one."""
     marks = duplicates(docs, **options)
     # plain equality on the same four columns throughout, so that the text is shuffled once for the join and the window
+    *names, rank = private(docs.columns, "_z", "_k", "_h", "_n", "_r")
     key = [F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))]
-    kept = marks.filter("kept").select(key[0].alias("_z"), key[1].alias("_k"), F.col("text_sha256").alias("_h"), F.col("n_points").alias("_n"))
     digest, points = digest_columns()
-    own = docs.select("*", key[0].alias("_z"), key[1].alias("_k"), digest.alias("_h"), points.alias("_n"))
-    joined = own.join(kept, ["_z", "_k", "_h", "_n"])
-    once = Window.partitionBy("_z", "_k", "_h", "_n").orderBy("text")
-    out = joined.withColumn("_r", F.row_number().over(once)).filter("_r = 1").select(*docs.columns)
-    out._loom_scratch = marks._loom_scratch
-    return out
+    kept = marks.filter("kept").select(*[c.alias(n) for c, n in zip([*key, F.col("text_sha256"), F.col("n_points")], names, strict=True)])
+    own = docs.select("*", *[c.alias(n) for c, n in zip([*key, digest, points], names, strict=True)])
+    once = Window.partitionBy(*names).orderBy("text")
+    out = own.join(kept, names).withColumn(rank, F.row_number().over(once)).filter(F.col(rank) == 1)
+    return carry(marks, out.select(*[F.col(f"`{c}`") for c in docs.columns]))
