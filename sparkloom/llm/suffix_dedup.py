@@ -12,15 +12,18 @@ Cutting the corpus into independent suffix arrays, without losing a match:
    minimizers at equal places, so runs of windows that share a minimizer form a snippet, and snippets
    only have to meet others of the same minimizer. Snippets with a minimizer that occurs nowhere else are done.
    A Misra-Gries summary finds hot minimizers first; their snippets are cut into short ones keyed
-   by the bytes all their windows share, so no key gathers more than a bounded variety of strings.
-3. For each key, equal snippets are one string with its first place and one later place that stands for all later
-   ones. All strings of a range of keys are concatenated and sorted: suffixes smaller than their
+   by the bytes all their windows share, so no key gathers more than a bounded variety of strings, and equal ones of a
+   slice are one row before they are shuffled: their first and last places meet by a partial aggregation, and the verdict
+   on all others goes back by a plain join. So a line that a third of all documents share meets in no task.
+3. For each key, equal snippets (by two 64-bit hashes) are one string with its first place and one later place that stands
+   for all later ones. All strings of a range of keys are concatenated and sorted: suffixes smaller than their
    successors directly, all others induced by bucket scans. Adjacent common prefixes of ``length`` or more
    join windows into classes; all but the first place of a class repeat it.
 4. Verdicts return to their slices, where the removed bytes are marked.
 
 Defined edge cases: null text is empty; texts shorter than ``length`` lose nothing; rows that repeat an id and text are
-copies of one of them; rows with equal id and other text are ordered by digest; a null id comes first; an empty
+copies of one of them; rows with equal id and other text are ordered by digest; a null id comes first; a long text is hashed
+in pieces of ``PIECE_BYTES`` that overlap by a window, and held whole only as bytes; extra columns are ignored; an empty
 table gives an empty result.
 """
 
@@ -43,11 +46,16 @@ from sparkloom.llm.warc import open_store
 LENGTH = 100
 GRAM = 32
 SLICE_BYTES = 2 << 20
+#: Bytes of a text that are hashed at once.
+PIECE_BYTES = 2 << 20
 #: Records of a bucket (about 26 bytes each), and bytes of the strings of one suffix array.
 BUCKET_RECORDS = 250_000
 ARRAY_BYTES = 3 << 20
-#: Counters of the summary, the least count of a hot minimizer, and the windows of its cut snippets.
-COUNTERS = 65_536
+#: Buckets, and suffix arrays, of one task.
+OF_TASK = 4
+#: Counters of the summary, the least count of a hot minimizer, and the windows of its cut snippets. A minimizer that is not
+#: hot has at most 1/COUNTERS of all records (one for about 35 bytes), or HOT of them.
+COUNTERS = 1 << 20
 HOT = 4096
 HOT_WINDOWS = 4
 
@@ -312,14 +320,29 @@ def minimizer_runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -
     return text, ends, hashes[q[edge]], q[edge], first[edge], count
 
 
+def batched_pieces(texts: list[bytes], length: int, most: int = PIECE_BYTES) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Text number, first byte and bytes of pieces that together hold every window once, in batches of about ``most`` bytes."""
+    batch: list[tuple[int, int, bytes]] = []
+    total = 0
+    for number, text in enumerate(texts):
+        for first in range(0, len(text) - length + 1, most):
+            piece = text[first : first + most + length - 1]
+            batch.append((number, first, piece))
+            total += len(piece)
+            if total >= most:
+                yield batch
+                batch, total = [], 0
+    if batch:
+        yield batch
+
+
 def cut_hot(hashes: np.ndarray, place: np.ndarray, first: np.ndarray, count: np.ndarray, hot: np.ndarray, content: RollingHash, length: int, most: int = HOT_WINDOWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """key, first window, windows: runs of hot minimizers in pieces of at most ``most`` windows at fixed
     offsets from the minimizer, keyed by the bytes that all windows of such a piece share."""
     is_hot = np.isin(hashes, hot)
-    cold = ~is_hot
-    if not is_hot.any():
-        return hashes, first, count
     h, q, a, n = hashes[is_hot], place[is_hot], first[is_hot], count[is_hot]
+    if not len(h):
+        return h, a, n
     run = np.repeat(np.arange(len(h)), n)
     window = a[run] + np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
     part = (q[run] - window) // most  # offsets most * part .. most * part + most - 1
@@ -329,7 +352,7 @@ def cut_hot(hashes: np.ndarray, place: np.ndarray, first: np.ndarray, count: np.
     # windows of the piece start at q - (most * part + most - 1) at the earliest and q - most * part at the latest
     core = content.of(q[run] - most * part, q[run] - (most * part + most - 1) + length)
     key = mixed(h[run] * U64(3) ^ core * _ODD2 ^ part.astype(np.uint64))
-    return np.concatenate([hashes[cold], key]), np.concatenate([first[cold], window]), np.concatenate([count[cold], size])
+    return key, window, size
 
 
 #: One record of a run of windows: key, content, document in the blob's table, first window in the document, windows.
@@ -340,58 +363,86 @@ PLACE = np.dtype([("row", "<i4"), ("first", "<u4"), ("count", "u1")])
 
 
 def hot_minimizers(work: DataFrame, length: int, gram: int, counters: int, least: int) -> np.ndarray:
-    """Hashes of at least ``least`` places and 1/counters of all. At most ``counters`` of them are returned."""
+    """Hashes of at least ``least`` places and 1/counters of all: at most ``counters`` of them, by a Misra-Gries summary."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        fresh: list[np.ndarray] = []
         total = 0
+
+        def merged() -> None:
+            nonlocal keys, counts
+            own, n = np.unique(np.concatenate(fresh), return_counts=True) if fresh else (keys[:0], counts[:0])
+            fresh.clear()
+            both, back = np.unique(np.concatenate([keys, own]), return_inverse=True)
+            counts = np.bincount(back, np.concatenate([counts, n]), len(both)).astype(np.int64)
+            keys = both
+            if len(keys) > counters:  # Misra-Gries: subtract what the first counter too many has
+                counts = counts - np.partition(counts, len(counts) - counters - 1)[len(counts) - counters - 1]
+                keys, counts = keys[counts > 0], counts[counts > 0]
+
         for batch in batches:
             for path, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 texts = read_slice(path)
-                hashes = minimizer_runs([texts[r["row"]] for r in rows], length, gram)[2]
-                total += len(hashes)
-                own, n = np.unique(hashes, return_counts=True)
-                both, back = np.unique(np.concatenate([keys, own]), return_inverse=True)
-                counts = np.bincount(back, np.concatenate([counts, n]), len(both)).astype(np.int64)
-                keys = both
-                if len(keys) > counters:  # Misra-Gries: subtract what the first counter too many has
-                    counts = counts - np.partition(counts, len(counts) - counters - 1)[len(counts) - counters - 1]
-                    keys, counts = keys[counts > 0], counts[counts > 0]
+                for pieces in batched_pieces([texts[r["row"]] for r in rows], length):
+                    fresh.append(minimizer_runs([p for _, _, p in pieces], length, gram)[2])
+                    total += len(fresh[-1])
+                    if sum(map(len, fresh)) > counters:
+                        merged()
+        merged()
         some = counts > 1
         yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(counts[some]), pa.array(np.zeros(some.sum(), np.int64))], ["h", "n", "total"])
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([0], pa.int64()), pa.array([total], pa.int64())], ["h", "n", "total"])
 
     counted = work.mapInArrow(summarise, "h long, n long, total long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    top = counted.filter(F.col("total") == 0).orderBy(F.col("n").desc(), "h").limit(counters)
-    total = counted.agg(F.sum("total")).first()[0] or 0
-    rows = top.filter(F.col("n") >= max(least, total // counters)).collect()
-    return np.asarray([r["h"] for r in rows], np.int64).view(np.uint64)
+    counted = counted.filter((F.col("n") >= least) | (F.col("total") > 0)).toArrow()
+    n, all_ = counted["n"].to_numpy(), counted["total"].to_numpy()
+    return counted["h"].to_numpy()[(n >= max(least, int(all_.sum()) // counters))].view(np.uint64)
+
+
+def doc_table(rows: list[dict]) -> np.ndarray:
+    table = np.empty(len(rows), DOC)
+    table["id"] = [r["doc_id"] or 0 for r in rows]
+    table["null"] = [r["doc_id"] is None for r in rows]
+    table["tie"] = [r["tie"] for r in rows]
+    table["row"] = [r["row"] for r in rows]
+    return table
+
+
+def slice_records(texts: list[bytes], hot: np.ndarray, length: int, gram: int, want_hot: bool) -> np.ndarray:
+    """Records of the runs of windows of a slice: those with a hot minimizer, cut, or all others."""
+    out = [np.empty(0, RUN)]
+    for pieces in batched_pieces(texts, length):
+        text, ends, hashes, place, first, count = minimizer_runs([p for _, _, p in pieces], length, gram)
+        content = RollingHash(text, _ODD2)
+        if want_hot:
+            key, first, count = cut_hot(hashes, place, first, count, hot, content, length)
+        else:
+            cold = ~np.isin(hashes, hot)
+            key, first, count = hashes[cold], first[cold], count[cold]
+        piece = np.searchsorted(ends, first, "right")
+        begin = np.concatenate([[0], ends[:-1]])
+        record = np.empty(len(key), RUN)
+        record["key"], record["count"] = key, count
+        record["content"] = content.of(first, first + count + length - 1)
+        record["doc"] = np.fromiter((n for n, _, _ in pieces), np.int64, len(pieces))[piece]
+        record["first"] = first - begin[piece] + np.fromiter((a for _, a, _ in pieces), np.int64, len(pieces))[piece]
+        out.append(record)
+    return np.concatenate(out)
 
 
 def runs_by_bucket(work: DataFrame, hot: np.ndarray, buckets: int, length: int, gram: int) -> DataFrame:
-    """bucket, path, docs, runs: packed records of a slice for each bucket of keys."""
+    """bucket, path, docs, runs: packed records of a slice for each bucket of keys, but for hot minimizers."""
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for path, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 texts = read_slice(path)
-                own = [texts[r["row"]] for r in rows]
-                text, ends, hashes, place, first, count = minimizer_runs(own, length, gram)
-                if not len(hashes):
+                record = slice_records([texts[r["row"]] for r in rows], hot, length, gram, False)
+                if not len(record):
                     continue
-                content = RollingHash(text, _ODD2)
-                key, first, count = cut_hot(hashes, place, first, count, hot, content, length)
-                doc = np.searchsorted(ends, first, "right")
-                record = np.empty(len(key), RUN)
-                record["key"], record["count"], record["doc"] = key, count, doc
-                record["content"] = content.of(first, first + count + length - 1)
-                record["first"] = first - (ends[doc] - np.fromiter(map(len, own), np.int64, len(own))[doc])
-                table = np.empty(len(rows), DOC)
-                table["id"] = [r["doc_id"] or 0 for r in rows]
-                table["null"] = [r["doc_id"] is None for r in rows]
-                table["tie"] = [r["tie"] for r in rows]
-                table["row"] = [r["row"] for r in rows]
-                bucket = ((key >> U64(20)) % U64(buckets)).astype(np.int64)
+                table = doc_table(rows)
+                bucket = ((record["key"] >> U64(20)) % U64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 record, bucket = record[order], bucket[order]
                 edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
@@ -413,6 +464,99 @@ def runs_by_bucket(work: DataFrame, hot: np.ndarray, buckets: int, length: int,
     return map_arrow(work, "bucket int, path string, docs binary, runs binary", make)
 
 
+#: Place of a string in document order, as Spark compares it.
+ORDERED = "struct<has:boolean,id:long,tie:long,path:string,row:int,first:long>"
+
+
+def hot_strings(work: DataFrame, hot: np.ndarray, length: int, gram: int) -> DataFrame:
+    """key, content, windows, path, lo and hi (first and last place in the slice), n, places: a row for each distinct string of a
+    slice whose minimizer is hot."""
+    place = pa.struct([("has", pa.bool_()), ("id", pa.int64()), ("tie", pa.int64()), ("path", pa.string()), ("row", pa.int32()), ("first", pa.int64())])
+
+    def make():
+        def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for path, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                texts = read_slice(path)
+                record, table = slice_records([texts[r["row"]] for r in rows], hot, length, gram, True), doc_table(rows)
+                if not len(record):
+                    continue
+                record = record[by_first_place(record, table, record["key"], record["content"])]
+                new = np.concatenate([[True], (record["key"][1:] != record["key"][:-1]) | (record["content"][1:] != record["content"][:-1])])
+                edge = np.flatnonzero(new)
+                last = np.concatenate([edge[1:], [len(record)]]) - 1
+                own = np.empty(len(record), PLACE)
+                own["row"], own["first"], own["count"] = table["row"][record["doc"]], record["first"], record["count"]
+
+                def at(i: np.ndarray) -> pa.Array:
+                    d = table[record["doc"][i]]
+                    columns = [pa.array(d["null"] == 0), pa.array(d["id"]), pa.array(d["tie"]), pa.array([path] * len(i)), pa.array(d["row"]), pa.array(record["first"][i].astype(np.int64))]
+                    return pa.StructArray.from_arrays(columns, fields=list(place))
+
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(record["key"][edge].view(np.int64)),
+                        pa.array(record["content"][edge].view(np.int64)),
+                        pa.array(record["count"][edge].astype(np.int32)),
+                        pa.array([path] * len(edge)),
+                        at(edge),
+                        at(last),
+                        pa.array(last - edge + 1),
+                        pa.array([own[a : b + 1].tobytes() for a, b in zip(edge, last, strict=True)], pa.binary()),
+                    ],
+                    ["key", "content", "windows", "path", "lo", "hi", "n", "places"],
+                )
+
+        return step
+
+    return map_arrow(work, f"key long, content long, windows int, path string, lo {ORDERED}, hi {ORDERED}, n long, places binary", make)
+
+
+def resolve_hot(strings: DataFrame, scratch: Scratch, length: int) -> DataFrame:
+    """path, member, repeat, n as ``resolve_bucket`` gives them, for strings with hot minimizers.
+
+    First and last places of a string are algebraic, so they are combined before the shuffle; repeats return by
+    a plain join on (key, content), which can split a hot string.
+    """
+    whole = scratch.table(strings.groupBy("key", "content").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.first("windows").alias("windows")), "strings")
+    shared = whole.groupBy("key").agg(F.sum("n").alias("_all")).filter("_all > 1").select("key")
+    ends = F.when(F.col("n") > 1, F.array("lo", "hi")).otherwise(F.array("lo"))
+    members = whole.join(shared, "key").select("key", "windows", F.explode(ends).alias("p")).select("p.path", "p.row", "p.first", "windows", "key")
+    others = strings.select("key", "content", "path", "places").join(whole.filter("n > 2").select("key", "content", "lo", "hi"), ["key", "content"]).select(
+        "path", "places", "lo.path", "lo.row", "lo.first", "hi.path", "hi.row", "hi.first"
+    )
+    names, types = ["path", "member", "repeat", "n"], [pa.string(), pa.binary(), pa.binary(), pa.int64()]
+
+    def pack():
+        def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            place = np.empty(batch.num_rows, PLACE)
+            place["row"], place["first"], place["count"] = (batch.column(i).to_numpy() for i in (1, 2, 3))
+            key = batch.column(4).to_numpy().view(np.uint64)
+            blobs = [place[i : i + 1].tobytes() + key[i : i + 1].tobytes() for i in range(len(place))]
+            size = batch.column(3).to_numpy().astype(np.int64) + length - 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, types[1]), pa.array([b""] * len(blobs), types[2]), pa.array(size, types[3])], names)
+
+        return step
+
+    def rest():
+        def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            out = []
+            for path, places, *ends in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(places, PLACE)
+                for p, row, first in (ends[:3], ends[3:]):
+                    if p == path:
+                        own = own[(own["row"] != row) | (own["first"] != first)]
+                if len(own):
+                    out.append((path, b"", own.tobytes(), 0))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+
+        return step
+
+    schema = "path string, member binary, repeat binary, n long"
+    others = others.toDF("path", "places", "p1", "r1", "f1", "p2", "r2", "f2")
+    return map_arrow(members, schema, pack).unionByName(map_arrow(others, schema, rest))
+
+
 def by_first_place(record: np.ndarray, docs: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     """Order by keys, then by place: document order, then first window."""
     rank = np.empty(len(docs), np.int64)
@@ -420,7 +564,7 @@ def by_first_place(record: np.ndarray, docs: np.ndarray, *keys: np.ndarray) -> n
     return np.lexsort((rank[record["doc"]] << 32 | record["first"], *reversed(keys)))
 
 
-def resolve_bucket(paths: list[str], docs: list[bytes], runs: list[bytes]) -> Iterator[tuple[str, bytes, bytes, int]]:
+def resolve_bucket(paths: list[str], docs: list[bytes], runs: list[bytes], length: int = LENGTH) -> Iterator[tuple[str, bytes, bytes, int]]:
     """For each slice: the members of suffix arrays with their keys, the repeats, and the members' bytes.
 
     Of every string of a key with more than one place, the first place and one later place are members;
@@ -449,7 +593,7 @@ def resolve_bucket(paths: list[str], docs: list[bytes], runs: list[bytes]) -> It
     for first, last in zip(edge, [*edge[1:], len(source)], strict=True):
         own = by_source[first:last]
         member, repeat = own[rank[own] < 2], own[rank[own] >= 2]
-        yield paths[source[own[0]]], place[member].tobytes() + record["key"][member].tobytes(), place[repeat].tobytes(), int(place["count"][member].sum() + len(member) * (LENGTH - 1))
+        yield paths[source[own[0]]], place[member].tobytes() + record["key"][member].tobytes(), place[repeat].tobytes(), int(place["count"][member].sum() + len(member) * (length - 1))
 
 
 #: One string of a suffix array: document in the table, first window, windows, bytes.
@@ -465,11 +609,7 @@ def strings_by_array(work: DataFrame, arrays: int, length: int) -> DataFrame:
                 if not members:
                     continue
                 texts = read_slice(path)
-                table = np.empty(len(rows), DOC)
-                table["id"] = [r["doc_id"] or 0 for r in rows]
-                table["null"] = [r["doc_id"] is None for r in rows]
-                table["tie"] = [r["tie"] for r in rows]
-                table["row"] = [r["row"] for r in rows]
+                table = doc_table(rows)
                 table.sort(order="row")
                 counts = [len(m) // (PLACE.itemsize + 8) for m in members]
                 place = np.concatenate([np.frombuffer(m, PLACE, n) for m, n in zip(members, counts, strict=True)])
@@ -552,19 +692,16 @@ def mark(work: DataFrame, length: int) -> DataFrame:
                 for r in rows:
                     text = texts[r["row"]]
                     a, b = np.searchsorted(place["row"], [r["row"], r["row"] + 1])
-                    removed = spans = 0
+                    spans, kept = 0, text
                     if b > a:
-                        change = np.zeros(len(text) + 1, np.int64)
-                        first, count = place["first"][a:b].astype(np.int64), place["count"][a:b].astype(np.int64)
-                        np.add.at(change, first, 1)
-                        np.add.at(change, first + count + length - 1, -1)
-                        gone = np.cumsum(change[:-1]) > 0
-                        removed = int(gone.sum())
-                        spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                        kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                    else:
-                        kept = text
-                    out.append((r["doc_id"], len(text), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
+                        own = np.sort(place[a:b], order="first")
+                        first = own["first"].astype(np.int64)
+                        reach = np.maximum.accumulate(first + own["count"] + (length - 1))
+                        edge = np.flatnonzero(np.concatenate([[True], first[1:] > reach[:-1]]))
+                        begin, stop = first[edge], reach[np.concatenate([edge[1:], [len(first)]]) - 1]
+                        spans = len(edge)
+                        kept = b"".join(text[x:y] for x, y in zip([0, *stop.tolist()], [*begin.tolist(), len(text)], strict=True))
+                    out.append((r["doc_id"], len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
@@ -597,11 +734,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slic
     def resolve(frame):
         import pandas as pd
 
-        got = list(resolve_bucket(frame["path"].tolist(), frame["docs"].tolist(), frame["runs"].tolist()))
+        got = list(resolve_bucket(frame["path"].tolist(), frame["docs"].tolist(), frame["runs"].tolist(), length))
         return pd.DataFrame(got, columns=["path", "member", "repeat", "n"])
 
-    packed = runs_by_bucket(dealt, found, buckets, length, gram)
-    resolved = scratch.table(packed.groupBy("bucket").applyInPandas(resolve, "path string, member binary, repeat binary, n long"), "resolved")
+    # tasks of a fixed size, so that they grow in number with the data
+    packed = runs_by_bucket(dealt, found, buckets, length, gram).repartition(-(-buckets // OF_TASK), "bucket")
+    resolved = packed.groupBy("bucket").applyInPandas(resolve, "path string, member binary, repeat binary, n long")
+    if len(found):
+        strings = scratch.table(hot_strings(dealt, found, length, gram), "hot")
+        resolved = resolved.unionByName(resolve_hot(strings, scratch, length))
+    resolved = scratch.table(resolved, "resolved")
     members = resolved.filter("n > 0").groupBy("path").agg(F.collect_list("member").alias("members"), F.sum("n").alias("n"))
     arrays = max(1, -(-(resolved.agg(F.sum("n")).first()[0] or 0) // array_bytes))
 
@@ -612,7 +754,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slic
         return pd.DataFrame(got, columns=["path", "repeat"])
 
     asked = work.join(members.select("path", "members"), "path").select("path", "rows", "members").repartition(tasks, "path")
-    judged = scratch.table(strings_by_array(asked, arrays, length).groupBy("array").applyInPandas(judge, "path string, repeat binary"), "judged")
+    sorted_by = strings_by_array(asked, arrays, length).repartition(-(-arrays // OF_TASK), "array")
+    judged = scratch.table(sorted_by.groupBy("array").applyInPandas(judge, "path string, repeat binary"), "judged")
     repeats = resolved.filter(F.octet_length("repeat") > 0).select("path", "repeat").unionByName(judged).groupBy("path").agg(F.collect_list("repeat").alias("repeats"))
     final = work.join(repeats, "path", "left").select("path", "rows", F.coalesce("repeats", F.array().cast("array<binary>")).alias("repeats")).repartition(tasks, "path")
     out = mark(final, length).unionByName(copies)
