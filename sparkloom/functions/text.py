@@ -55,15 +55,23 @@ def split_chunks(text: Column, most: int = 3000) -> Column:
         long = F.transform(sentences(p), lambda s: F.struct(s.alias("text"), F.lit(" ").alias("sep"), F.lit(2).alias("room")))
         return F.when(F.length(p) > most, long.cast(piece)).otherwise(short.cast(piece))
 
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    # closed chunks gather in blocks, so that a long text does not copy all of them for every new one
+    none = F.array().cast("array<string>")
+    start = F.struct(F.array().cast("array<array<string>>").alias("blocks"), none.alias("done"), F.lit("").alias("open"))
 
     def closed(acc: Column) -> Column:
-        return F.when(acc["open"] != "", F.concat(acc["done"], F.array(strip(acc["open"])))).otherwise(acc["done"])
+        return F.when(acc["open"] != "", F.concat(F.flatten(acc["blocks"]), acc["done"], F.array(strip(acc["open"])))).otherwise(F.concat(F.flatten(acc["blocks"]), acc["done"]))
 
     def add(acc: Column, x: Column) -> Column:
         fits = F.length(acc["open"]) + F.length(x["text"]) + x["room"] <= most
         joined = F.when(acc["open"] != "", F.concat(acc["open"], x["sep"], x["text"])).otherwise(x["text"])
-        return F.struct(F.when(fits, acc["done"]).otherwise(closed(acc)).alias("done"), F.when(fits, joined).otherwise(x["text"]).alias("open"))
+        full = F.size(acc["done"]) >= 256
+        more = F.when(acc["open"] != "", F.array(strip(acc["open"]))).otherwise(none)
+        return F.struct(
+            F.when(~fits & full, F.concat(acc["blocks"], F.array(acc["done"]))).otherwise(acc["blocks"]).alias("blocks"),
+            F.when(fits, acc["done"]).when(full, more).otherwise(F.concat(acc["done"], more)).alias("done"),
+            F.when(fits, joined).otherwise(x["text"]).alias("open"),
+        )
 
     def whole(value: Column) -> Column:
         packed = F.aggregate(F.flatten(F.transform(F.split(value, "\n\n", -1), pieces)), start, add, closed)

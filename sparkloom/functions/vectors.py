@@ -60,3 +60,26 @@ def mean_pooled(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """key, vector: the mean of a group's vectors, dimension by dimension."""
     parts = rows.select(key, F.posexplode(vector).alias("i", "x")).groupBy(key, "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
     return parts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda p: p["m"]).alias(vector))
+
+
+def resampled(samples: Column, rate: int, target: int = 16_000) -> Column:
+    """Samples at another rate, linear between neighbours; the last one holds to the end."""
+    n = F.size(samples)
+
+    def at(i: Column) -> Column:
+        place = i * rate / target
+        j = F.floor(place).cast("int")
+        left, right = F.get(samples, F.least(j, n - 1)).cast("double"), F.get(samples, F.least(j + 1, n - 1)).cast("double")
+        return left + (right - left) * (place - j)
+
+    if rate == target:
+        return samples.cast("array<double>")
+    count = F.ceil(n * target / rate).cast("int")
+    return F.when(n == 0, F.array().cast("array<double>")).otherwise(F.transform(F.sequence(F.lit(0), count - 1), at))
+
+
+def mono(channels: Column) -> Column:
+    """The mean of channels of equal length."""
+    n = F.size(channels)
+    total = F.aggregate(F.slice(channels, 2, F.greatest(n - 1, F.lit(0))), channels[0].cast("array<double>"), lambda acc, c: F.zip_with(acc, c, lambda x, y: x + y.cast("double")))
+    return F.transform(total, lambda x: x / n)

@@ -7,9 +7,11 @@ nothing is pushed through Python.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,6 +131,77 @@ def unwarped(images: DataFrame, transform: Callable[[bytes], bytes] | None = Non
     return with_model(images, f"unwarp-{id(same)}", lambda: same, apply, images.schema)
 
 
+def detected(images: DataFrame, find: Callable[[str], list[tuple[str, float, list[float]]]] | None = None) -> DataFrame:
+    """Rows pos, label, score, coordinate for every box of a layout model; the stub finds one text box a page."""
+
+    def apply(model, part: pd.DataFrame) -> pd.DataFrame:
+        found = part.assign(_b=[[(i, *box) for i, box in enumerate(model(name))] for name in part["image_name"]]).explode("_b").dropna(subset=["_b"])
+        boxes = list(found.pop("_b"))
+        return found.assign(**{n: pd.Series([b[i] for b in boxes], found.index, dtype=object) for i, n in enumerate(("pos", "label", "score", "coordinate"))})
+
+    stub = find or (lambda name: [("text", 1.0, [0.0, 0.0, 100.0, 100.0])])
+    return with_model(images, f"layout-{id(stub)}", lambda: stub, apply, f"{_ddl(images)}, pos int, label string, score double, coordinate array<double>")
+
+
+def diarised(audio: DataFrame, speakers: Callable[[str, float], list[tuple[float, float, str]]] | None = None, turn: float = 10.0) -> DataFrame:
+    """Rows start, end, speaker for every turn of rows audio, seconds; the stub lets two speakers alternate every ``turn`` seconds."""
+
+    def alternate(name: str, seconds: float) -> list[tuple[float, float, str]]:
+        return [(k * turn, min((k + 1) * turn, seconds), f"SPEAKER_{k % 2:02}") for k in range(math.ceil(seconds / turn))]
+
+    def apply(model, part: pd.DataFrame) -> pd.DataFrame:
+        rows = [(a, *t) for a, s in zip(part["audio"], part["seconds"], strict=True) for t in model(a, s)]
+        return pd.DataFrame(rows, columns=["audio", "start", "end", "speaker"])
+
+    stub = speakers or alternate
+    return with_model(audio.select("audio", "seconds"), f"speakers-{id(stub)}", lambda: stub, apply, "audio string, start double, end double, speaker string")
+
+
+def enlarged_grid(grid: np.ndarray, height: int, width: int) -> np.ndarray:
+    """A grid of points (rows, columns, 2), linear between its points, whose corners stay."""
+
+    def along(values: np.ndarray, n: int) -> np.ndarray:
+        place = np.linspace(0, len(values) - 1, n) if n > 1 else np.zeros(1)
+        low = np.minimum(place.astype(int), max(0, len(values) - 2))
+        high = np.minimum(low + 1, len(values) - 1)
+        part = (place - low).reshape(-1, *[1] * (values.ndim - 1))
+        return values[low] * (1 - part) + values[high] * part
+
+    return along(along(grid, height).swapaxes(0, 1), width).swapaxes(0, 1)
+
+
+def sampled_at(image: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Bilinear values of an image (rows, columns, ...) at points (x, y) in [-1, 1], corner to corner; 0 outside."""
+    height, width = image.shape[:2]
+    x, y = (points[..., 0] + 1) / 2 * (width - 1), (points[..., 1] + 1) / 2 * (height - 1)
+    x0, y0 = np.floor(x).astype(int), np.floor(y).astype(int)
+    out = np.zeros(points.shape[:-1] + image.shape[2:])
+    for dy in (0, 1):
+        for dx in (0, 1):
+            xi, yi = x0 + dx, y0 + dy
+            weight = (1 - np.abs(x - xi)) * (1 - np.abs(y - yi)) * ((xi >= 0) & (xi < width) & (yi >= 0) & (yi < height))
+            own = image[np.clip(yi, 0, height - 1), np.clip(xi, 0, width - 1)]
+            out += own * weight.reshape(weight.shape + (1,) * (own.ndim - weight.ndim))
+    return out
+
+
+def grid_unwarped(images: DataFrame, width: int, height: int) -> DataFrame:
+    """image (rows of values) sampled where a coarse grid of points (x, y) says, at width x height. A null image stays null."""
+    ship(images.sparkSession)
+
+    def one(image, grid) -> list[list[float]] | None:
+        if image is None or grid is None:
+            return None
+        points = np.array([[list(p) for p in row] for row in grid], float)
+        return sampled_at(np.array([list(r) for r in image], float), enlarged_grid(points, height, width)).tolist()
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield part.drop(columns="grid").assign(image=[one(i, g) for i, g in zip(part["image"], part["grid"], strict=True)])
+
+    return images.mapInPandas(run, images.drop("grid").schema)
+
+
 def quietest_split(samples: list[float], rate: int, longest: float, window: int) -> list[tuple[int, int]]:
     """Spans of at most ``longest`` seconds, cut where a window in the last second before the limit has the least energy."""
     out, first, most = [], 0, int(longest * rate)
@@ -158,25 +231,56 @@ def split_audio(audio: DataFrame, rate: int, longest: float, window: int) -> Dat
 
 
 class LogitsProcessor:
-    """A function of one request's logits. ``rank_preserving`` says that it cannot change the greedy choice."""
+    """A function of one request's logits: ``function(token_ids, logits)`` or, with ``stateful``, ``function(token_ids, logits,
+    outputs)`` gives the new logits (arrays, in order of token). ``rank_preserving`` says that it cannot change the greedy choice.
 
-    rank_preserving = False
+    The state of a stateful processor is the output tokens so far; ``update_state`` adds new ones before a step.
+    """
 
-    def __init__(self, function: Callable[[pd.DataFrame], pd.Series], rank_preserving: bool = False):
-        self.function, self.rank_preserving = function, rank_preserving
-
-    def __call__(self, rows: DataFrame) -> DataFrame:
-        function, names = self.function, rows.columns
+    def __init__(self, function: Callable[..., np.ndarray], rank_preserving: bool = False, stateful: bool = False):
+        self.function, self.rank_preserving, self.stateful = function, rank_preserving, stateful
+        self.outputs: DataFrame | None = None
 
-        def one(part: pd.DataFrame) -> pd.DataFrame:
-            return part.sort_values("token_id").assign(logit=lambda p: function(p))[names]
+    def update_state(self, added: DataFrame | None, gone: DataFrame | None = None) -> None:
+        """New output tokens (req, pos, token) of a step, and requests (req) that have left the batch."""
+        if added is not None:
+            added = added.select("req", "pos", "token")
+            self.outputs = added if self.outputs is None else self.outputs.unionByName(added)
+        if gone is not None and self.outputs is not None:
+            self.outputs = self.outputs.join(gone.select("req"), "req", "left_anti")
 
-        return rows.groupBy("req").applyInPandas(one, rows.schema)
-
-
-def processed(rows: DataFrame, processors: list[LogitsProcessor], greedy: bool = False) -> DataFrame:
-    """All processors in order; rank-preserving ones are left out for greedy choices."""
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        """Many requests a batch, one row each, so that Python is entered once for a batch of requests."""
+        ship(rows.sparkSession)
+        function, stateful = self.function, self.stateful
+        own = [c for c in rows.columns if c != "req"]
+        whole = rows.groupBy("req").agg(F.sort_array(F.collect_list(F.struct("token_id", *[c for c in own if c != "token_id"]))).alias("v"))
+        if stateful and self.outputs is not None:
+            ordered = self.outputs.groupBy("req").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda t: t["token"].cast("long")).alias("outputs"))
+            whole = whole.join(ordered, "req", "left")
+        else:
+            whole = whole.withColumn("outputs", F.lit(None).cast("array<long>"))
+
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                new = []
+                for v, outputs in zip(part["v"], part["outputs"], strict=True):
+                    ids, x = np.array([t["token_id"] for t in v]), np.array([t["logit"] for t in v], float)
+                    more = ([] if outputs is None else [int(o) for o in outputs],) if stateful else ()
+                    new.append(np.asarray(function(ids, x, *more), float).tolist())
+                yield part.drop(columns="outputs").assign(logits=new)
+
+        kind = dict(whole.dtypes)
+        done = whole.mapInPandas(run, f"req {kind['req']}, v {kind['v']}, logits array<double>")
+        each = done.select("req", F.explode(F.arrays_zip("v", "logits")).alias("z"))
+        columns = {c: F.col("z.logits") if c == "logit" else F.col("req") if c == "req" else F.col(f"z.v.{c}") for c in rows.columns}
+        return each.select(*[c.cast(rows.schema[n].dataType).alias(n) for n, c in columns.items()])
+
+
+def processed(rows: DataFrame, processors: list[LogitsProcessor], greedy: bool = False, added: DataFrame | None = None) -> DataFrame:
+    """All processors in order, each told of new output tokens first; rank-preserving ones are left out for greedy choices."""
     for p in processors:
+        p.update_state(added)
         if not (greedy and p.rank_preserving):
             rows = p(rows)
     return rows

@@ -142,11 +142,15 @@ def running_index(boxes: DataFrame, *keys: str, order: str = "pos") -> DataFrame
     return boxes.withColumn("index", F.row_number().over(Window.partitionBy("doc", "page", *keys).orderBy(order)))
 
 
-def global_number(rows: DataFrame, order: list[str], partition: str) -> DataFrame:
-    """``number`` from 1 over all rows in order, without a single-partition window: sizes of the partitions of the
-    leading key first, then their running offsets, then numbers within. ``order`` continues after ``partition``."""
-    sizes = rows.groupBy(partition).count()
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("count").over(Window.orderBy(partition).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(partition, "_off")
+def global_number(rows: DataFrame, order: list[str], partition: str, wide: int = 4096) -> DataFrame:
+    """``number`` from 1 over all rows in order, without a window that holds them all: sizes of the partitions first, then
+    their running offsets in two levels, then numbers within. ``partition`` is a whole number that grows with the leading
+    key; ``order`` continues after it. The window without keys sees one row for ``wide`` partitions."""
+    sizes = rows.groupBy(partition).count().withColumn("_w", F.floor(F.col(partition) / wide))
+    wides = sizes.groupBy("_w").agg(F.sum("count").alias("_c"))
+    wides = wides.select("_w", F.coalesce(F.sum("_c").over(Window.orderBy("_w").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    inner = F.coalesce(F.sum("count").over(Window.partitionBy("_w").orderBy(partition).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.withColumn("_in", inner).join(wides, "_w").select(partition, (F.col("_off") + F.col("_in")).alias("_off"))
     within = F.row_number().over(Window.partitionBy(partition).orderBy(*order))
     return rows.join(offsets, partition).withColumn("number", F.col("_off") + within).drop("_off")
 

@@ -112,14 +112,14 @@ def gaps(rows: DataFrame, time: str, keys: tuple[str, ...], order: tuple[str, ..
     return rows.withColumn("gap", F.col(time) - F.lag(time).over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def running_requests(intervals: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+def running_requests(intervals: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """ts, running: requests under way after each start and end; ends come before starts of the same time."""
     starts = intervals.select(*keys, F.col("start").alias("ts"), F.lit(1).alias("d"))
     both = starts.unionByName(intervals.select(*keys, F.col("end").alias("ts"), F.lit(-1).alias("d"))).groupBy(*keys, "ts").agg(F.sum("d").alias("d"))
     return both.withColumn("running", F.sum("d").over(Window.partitionBy(*keys).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0))).drop("d")
 
 
-def recent_hit_rate(stats: DataFrame, most: int, keys: tuple[str, ...] = ()) -> DataFrame:
+def recent_hit_rate(stats: DataFrame, most: int, keys: tuple[str, ...]) -> DataFrame:
     """keys, seq, hit_rate over the latest rows whose requests sum to at most ``most``; the newest row always counts; 0 without queries.
 
     Rows in order of seq. What lies before the suffix of a row is a running sum over the rows' starts (sums of

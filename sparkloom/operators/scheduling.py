@@ -26,23 +26,23 @@ def preemption_victim(running: DataFrame, policy: str = "fcfs") -> DataFrame:
     return running.groupBy("queue").agg(F.max_by("req", key).alias("req"))
 
 
-def zipped(prompts: DataFrame, params: DataFrame) -> DataFrame:
-    """Prompts with parameters by position (from 0). One parameter row serves all; other lengths must match."""
-    n, p = prompts.count(), params.count()
-    if p == 1:
-        return prompts.crossJoin(F.broadcast(params.drop("pos")))
-    if n != p:
-        raise ValueError(f"{n} prompts and {p} parameters")
-    return prompts.join(params, "pos")
-
-
-def scored_pairs(queries: DataFrame, documents: DataFrame) -> DataFrame:
-    """pos, score: one query against all documents, or pairs by position; cosine of ``vector``."""
-    q = queries.select(F.col("pos").alias("q_pos"), F.col("vector").alias("q"))
-    if queries.count() == 1:
-        pairs = documents.crossJoin(F.broadcast(q))
+def zipped(prompts: DataFrame, params: DataFrame, shared: bool = False) -> DataFrame:
+    """Prompts with parameters by position (from 0), which must match; ``shared``: one parameter row serves all prompts."""
+    if shared:
+        one = params.drop("pos").select(F.struct("*").alias("_p")).agg(F.count("*").alias("_n"), F.first("_p").alias("_p"))
+        checked = one.select(F.when(F.col("_n") == 1, F.col("_p")).otherwise(F.raise_error(F.lit("parameters that are shared have one row"))).alias("_p"))
+        return prompts.crossJoin(F.broadcast(checked)).select(*prompts.columns, "_p.*")
+    both = prompts.withColumn("_a", F.lit(1)).join(params.withColumn("_b", F.lit(1)), "pos", "full_outer")
+    met = F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), True).otherwise(F.raise_error(F.lit("prompts and parameters differ in length")).cast("boolean"))
+    return both.filter(met).drop("_a", "_b")
+
+
+def scored_pairs(queries: DataFrame, documents: DataFrame, shared: bool = False) -> DataFrame:
+    """pos, score: pairs by position, or with ``shared`` the one query against all documents; cosine of ``vector``."""
+    if shared:
+        pairs = documents.crossJoin(F.broadcast(queries.agg(F.first("vector").alias("q"))))
     else:
-        pairs = documents.join(q, documents["pos"] == q["q_pos"])
+        pairs = documents.join(queries.select("pos", F.col("vector").alias("q")), "pos")
     return pairs.select("pos", cosine(F.col("q"), F.col("vector")).alias("score"))
 
 
@@ -152,37 +152,85 @@ def lru_simulation(accesses: DataFrame, capacity: int) -> DataFrame:
     return accesses.select("cache", "seq", "hash", "pin").groupBy("cache").applyInPandas(replay, "cache long, seq long, hash string, hit boolean, evicted string")
 
 
-def batching_simulation(requests: DataFrame, budget: int, most_running: int) -> DataFrame:
-    """queue, tick, req, tokens: continuous batching. Running requests decode one token a tick, then waiting
-    requests prefill in chunks, first come first served, within a token budget a tick."""
+class _Request:
+    """A request of a simulated scheduler: tokens to compute, tokens computed (held in blocks), tokens made."""
+
+    def __init__(self, row):
+        self.req, self.arrival, self.priority = row.req, row.arrival, getattr(row, "priority", 0)
+        self.prompt, self.output = int(row.prompt), int(row.output)
+        self.computed = self.made = 0
+
+    def need(self) -> int:
+        """Tokens to compute next: what is left of the prompt and of lost outputs, else one."""
+        return self.prompt + self.made - self.computed or 1
+
+
+def batching_simulation(requests: DataFrame, budget: int, most_running: int, blocks: int | None = None, block_size: int = 16, policy: str = "fcfs") -> DataFrame:
+    """queue, tick, req, tokens, preempted: continuous batching.
+
+    Running requests decode one token a tick, then waiting requests prefill in chunks, first come first served (``policy``
+    priority: smallest priority, then arrival), within a token budget a tick. With ``blocks``, tokens are held in so many blocks:
+    if a running request finds none, the last running one (priority: the largest priority and arrival) is preempted. It
+    loses its blocks and its place in the tick, waits at the head, and computes prompt and outputs anew; no request is
+    admitted in such a tick. A request that no number of preemptions can hold is an error.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        waiting = [[r.req, int(r.prompt), int(r.output)] for r in group.sort_values(["arrival", "req"]).itertuples(index=False)]
-        running: list[list[int]] = []
+        by_priority = policy == "priority"
+        rank = (lambda r: (r.priority, r.arrival, r.req)) if by_priority else (lambda r: (r.arrival, r.req))
+        waiting = sorted((_Request(r) for r in group.itertuples(index=False)), key=rank)
+        running: list[_Request] = []
         out, tick, queue = [], 0, group["queue"].iloc[0]
+
+        def fits(r: _Request, take: int) -> bool:
+            return blocks is None or -(-(r.computed + take) // block_size) + sum(-(-x.computed // block_size) for x in running if x is not r) <= blocks
+
         while waiting or running:
-            left = budget
-            for r in running:
-                take = min(left, r[1] or 1)
-                if take:
-                    out.append((queue, tick, r[0], take))
+            left, served, preempted = budget, {}, []
+            i = 0
+            while i < len(running) and left:
+                r = running[i]
+                take = min(left, r.need())
+                while not fits(r, take):
+                    victim = max(running, key=lambda x: (x.priority, x.arrival, x.req)) if by_priority else running[-1]
+                    if len(running) == 1:
+                        raise ValueError(f"request {r.req} needs more than {blocks} blocks")
+                    i -= running.index(victim) < i
+                    running.remove(victim)
+                    served.pop(victim.req, None)
+                    victim.computed = 0
+                    preempted.append(victim)
+                    waiting.insert(0, victim)
+                    if victim is r:
+                        break
+                else:
+                    served[r.req] = take
+                    r.computed += take
                     left -= take
-                    if r[1]:
-                        r[1] -= take
-                    else:
-                        r[2] -= 1
-            while waiting and left and len(running) < most_running:
-                r = waiting.pop(0)
-                take = min(left, r[1])
-                out.append((queue, tick, r[0], take))
+                    i += 1
+                    continue
+                break
+            while waiting and left and len(running) < most_running and not preempted:
+                r = waiting[0]
+                take = min(left, r.need())
+                if not fits(r, take):
+                    if not running:
+                        raise ValueError(f"request {r.req} needs more than {blocks} blocks")
+                    break
+                running.append(waiting.pop(0))
+                served[r.req] = take
+                r.computed += take
                 left -= take
-                r[1] -= take
-                running.append(r)
-            running = [r for r in running if r[1] > 0 or r[2] > 0]
+            for r in running:
+                if r.req in served and r.computed > r.prompt + r.made:
+                    r.made += 1
+            out += [(queue, tick, req, n, False) for req, n in served.items()] + [(queue, tick, v.req, 0, True) for v in preempted]
+            running = [r for r in running if r.made < r.output or r.computed < r.prompt]
             tick += 1
-        return pd.DataFrame(out, columns=["queue", "tick", "req", "tokens"])
+        return pd.DataFrame(out, columns=["queue", "tick", "req", "tokens", "preempted"])
 
-    return requests.select("queue", "req", "arrival", "prompt", "output").groupBy("queue").applyInPandas(run, "queue long, tick long, req long, tokens long")
+    columns = ["queue", "req", "arrival", "prompt", "output"] + ["priority"] * ("priority" in requests.columns)
+    return requests.select(*columns).groupBy("queue").applyInPandas(run, "queue long, tick long, req long, tokens long, preempted boolean")
 
 
 def fanned_out(requests: DataFrame, n: str = "n") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from sparkloom.functions import geometry as G
 from sparkloom.functions import records as R
 from sparkloom.functions import tables as H
 from sparkloom.functions import text as T
+from sparkloom.functions import vectors as V
 from sparkloom.operators import adapters as A
 from sparkloom.operators import documents as D
 from sparkloom.plans.base import BOXES, LOGITS_SQL, Tables, boxes, logits, query
@@ -142,6 +144,40 @@ def _(t: Tables):
     return A.split_audio(rows, 8, 3.0, 4)
 
 
+@query("mth17_resample", """WITH s AS (SELECT vec_id, list_transform(range(1, 33), lambda i: (CAST(embedding[i] AS DOUBLE) + CAST(embedding[i + 32] AS DOUBLE)) / 2) AS x FROM embeddings),
+r AS (SELECT vec_id, i, i * 44100.0 / 16000 AS p, x FROM s, unnest(range(0, 12)) u(i)), f AS (SELECT vec_id, i, p, CAST(floor(p) AS BIGINT) AS j, x FROM r)
+SELECT vec_id, CAST(i AS INT) AS i, round(x[least(j, 31) + 1] + (x[least(j + 1, 31) + 1] - x[least(j, 31) + 1]) * (p - j), 6) AS sample FROM f""")
+def _(t: Tables):
+    """Left and right channel of 32 samples each."""
+    channels = F.array(F.slice("embedding", 1, 32), F.slice("embedding", 33, 32)).cast("array<array<double>>")
+    mixed = t("embeddings").select("vec_id", V.mono(F.transform(channels, lambda c: V.resampled(c, 44_100))).alias("x"))
+    return mixed.select("vec_id", F.posexplode("x").alias("i", "sample")).select("vec_id", "i", F.round("sample", 6).alias("sample"))
+
+
+@query("mth19_unwarp", """WITH g AS (SELECT vec_id, embedding AS e, y, x, 1.75 + 1.75 * x AS px, 1.75 * y AS py FROM embeddings, unnest(range(0, 3)) a(x), unnest(range(0, 5)) b(y)),
+f AS (SELECT *, CAST(floor(px) AS BIGINT) AS x0, least(CAST(floor(py) AS BIGINT), 6) AS y0 FROM g)
+SELECT vec_id, CAST(y AS INT) AS y, CAST(x AS INT) AS x, round((CAST(e[y0 * 8 + x0 + 1] AS DOUBLE) * (1 - px + x0) + CAST(e[y0 * 8 + x0 + 2] AS DOUBLE) * (px - x0)) * (1 - py + y0)
++ (CAST(e[y0 * 8 + x0 + 9] AS DOUBLE) * (1 - px + x0) + CAST(e[y0 * 8 + x0 + 10] AS DOUBLE) * (px - x0)) * (py - y0), 6) AS value FROM f""")
+def _(t: Tables):
+    """Images of 8 x 8; the grid narrows them to the middle half."""
+    image = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice("embedding", r * 8 + 1, F.lit(8))).cast("array<array<double>>")
+    corner = [F.array(*[F.array(F.lit(x), F.lit(y)) for x in (-0.5, 0.5)]) for y in (-1.0, 1.0)]
+    out = A.grid_unwarped(t("embeddings").select("vec_id", image.alias("image"), F.array(*corner).alias("grid")), 3, 5)
+    rows = out.select("vec_id", F.posexplode("image").alias("y", "row"))
+    return rows.select("vec_id", "y", F.posexplode("row").alias("x", "value")).select("vec_id", "y", "x", F.round("value", 6).alias("value"))
+
+
+@query("udf1_stateful_processor", """SELECT vec_id AS req, CAST(64 - len(list_distinct([vec_id % 7, vec_id % 5])) AS BIGINT) AS left_over FROM embeddings""")
+def _(t: Tables):
+    """A processor that never repeats an output token, told of two tokens of every request."""
+    rows = logits(t)
+    once = A.LogitsProcessor(lambda ids, x, outputs: np.where(np.isin(ids, outputs), -np.inf, x), stateful=True)
+    ids = t("embeddings").select(F.col("vec_id").alias("req"))
+    once.update_state(ids.select("req", F.lit(0).alias("pos"), (F.col("req") % 7).alias("token")))
+    added = ids.select("req", F.lit(1).alias("pos"), (F.col("req") % 5).alias("token"))
+    return A.processed(rows, [once], added=added).filter(F.col("logit") > float("-inf")).groupBy("req").agg(F.count("*").alias("left_over"))
+
+
 @query("jsn2_image_tags", "SELECT page_id, trim(replace('<image> ' || url || '<image>', '<image>', ''), ' ') AS text FROM {pages}")
 def _(t: Tables):
     return t("pages").select("page_id", R.without_image_tags(F.concat(F.lit("<image> "), "url", F.lit("<image>"))).alias("text"))
@@ -174,7 +210,7 @@ def _(t: Tables):
 
 @query("udf1_logits_processor", f"WITH l AS ({LOGITS_SQL}) SELECT req, round(sum(CASE WHEN token_id < 8 THEN logit / 2 ELSE logit END), 6) AS total FROM l GROUP BY req")
 def _(t: Tables):
-    halve = A.LogitsProcessor(lambda p: p["logit"].where(p["token_id"] >= 8, p["logit"] / 2))
+    halve = A.LogitsProcessor(lambda ids, x: np.where(ids >= 8, x, x / 2))
     return A.processed(logits(t), [halve]).groupBy("req").agg(F.round(F.sum("logit"), 6).alias("total"))
 
 

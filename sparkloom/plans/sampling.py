@@ -51,7 +51,7 @@ def _(t: Tables):
 @query("tk2_rerank", f"WITH s AS (SELECT d.vec_id AS index, d.label AS query, round({_COS.format(a='d.embedding', b='q.embedding')}, 9) AS score FROM embeddings d, (SELECT embedding FROM embeddings WHERE vec_id = 0) q) SELECT query, index, row_number() OVER (PARTITION BY query ORDER BY score DESC, index) AS rank FROM s QUALIFY rank <= 10")
 def _(t: Tables):
     rows = t("embeddings")
-    q = rows.filter("vec_id = 0").select(F.col("embedding").alias("q"))
+    q = rows.filter("vec_id = 0").agg(F.min("embedding").alias("q"))
     scores = rows.crossJoin(F.broadcast(q)).select(F.col("label").alias("query"), F.col("vec_id").alias("index"), F.round(V.dot(F.col("embedding"), F.col("q")), 9).alias("score"))
     return Q.reranked(scores, 10).select("query", "index", F.col("rank").cast("long").alias("rank"))
 
@@ -59,7 +59,7 @@ def _(t: Tables):
 @query("jn8_query_document_scores", f"SELECT d.vec_id AS pos, round({_COS.format(a='d.embedding', b='q.embedding')} / (sqrt({_COS.format(a='d.embedding', b='d.embedding')}) * sqrt({_COS.format(a='q.embedding', b='q.embedding')})), 6) AS score FROM embeddings d, (SELECT embedding FROM embeddings WHERE vec_id = 3) q")
 def _(t: Tables):
     rows = t("embeddings").select(F.col("vec_id").alias("pos"), F.col("embedding").alias("vector"))
-    return Q.scored_pairs(rows.filter("pos = 3"), rows).withColumn("score", F.round("score", 6))
+    return Q.scored_pairs(rows.filter("pos = 3"), rows, shared=True).withColumn("score", F.round("score", 6))
 
 
 @query("jn7_prompt_params", "SELECT p.item_id AS pos, length(p.text) AS n, p.item_id * 2 AS top_k FROM {benchmark} p")
@@ -310,4 +310,19 @@ def _(t: Tables):
 @query("stm5_continuous_batching")
 def _(t: Tables):
     rows = t("conversations").select((F.col("conv_id") % 5).alias("queue"), (F.col("conv_id") * 100 + F.col("turn")).alias("req"), F.col("turn").alias("arrival"), (F.length("text") % 200 + 1).alias("prompt"), (F.col("turn") % 5 + 1).alias("output"))
-    return Q.batching_simulation(rows, 256, 8).groupBy("queue").agg(F.max("tick").alias("ticks"), F.sum("tokens").alias("tokens"))
+    out = Q.batching_simulation(rows, 256, 8, blocks=40)
+    return out.groupBy("queue").agg(F.max("tick").alias("ticks"), F.sum("tokens").alias("tokens"), F.count_if("preempted").alias("preemptions"))
+
+
+@query("str21_detokenise", """SELECT conv_id, turn, CASE WHEN contains(text, 'er ') THEN left(text, strpos(text, 'er ') - 1) ELSE text END AS text, contains(text, 'er ') AS stopped FROM {conversations} WHERE text <> ''""")
+def _(t: Tables):
+    """Every text as tokens of three bytes, which cut characters apart; it ends before the first stop string."""
+    from sparkloom.operators.detokenising import detokenised
+    from sparkloom.operators.documents import joined_text
+
+    rows = t("conversations").select(F.struct("conv_id", "turn").alias("req"), F.encode("text", "utf-8").alias("b"))
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.length("b") - 1) / 3).cast("int")), lambda i: F.substring("b", i * 3 + 1, F.lit(3)))
+    tokens = rows.filter(F.length("b") > 0).select("req", F.posexplode(cut).alias("pos", "piece"))
+    out = detokenised(tokens, stop=("er ",))
+    stopped = out.groupBy("req").agg(F.bool_or(F.col("stopped").isNotNull()).alias("stopped"))
+    return joined_text(out, "req", ["pos"], "delta", "", "text").join(stopped, "req").select("req.conv_id", "req.turn", "text", "stopped")

@@ -119,26 +119,51 @@ def write_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def upload_parts(rows: DataFrame, put, tries: int = 5) -> None:
-    """Sends every partition as JSON lines with ``put(part, text)``; a failed part is tried again, a sent one never."""
+def upload_parts(rows: DataFrame, put, tries: int = 5, part_rows: int = 10_000, markers: str | None = None) -> None:
+    """Sends JSON lines with ``put(part, text)`` in parts of at most ``part_rows`` rows; a failed part is tried again.
+
+    Parts are numbered within a partition (``partition-number``). With ``markers``, a shared folder, a part that was sent leaves a marker
+    file, and a task that is run again skips parts that have one; then ``rows`` must come in the same order each time, as
+    those of a written table do. Between sending and marking a task may still die, so ``put`` should replace by part.
+    """
     names = rows.columns
 
-    def send(part, batch) -> None:
-        import json
+    def store_of(path: str):
+        import pyarrow.fs
 
-        text = "".join(json.dumps({n: r[n] for n in names}, ensure_ascii=False, default=str) + "\n" for r in batch)
+        local = path.startswith("file:") and not path.startswith("file://")
+        return pyarrow.fs.FileSystem.from_uri(path.removeprefix("file:") if local else path)
+
+    def send(part: str, lines: list[str]) -> None:
+        if markers is not None:
+            store, inner = store_of(f"{markers.rstrip('/')}/{part}.sent")
+            if store.get_file_info(inner).is_file:
+                return
         for attempt in range(tries):
             try:
-                put(part, text)
-                return
+                put(part, "".join(lines))
+                break
             except OSError:
                 if attempt == tries - 1:
                     raise
+        if markers is not None:
+            store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+            store.open_output_stream(inner).close()
 
     def run(batches):
+        import json
+
         from pyspark import TaskContext
 
-        send(TaskContext.get().partitionId(), (r for b in batches for r in b.to_pylist()))
+        partition, number, lines = TaskContext.get().partitionId(), 0, []
+        for batch in batches:
+            for r in batch.to_pylist():
+                lines.append(json.dumps({n: r[n] for n in names}, ensure_ascii=False, default=str) + "\n")
+                if len(lines) == part_rows:
+                    send(f"{partition}-{number}", lines)
+                    number, lines = number + 1, []
+        if lines:
+            send(f"{partition}-{number}", lines)
         yield from ()
 
     rows.mapInArrow(run, rows.schema).write.format("noop").mode("overwrite").save()

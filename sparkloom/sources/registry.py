@@ -42,6 +42,15 @@ class Plugins:
     def register(self, group: str, name: str, function: Callable) -> None:
         self.found[group, name] = function
 
+    def discover(self, group: str) -> list[str]:
+        """Registers the installed entry points of a group that the allow-list names; others are not even loaded."""
+        from importlib.metadata import entry_points
+
+        found = [e for e in entry_points(group=group) if self.allowed is None or e.name in self.allowed]
+        for e in found:
+            self.register(group, e.name, e.load())
+        return sorted(e.name for e in found)
+
     def active(self, group: str) -> dict[str, Callable]:
         return {n: f for (g, n), f in self.found.items() if g == group and (self.allowed is None or n in self.allowed)}
 

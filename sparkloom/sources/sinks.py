@@ -38,10 +38,16 @@ def remove_expired_backups(df: DataFrame, folder: str, before: str) -> list[str]
     return sorted(gone)
 
 
-def envelope(files: DataFrame, version: str, source: str, clock: Column) -> DataFrame:
-    """The inventory as one record: small by contract of that format; large inventories are written as rows."""
-    rows = F.array_sort(F.collect_list(F.struct(*files.columns)))
-    return files.agg(rows.alias("metadata"), F.count("*").alias("total_files")).select("metadata", "total_files", F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"), F.lit(version).alias("version"), F.lit(source).alias("source_directory"))
+def envelope(files: DataFrame, version: str, source: str, clock: Column, most: int = 1_000_000) -> DataFrame:
+    """The inventory as one record, an error beyond ``most`` files: larger inventories are written as rows.
+
+    Each task hands on at most one file beyond the bound, so the record never gathers more than tasks times it.
+    """
+    mark = "_n"
+    some = files.withColumn(mark, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).filter(F.col(mark) <= most).drop(mark)
+    listed = F.array_sort(F.collect_list(F.struct(*files.columns)))
+    rows = F.when(F.count("*") <= most, listed).otherwise(F.raise_error(F.lit(f"more than {most} files for one record")).cast(files.select(listed.alias("x")).schema["x"].dataType))
+    return some.agg(rows.alias("metadata"), F.count("*").alias("total_files")).select("metadata", "total_files", F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"), F.lit(version).alias("version"), F.lit(source).alias("source_directory"))
 
 
 def write_text_per_document(df: DataFrame, path: str, key: str = "doc", text: str = "markdown") -> None:
@@ -49,6 +55,29 @@ def write_text_per_document(df: DataFrame, path: str, key: str = "doc", text: st
     df.select(key, F.col(text).alias("value")).write.mode("overwrite").partitionBy(key).option("lineSep", "\n").text(path)
 
 
+def write_chunked(df: DataFrame, folder: str, source: str = "_source_path") -> DataFrame:
+    """One JSON file for each source file, without the source path: ``<its folder>/<its name>_chunked_metadata.json`` below
+    ``folder``. Returns the paths written. Rows without a source path are left out; a repeated task writes the same file."""
+    names = [c for c in df.columns if c != source]
+    base = F.regexp_replace(F.element_at(F.split(source, "/"), -1), r"_metadata\.json$|\.json$", "")
+    path = F.concat(F.lit(folder.rstrip("/") + "/"), F.coalesce(F.get(F.reverse(F.split(source, "/")), F.lit(1)), F.lit("")), F.lit("/"), base, F.lit("_chunked_metadata.json"))
+    files = df.filter(F.col(source).isNotNull()).select(path.alias("path"), F.to_json(F.struct(*names), {"pretty": "true", "ignoreNullFields": "false"}).alias("body"))
+
+    def run(batches):
+        import pyarrow.fs
+
+        for batch in batches:
+            for target, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                local = target.startswith("file:") and not target.startswith("file://")
+                store, inner = pyarrow.fs.FileSystem.from_uri(target.removeprefix("file:") if local else target)
+                store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(inner) as out:
+                    out.write(body.encode())
+            yield batch.select(["path"])
+
+    return files.mapInArrow(run, "path string")
+
+
 def write_metadata(df: DataFrame, path: str, key: str = "doc") -> None:
     """Per-document metadata files, without the source path."""
     df.drop("_source_path").write.mode("overwrite").partitionBy(key).json(path)

@@ -97,22 +97,26 @@ def rolling_hit_rate(stats: DataFrame, most: int) -> DataFrame:
 
 
 def lru_cache(accesses: DataFrame, capacity: int) -> DataFrame:
-    """cache, seq, hash, hit of a stream: state is the held hashes in order of use, at most ``capacity`` of them."""
+    """cache, seq, hash, hit of a stream: state is the held hashes in order of use with their pins, at most ``capacity`` of them.
+    A pinned hash stays until it is unpinned; if all are pinned, a new one is not held."""
 
     def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = dict.fromkeys(state.get[0]) if state.exists else {}
+        held = dict(zip(*state.get, strict=True)) if state.exists else {}
         out = []
         for r in pd.concat(list(parts)).sort_values("seq").itertuples(index=False):
             hit = r.hash in held
-            held.pop(r.hash, None)
-            held[r.hash] = None
-            if len(held) > capacity:
-                held.pop(next(iter(held)))
+            pins = held.pop(r.hash, 0) + int(r.pin)
+            if not hit and len(held) >= capacity:
+                free = next((h for h, n in held.items() if n <= 0), None)
+                if free is not None:
+                    del held[free]
+            if hit or len(held) < capacity:
+                held[r.hash] = pins
             out.append((key[0], r.seq, r.hash, hit))
-        state.update((list(held),))
+        state.update((list(held), list(held.values())))
         yield pd.DataFrame(out, columns=["cache", "seq", "hash", "hit"])
 
-    return accesses.groupBy("cache").applyInPandasWithState(update, "cache long, seq long, hash string, hit boolean", "held array<string>", "append", GroupStateTimeout.NoTimeout)
+    return accesses.groupBy("cache").applyInPandasWithState(update, "cache long, seq long, hash string, hit boolean", "held array<string>, pins array<int>", "append", GroupStateTimeout.NoTimeout)
 
 
 class QueryStats(StreamingQueryListener):

@@ -99,7 +99,7 @@ def test_adapters(spark):
     audio = spark.createDataFrame([("a", [1.0] * 50 + [0.0] * 10 + [1.0] * 40)], "audio string, samples array<double>")
     assert adapters.split_audio(audio, 20, 3.0, 5).count() == 2
     logits = spark.createDataFrame([(1, 0, 1.0), (1, 1, 3.0)], "req int, token_id int, logit double")
-    halved = adapters.LogitsProcessor(lambda p: p["logit"] / 2, rank_preserving=True)
+    halved = adapters.LogitsProcessor(lambda ids, x: x / 2, rank_preserving=True)
     assert sorted(r["logit"] for r in adapters.processed(logits, [halved]).collect()) == [0.5, 1.5]
     assert sorted(r["logit"] for r in adapters.processed(logits, [halved], greedy=True).collect()) == [1.0, 3.0]
     ok = rows.select(adapters.meets(F.col("text"), "choice", ["a"]).alias("c"), adapters.meets(F.col("text"), "regex", "[ab]").alias("r"), adapters.meets(F.col("text"), "json", "x int").alias("j")).collect()
