@@ -16,8 +16,12 @@ Scale: texts are read once, in a narrow pass, into a table of mentions. The grap
 instance) before any join; joins are on pattern or instance with ordinary, splittable shuffles; nothing
 is collected or broadcast by hint.
 
+Parameters of the graph: a context is the ``CONTEXT`` characters on either side, so a longer neighbouring word counts by its
+nearest part; a token of unknown kind has a digit or an at sign and ``MIN_TOKEN`` characters or more. Neither touches base spans.
+
 Defined edge cases: null text is empty text; offsets count code points, ends are exclusive; repeated
-rows are reported each; an empty table gives an empty result; extra columns are ignored.
+rows are reported each, and count as one instance; a text is searched whole by one task; of kinds that tie the first counts; an
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,6 +47,7 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: A token with a digit or an at sign.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 CONTEXT = 40
+MIN_TOKEN = 5
 BLOCK = 256
 
 ROUNDS = 3
@@ -156,7 +161,7 @@ def mentions(docs: DataFrame) -> DataFrame:
         return F.transform(f"_{kind}", lambda s: F.struct(s["start"].alias("start"), F.lit(kind_id[kind]).alias("k"), s["end"].alias("end"), s["text"].alias("text"), word_before(s["before"]).alias("left"), word_after(s["after"]).alias("right")))
 
     base = wide.select("doc_id", "rid", F.array_sort(F.concat(*[tagged(k) for k in KINDS])).alias("base"), "_token")
-    outside = F.filter("_token", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])) & (F.length(t["text"]) >= 5))
+    outside = F.filter("_token", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])) & (F.length(t["text"]) >= MIN_TOKEN))
     unknown = F.transform(outside, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("text"), word_before(s["before"]).alias("left"), word_after(s["after"]).alias("right")))
     return base.select("doc_id", "rid", "base", unknown.alias("unknown"))
 
@@ -169,13 +174,16 @@ def patterns_of(left: Column, right: Column) -> Column:
 def bootstrap(rows: DataFrame, scratch: Scratch, rounds: int = ROUNDS, support: int = MIN_SUPPORT, score: float = MIN_SCORE) -> tuple[DataFrame, DataFrame]:
     """Accepted patterns (pattern, k, score) and instances (instance, k) after some rounds on the graph."""
     seeds = rows.select(F.explode("base").alias("s")).select(F.lower("s.text").alias("instance"), F.col("s.k").alias("k"), F.explode(patterns_of(F.col("s.left"), F.col("s.right"))).alias("pattern"))
-    others = rows.select(F.explode("unknown").alias("s")).select(F.lower("s.text").alias("instance"), F.lit(None).cast("int").alias("k"), F.explode(patterns_of(F.col("s.left"), F.col("s.right"))).alias("pattern"))
-    graph = scratch.table(seeds.unionByName(others).groupBy("pattern", "instance").agg(F.max("k").alias("k")), "graph")
-    known = graph.filter("k IS NOT NULL").select("instance", "k").distinct()
+    others = rows.select(F.explode("unknown").alias("s")).select(F.lower("s.text").alias("instance"), F.explode(patterns_of(F.col("s.left"), F.col("s.right"))).alias("pattern"))
+    graph = scratch.table(seeds.select("pattern", "instance").unionByName(others.select("pattern", "instance")).distinct(), "graph")
+    # a text that matches several kinds is of the kind it is mentioned as most often, of the first of equals
+    votes = seeds.groupBy("instance", "k").count()
+    kinds = scratch.table(votes.groupBy("instance").agg(F.max_by("k", F.struct("count", -F.col("k"))).alias("k")), "kinds")
+    known, unknown = kinds, graph.join(kinds.select("instance"), "instance", "left_anti")
     accepted = None
     for number in range(rounds):
         # an instance known from elsewhere counts for its patterns as well
-        labelled = graph.select("pattern", "instance").join(known.groupBy("instance").agg(F.max("k").alias("k")), "instance", "left")
+        labelled = graph.join(known, "instance", "left")
         by_kind = labelled.groupBy("pattern").agg(F.count("*").alias("n"), *[F.count_if(F.col("k") == i).alias(f"n{i}") for i in range(len(KINDS))])
         best = F.greatest(*[F.col(f"n{i}") for i in range(len(KINDS))])
         which = F.coalesce(*[F.when(F.col(f"n{i}") == best, F.lit(i)) for i in range(len(KINDS))])
@@ -183,10 +191,10 @@ def bootstrap(rows: DataFrame, scratch: Scratch, rounds: int = ROUNDS, support:
             by_kind.select("pattern", "n", best.alias("hits"), which.alias("k")).filter((F.col("hits") >= support) & (F.col("hits") >= score * F.col("n"))).select("pattern", "k", (F.col("hits") / (F.col("n") + 1)).alias("score")),
             f"patterns{number}",
         )
-        new = graph.filter("k IS NULL").join(accepted.withColumnRenamed("k", "pk"), "pattern").groupBy("instance", "pk").agg((1 - F.product(1 - F.col("score"))).alias("belief"))
+        new = unknown.join(accepted.withColumnRenamed("k", "pk"), "pattern").groupBy("instance", "pk").agg((1 - F.product(1 - F.col("score"))).alias("belief"))
         top = new.groupBy("instance").agg(F.max(F.struct("belief", (-F.col("pk")).alias("minus_k"))).alias("m")).select("instance", (-F.col("m.minus_k")).alias("k"), "m.belief")
         found = scratch.table(top.filter(F.col("belief") >= score * support / (support + 1)).select("instance", "k"), f"found{number}")
-        known = graph.filter("k IS NOT NULL").select("instance", "k").distinct().unionByName(found)
+        known = kinds.unionByName(found)
         if not found.limit(1).count():
             break
     return accepted, found
