@@ -1,7 +1,8 @@
 """Model-bound operators behind replaceable adapters, with deterministic stubs.
 
-A model is loaded once per Python worker, on first use, and applied to Arrow batches; filters belong before it, since
-nothing is pushed through Python.
+A model is applied to Arrow batches; filters belong before it, since nothing is pushed through Python. One loaded by a
+class or function of a module is loaded once per Python worker, on first use; one of a local function or a lambda, whose name
+does not tell it from others, once a task.
 """
 
 from __future__ import annotations
@@ -28,13 +29,23 @@ def loaded(name: str, load: Callable[[], Any]) -> Any:
     return _LOADED[name]
 
 
-def with_model(rows: DataFrame, name: str, load: Callable[[], Any], apply: Callable[[Any, pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
+def name_of(load: Callable[[], Any]) -> str | None:
+    """A name that tells a loader from all others; None for local functions, lambdas and objects."""
+    name = getattr(load, "__qualname__", "<")
+    return None if "<" in name else f"{load.__module__}.{name}"
+
+
+def with_model(rows: DataFrame, load: Callable[[], Any], apply: Callable[[Any, pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
     """Rows through a model: ``apply(model, batch)`` gives a batch of ``schema``."""
     ship(rows.sparkSession)
+    name = name_of(load)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = None
         for part in parts:
-            yield apply(loaded(name, load), part)
+            if model is None:
+                model = loaded(name, load) if name else load()
+            yield apply(model, part)
 
     return rows.mapInPandas(run, schema)
 
@@ -75,7 +86,7 @@ def infer(rows: DataFrame, task: str, text: str = "text", output: str = "output"
         answer = getattr(model, method)
         return part.assign(**{output: [answer(t or "") for t in part[text]]})
 
-    return with_model(rows, f"{load.__module__}.{load.__qualname__}", load, apply, f"{_ddl(rows)}, {output} {TASKS[task]}")
+    return with_model(rows, load, apply, f"{_ddl(rows)}, {output} {TASKS[task]}")
 
 
 def _ddl(rows: DataFrame) -> str:
@@ -118,7 +129,7 @@ def transcribed(segments: DataFrame, listen: Callable[[str, float, float], str]
         return part.assign(text=[model(a, s, e) for a, s, e in zip(part["audio"], part["start"], part["end"], strict=True)])
 
     stub = listen or (lambda a, s, e: f"{a} {s:g}-{e:g}")
-    return with_model(segments, f"speech-{id(stub)}", lambda: stub, apply, f"{_ddl(segments)}, text string")
+    return with_model(segments, lambda: stub, apply, f"{_ddl(segments)}, text string")
 
 
 def unwarped(images: DataFrame, transform: Callable[[bytes], bytes] | None = None) -> DataFrame:
@@ -128,7 +139,7 @@ def unwarped(images: DataFrame, transform: Callable[[bytes], bytes] | None = Non
         return part.assign(content=[model(c) for c in part["content"]])
 
     same = transform or (lambda c: c)
-    return with_model(images, f"unwarp-{id(same)}", lambda: same, apply, images.schema)
+    return with_model(images, lambda: same, apply, images.schema)
 
 
 def detected(images: DataFrame, find: Callable[[str], list[tuple[str, float, list[float]]]] | None = None) -> DataFrame:
@@ -140,7 +151,7 @@ def detected(images: DataFrame, find: Callable[[str], list[tuple[str, float, lis
         return found.assign(**{n: pd.Series([b[i] for b in boxes], found.index, dtype=object) for i, n in enumerate(("pos", "label", "score", "coordinate"))})
 
     stub = find or (lambda name: [("text", 1.0, [0.0, 0.0, 100.0, 100.0])])
-    return with_model(images, f"layout-{id(stub)}", lambda: stub, apply, f"{_ddl(images)}, pos int, label string, score double, coordinate array<double>")
+    return with_model(images, lambda: stub, apply, f"{_ddl(images)}, pos int, label string, score double, coordinate array<double>")
 
 
 def diarised(audio: DataFrame, speakers: Callable[[str, float], list[tuple[float, float, str]]] | None = None, turn: float = 10.0) -> DataFrame:
@@ -154,7 +165,7 @@ def diarised(audio: DataFrame, speakers: Callable[[str, float], list[tuple[float
         return pd.DataFrame(rows, columns=["audio", "start", "end", "speaker"])
 
     stub = speakers or alternate
-    return with_model(audio.select("audio", "seconds"), f"speakers-{id(stub)}", lambda: stub, apply, "audio string, start double, end double, speaker string")
+    return with_model(audio.select("audio", "seconds"), lambda: stub, apply, "audio string, start double, end double, speaker string")
 
 
 def enlarged_grid(grid: np.ndarray, height: int, width: int) -> np.ndarray:

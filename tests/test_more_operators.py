@@ -174,6 +174,24 @@ def test_stubs_of_media_models(spark):
     assert bytes(adapters.unwarped(images, lambda c: bytes(c)[::-1]).first()["content"]) == b"cba"
 
 
+def test_models_of_one_name_are_told_apart(spark):
+    rows = spark.createDataFrame([("x",)], "text string").coalesce(1)
+
+    class One:
+        def __init__(self, answer):
+            self.answer = answer
+
+        def generate(self, text):
+            return self.answer
+
+    for answer in "ab":
+        assert adapters.infer(rows, "generate", load=lambda answer=answer: One(answer)).first()["output"] == answer
+    for k in range(20):
+        segments = spark.createDataFrame([("x", 0.0, 1.0)], "audio string, start double, end double")
+        assert adapters.transcribed(segments, lambda a, s, e, k=k: str(k)).first()["text"] == str(k)
+    assert adapters.name_of(adapters.HashModel) and not adapters.name_of(lambda: 1)
+
+
 def test_stateful_processor(spark):
     logits = spark.createDataFrame([(r, t, float(t)) for r in (1, 2) for t in range(4)], "req int, token_id int, logit double")
     once = adapters.LogitsProcessor(lambda ids, x, outputs: np.where(np.isin(ids, outputs), -9.0, x), stateful=True)
