@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import ann, exact_dedup, mixing, packing, pii, secrets, simhash, suffix_dedup, toxicity, warc
+from sparkloom.llm import ann, exact_dedup, mixing, packing, panes, pii, resampling, secrets, simhash, suffix_dedup, token_counts, toxicity, warc
 from sparkloom.llm.common import carry, table
 
 #: Where the vocabulary lies; never copied here.
@@ -112,9 +112,100 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: The CRC-32 of a list of bytes, by the table that follows from its polynomial.
+CRC_TABLE = """
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+"""
+
+OP11_SQL = (
+    CRC_TABLE
+    + r"""), words AS (
+  SELECT true AS ours, rowid AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT row_number() OVER () AS rowid, text FROM documents)
+  UNION ALL
+  SELECT false, NULL, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), hexed AS (
+  SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM words)
+), coded AS (
+  SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+  FROM hexed, crc
+), found AS (
+  SELECT ours, id, bucket FROM words JOIN coded USING (w)
+), counts AS (
+  SELECT bucket, count(*) FILTER (ours) AS s, count(*) FILTER (NOT ours) AS t FROM found GROUP BY bucket
+), sums AS (
+  SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain FROM counts, sums
+), weighed AS (
+  SELECT id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM found JOIN gains USING (bucket) WHERE ours GROUP BY id
+), scored AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM (SELECT row_number() OVER () AS rowid, doc_id FROM documents) d LEFT JOIN weighed ON d.rowid = weighed.id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_features >= 20) OVER () AS n FROM scored
+)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM ranked
+"""
+)
+
+
+def op12_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panes.panes(table(spark, sf_dir, "clicks"))
+
+
+OP12_SQL = (
+    CRC_TABLE
+    + """), one AS (
+  SELECT click_id, min({'a': epoch_us(coalesce(arrived_at, ts)), 'ts': epoch_us(ts), 'kind': coalesce(kind, 'none'), 'v': value}) AS r
+  FROM clicks WHERE ts IS NOT NULL GROUP BY click_id
+), coded AS (
+  SELECT click_id, r.ts AS ts, r.kind AS kind, CASE WHEN isfinite(r.v) THEN floor(100 * r.v + 0.5) ELSE 0 END::BIGINT AS cents,
+         r.a // 86400000000 AS d,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(click_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h
+  FROM one, crc
+), timed AS (
+  SELECT click_id, kind, cents, least(9, d % 10 + greatest(0, h % 30 - 23))::BIGINT AS batch, ts - (d - d % 10) * 86400000000 AS event FROM coded
+), batches AS (
+  SELECT b AS batch, (SELECT max(event) FROM timed WHERE timed.batch < b) AS w FROM range(10) r(b)
+), placed AS (
+  SELECT t.*, floor(event / 3600000000)::BIGINT AS hour, w FROM timed t JOIN batches USING (batch)
+), split AS (
+  SELECT *, coalesce(w >= (hour + 49) * 3600000000, false) AS late FROM placed
+), pane AS (
+  SELECT kind, hour, batch, count(*) AS n, sum(cents) AS c FROM split WHERE NOT late GROUP BY ALL
+), running AS (
+  SELECT *, sum(n) OVER w AS total_n, sum(c) OVER w AS total_c, min(batch) OVER (PARTITION BY kind, hour) AS born FROM pane
+  WINDOW w AS (PARTITION BY kind, hour ORDER BY batch)
+), emitted AS (
+  SELECT kind, hour, born, (SELECT min(batch) FROM batches b WHERE b.batch >= born AND b.w >= (hour + 13) * 3600000000) AS at FROM (SELECT DISTINCT kind, hour, born FROM running)
+), out AS (
+  SELECT batch, hour, click_id, 1 AS n_rows, cents, 'late' AS record, kind FROM split WHERE late
+  UNION ALL
+  SELECT coalesce(e.at, 9), e.hour, -1, arg_max(r.total_n, r.batch), arg_max(r.total_c, r.batch), CASE WHEN e.at IS NULL THEN 'final' ELSE 'emit' END, e.kind
+  FROM emitted e JOIN running r ON r.kind = e.kind AND r.hour = e.hour AND r.batch <= coalesce(e.at, 9) GROUP BY e.at, e.hour, e.kind
+  UNION ALL
+  SELECT r.batch, r.hour, -1, r.total_n - CASE k WHEN 'retract' THEN r.n ELSE 0 END, r.total_c - CASE k WHEN 'retract' THEN r.c ELSE 0 END, k, r.kind
+  FROM running r JOIN emitted e ON r.kind = e.kind AND r.hour = e.hour AND r.batch > e.at, (VALUES ('retract'), ('replace')) v(k)
+)
+SELECT batch::BIGINT AS batch, hour, click_id, n_rows::BIGINT AS n_rows, cents::BIGINT AS cents, record, kind FROM out
+"""
+)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL, "op8_warc": OP8_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op8_warc": OP8_SQL, "op11_importance_resampling": OP11_SQL, "op12_window_panes": OP12_SQL}
