@@ -8,7 +8,8 @@ tournament tree holds the largest free capacity below each node, so finding the
 fits takes one descent.
 
 Scale: only piece lengths and checksums are shuffled, never text or ids, and a group holds about
-``group_docs`` documents whatever the size of the corpus. Tokenising is one narrow pass.
+``group_docs`` documents whatever the size of the corpus: rows are dealt by a number that is fixed in the written table of
+pieces, so repeated or null ids spread as all others. Tokenising is one narrow pass.
 
 Defined edge cases: null and empty text is the end id alone; a special token's spelling in a text gives that token's id, as the
 tokenizer has it; texts of any length are tokenised whole, in batches of bounded bytes or one by one; repeated rows and ties in
@@ -211,8 +212,8 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
                 raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
                 starts, lengths, sums = [], [], []
                 total = np.diff(edges) + 1  # with the end id
-                for first, n, mark in zip((edges[:-1] * 4).tolist(), total.tolist(), part.column(2).to_pylist(), strict=True):
-                    cuts = cut(n, length, mark % filler == 0)
+                for first, n, number in zip((edges[:-1] * 4).tolist(), total.tolist(), part.column(2).to_pylist(), strict=True):
+                    cuts = cut(n, length, number % filler == 0)
                     ends = list(accumulate(cuts))
                     begin = [0, *ends[:-1]]
                     own = [zlib.crc32(raw[first + 4 * b : first + 4 * min(e, n - 1)]) for b, e in zip(begin, ends, strict=True)]
@@ -222,25 +223,26 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
                     sums.append(own)
                 array = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(total, pa.int64()), pa.array(starts, array), pa.array(lengths, array), pa.array(sums, array), part.column(2)],
-                    ["doc_id", "doc_tokens", "starts", "lengths", "sums", "mark"],
+                    [part.column(0), pa.array(total, pa.int64()), pa.array(starts, array), pa.array(lengths, array), pa.array(sums, array)],
+                    ["doc_id", "doc_tokens", "starts", "lengths", "sums"],
                 )
 
         return step
 
-    mark = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40))
+    # fillers are chosen by id and place, so that rows without an id are chosen one by one
+    mark = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.monotonically_increasing_id()), F.lit(1 << 40))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), mark.alias("mark"))
-    return map_arrow(source, "doc_id long, doc_tokens long, starts array<long>, lengths array<long>, sums array<long>, mark long", make)
+    return map_arrow(source, "doc_id long, doc_tokens long, starts array<long>, lengths array<long>, sums array<long>", make)
 
 
 def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, group_docs: int = GROUP_DOCS, filler: int = FILLER, seed: int = SEED) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row for each piece."""
     scratch = Scratch(docs.sparkSession, "pack")
-    rows = scratch.table(pieces(docs, tokenizer, length, end_id, filler, seed), "pieces")
+    rows = scratch.table(pieces(docs, tokenizer, length, end_id, filler, seed).withColumn("number", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-rows.count() // group_docs))
 
     def pack_group(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "doc_tokens"], kind="stable", na_position="first", ignore_index=True)
+        group = group.sort_values(["doc_id", "doc_tokens", "number"], kind="stable", na_position="first", ignore_index=True)
         n = group["lengths"].map(len).to_numpy()
         sizes = np.concatenate(group["lengths"].to_numpy()).astype(np.int64).tolist()
         bins, at = first_fit_decreasing(sizes, length)
@@ -256,7 +258,6 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = EN
             }
         )
 
-    # the second hash spreads repeated ids over groups by length as well
-    dealt = rows.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "doc_tokens"), F.lit(groups)).cast("long")).drop("mark")
+    dealt = rows.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "number"), F.lit(groups)).cast("long"))
     out = dealt.groupBy("grp").applyInPandas(pack_group, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return scratch.own(out)
