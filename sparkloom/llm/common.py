@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +78,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/loom/{label}-{uuid.uuid4().hex}"
 
 
+def placed(docs: DataFrame, scratch: Scratch, file: str, index: str) -> DataFrame:
+    """The rows with their place (two longs: a hash of the file's path, and the row in the file), which tells any two of them apart and
+    is the same at every reading. Rows that come from no Parquet scan are written first, with a running number."""
+    try:
+        at = docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(index))
+        at.schema  # noqa: B018  resolves the plan
+        return at
+    except AnalysisException:
+        return scratch.table(docs.select("*", F.lit(0).cast("long").alias(file), F.monotonically_increasing_id().alias(index)), "placed")
+
+
 class Scratch:
     """Paths of one run. Spark keeps no owner for a written table, so the run's frames own it: when the
     last frame is garbage, the folder goes."""

@@ -8,11 +8,12 @@ that fit, then bounded-knapsack dynamic programming (bit sets) over what is left
 comes to the target, further copies may, up to ``most``. The chosen count of each length is filled
 with documents by seeded hash.
 
-Scale: the text is read once into a narrow table. Sources are weighed and filled in Spark. Each source's histogram is bounded
-by its distinct lengths, never by documents. Picking k documents of one length works on ``BUCKETS`` hash
+Scale: the text is read once into a narrow table. Rows equal in id, source and text are counted before the shuffle and are one row
+until the result, so neither repeated rows nor rows without an id meet in a task. Sources are weighed and filled in Spark. Each
+source's histogram is bounded by its distinct lengths, never by documents. Picking k documents of one length works on ``BUCKETS`` hash
 buckets per (source, length): only whole buckets, and one boundary bucket that is ranked, are needed, so
-a source or a length with a third of all rows never meets in one task, nor do rows without an id. The dynamic programme holds
-at most ``DP_BUDGET`` bits for each length that extends its sums, whatever the lengths are.
+a source or a length with a third of all rows never meets in one task. The dynamic programme holds
+at most ``DP_BUDGET`` bits for each step that extends its sums, and at most ``DP_BUDGET`` such steps (8 KB each).
 
 Defined edge cases: null text and empty text have size 0 and are taken 0 times; a null source is a
 source of its own; repeated rows count each, and of rows equal in id and text any may be the one taken once more; ties in
@@ -29,12 +30,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import WS, Scratch, carry, map_arrow, private, slices, text_of
+from sparkloom.llm.common import Scratch, map_arrow, placed, private, slices, text_of
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
 SEED = 20240607
 BUCKETS = 1024
+#: Repeats of one row that a task writes at once.
+BLOCK = 4096
 #: Cells of the dynamic programme: the part of a budget that it fits exactly.
 DP_BUDGET = 1 << 16
 
@@ -125,32 +128,31 @@ def fit_copies(sizes: list[int], counts: list[int], target: float, most: int = M
     return total
 
 
-def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """doc_id, source, key (of the source, never null), size, bucket, rank hash (of id and text); the text is read once."""
+def sized(docs: DataFrame, seed: int = SEED, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, key (of the source, never null), size, mark (hash of the text), bucket, rank hash h (of id and text), and
+    ``carried`` columns (long); the text is read once."""
     import pyarrow as pa
 
     def make():
-        import xxhash
-
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch, "text"):
-                texts = [x or b"" for x in part.column(2).to_pylist()]
-                words = [len(x.split()) for x in texts]
-                marks = [xxhash.xxh64_intdigest(x) >> 1 for x in texts]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(words, pa.int64()), pa.array(marks, pa.int64())], ["doc_id", "source", "size", "mark"])
+                words = [len(x.split()) if x else 0 for x in part.column(3).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(words, pa.int64()), *part.columns[4:]], ["doc_id", "source", "mark", "size", *carried])
 
         return step
 
-    source = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("binary").alias("text"))
-    counted = map_arrow(source, "doc_id long, source string, size long, mark long", make)
+    source = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64(text_of()).alias("mark"), F.col("text").cast("binary").alias("text"), *carried)
+    counted = map_arrow(source, "doc_id long, source string, mark long, size long" + "".join(f", {c} long" for c in carried), make)
     h = F.xxhash64(F.lit(seed), "doc_id", "mark")
     return counted.select(
         "doc_id",
         "source",
         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("key"),
         "size",
+        "mark",
         F.pmod(h, F.lit(BUCKETS)).cast("int").alias("bucket"),
         h.alias("h"),
+        *carried,
     )
 
 
@@ -196,12 +198,14 @@ def source_targets(words: DataFrame, scratch: Scratch, weights: tuple[int, ...]
     return scratch.table(all_.select("key", F.col("words").alias("source_size"), share.alias("target")), "targets")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, cells: int = DP_BUDGET) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken (words), copies: one row for each input row."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "mix")
-    rows = scratch.table(sized(docs, seed), "sizes")
-    cells_of = scratch.table(rows.groupBy("key", "size", "bucket").count(), "cells")
+def chosen(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...], most: int, seed: int, cells: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, n (rows), base (copies of each row), extra (rows that have one copy more), and
+    ``carried`` columns of one of the rows: a row for all rows of one id, source and text."""
+    rows = sized(docs, seed, carried)
+    # equal rows are one from here on, so that they never meet
+    equal = rows.groupBy("doc_id", "source", "key", "size", "mark", "bucket", "h").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in carried])
+    equal = scratch.table(equal, "sizes")
+    cells_of = scratch.table(equal.groupBy("key", "size", "bucket").agg(F.sum("n").alias("count")), "cells")
     goals = source_targets(cells_of.groupBy("key").agg(F.sum(F.col("size") * F.col("count")).alias("words")), scratch, weights, most)
 
     def fit(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,35 +219,51 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
                 )
 
     hist = cells_of.groupBy("key", "size").agg(F.sum("count").alias("n")).groupBy("key").agg(F.collect_list(F.struct("size", "n")).alias("hist"))
-    chosen = hist.join(goals, "key").mapInPandas(fit, "key string, size long, source_size long, target double, base long, extra long")
+    fitted = hist.join(goals, "key").mapInPandas(fit, "key string, size long, source_size long, target double, base long, extra long")
     before = Window.partitionBy("key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     plan = scratch.table(
-        cells_of.join(chosen, ["key", "size"])
+        cells_of.join(fitted, ["key", "size"])
         .withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0)))
         .select("key", "size", "bucket", "source_size", "target", "base", "count", F.greatest(F.lit(0), F.least("count", F.col("extra") - F.col("before"))).alias("more")),
         "plan",
     )
     # whole and empty buckets need no rank; at most one bucket of a source and size is cut
-    joined = rows.join(plan, ["key", "size", "bucket"])
+    joined = equal.join(plan, ["key", "size", "bucket"])
     cut = (F.col("more") > 0) & (F.col("more") < F.col("count")) & (F.col("size") > 0)
-    rank = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy("h", "doc_id"))
-    whole = joined.filter(~cut).withColumn("copies", F.col("base") + F.when(F.col("more") > 0, 1).otherwise(0))
-    some = joined.filter(cut).withColumn("copies", F.col("base") + F.when(rank <= F.col("more"), 1).otherwise(0))
-    out = whole.unionByName(some).withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(F.col("copies")).cast("int"))
-    return scratch.own(out.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"))
-
-
-def materialised_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: each row as often as the mix takes it. Rows of one id (or none), source and size share their copies
-    in the order of their texts; which of them has one more does not change the words taken."""
-    picks = mix(docs, **options)
-    *names, total, rows, place, copies = private(docs.columns, "_z", "_k", "_s", "_w", "_all", "_rows", "_i", "_n")
-    key = [F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))]
-    n = picks.select(*[c.alias(x) for c, x in zip([*key, F.col("size")], names, strict=True)], "copies").groupBy(*names).agg(F.sum("copies").alias(total), F.count("*").alias(rows)).filter(F.col(total) > 0)
-    words = F.size(F.filter(F.split(text_of(), f"{WS}+"), lambda w: w != "")).cast("long")
-    joined = docs.select("*", *[c.alias(x) for c, x in zip([*key, words], names, strict=True)]).join(n, names)
-    rank = F.row_number().over(Window.partitionBy(*names).orderBy("text"))
-    copy = F.floor(F.col(total) / F.col(rows)) + F.when(F.col(place) <= F.col(total) % F.col(rows), 1).otherwise(0)
-    out = joined.withColumn(place, rank).withColumn(copies, copy.cast("int")).filter(F.col(copies) > 0)
-    out = out.withColumn(place, F.explode(F.sequence(F.lit(1), F.col(copies))))
-    return carry(picks, out.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    above = F.coalesce(F.sum("n").over(Window.partitionBy("key", "size", "bucket").orderBy("h", "doc_id", "mark").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = joined.filter(~cut).withColumn("extra", F.when(F.col("more") > 0, F.col("n")).otherwise(0))
+    some = joined.filter(cut).withColumn("extra", F.greatest(F.lit(0), F.least("n", F.col("more") - above)))
+    out = whole.unionByName(some)
+    none = F.col("size") == 0
+    return out.select("doc_id", "source", "size", "source_size", "target", "n", F.when(none, 0).otherwise(F.col("base")).alias("base"), F.when(none, 0).otherwise(F.col("extra")).alias("extra"), *carried)
+
+
+def repeated(rows: DataFrame, times: Column) -> DataFrame:
+    """Each row ``times`` times (not at all for 0). Many repeats of a row are dealt out in blocks of ``BLOCK``."""
+    *plain, times_, block, nth = [*rows.columns, *private(rows.columns, "_t", "_b", "_j")]
+    own = rows.withColumn(times_, times.cast("long")).filter(F.col(times_) > 0)
+    blocks = own.filter(F.col(times_) > BLOCK).withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), F.col(times_) - 1, F.lit(BLOCK).cast("long"))))
+    blocks = blocks.withColumn(times_, F.least(F.lit(BLOCK).cast("long"), F.col(times_) - F.col(block))).drop(block).repartition(F.rand(1))
+    both = own.filter(F.col(times_) <= BLOCK).unionByName(blocks)
+    return both.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times_)))).select(*[F.col(f"`{c}`") for c in plain])
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, cells: int = DP_BUDGET) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken (words), copies: one row for each input row."""
+    scratch = Scratch(docs.sparkSession, "mix")
+    picked = chosen(docs, scratch, weights, most, seed, cells)
+    own = picked.withColumn("copies", F.explode(F.array(F.struct(F.col("extra").alias("n"), (F.col("base") + 1).alias("c")), F.struct((F.col("n") - F.col("extra")).alias("n"), F.col("base").alias("c")))))
+    own = own.select("doc_id", "source", "size", "source_size", "target", (F.col("copies.c") * F.col("size")).alias("taken"), F.col("copies.c").cast("int").alias("copies"), F.col("copies.n").alias("n"))
+    return scratch.own(repeated(own, F.col("n")).drop("n"))
+
+
+def materialised_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED, cells: int = DP_BUDGET) -> DataFrame:
+    """The mixed documents: each row as often as the mix takes it. Of rows equal in id, source and text one stands for the copies of
+    all, with its other columns. It is told by its place in the input, so no id, source or size gathers rows."""
+    scratch = Scratch(docs.sparkSession, "mixed")
+    file, index, copies = private(docs.columns, "_f", "_i", "_n")
+    own = placed(docs, scratch, file, index)
+    picked = chosen(own, scratch, weights, most, seed, cells, (file, index))
+    total = (F.col("base") * F.col("n") + F.col("extra")).alias(copies)
+    joined = own.join(picked.select(file, index, total).filter(F.col(copies) > 0), [file, index])
+    return scratch.own(repeated(joined, F.col(copies)).select(*[F.col(f"`{c}`") for c in docs.columns]))
