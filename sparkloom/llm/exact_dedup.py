@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import WS, Scratch, carry, private, text_of
+from sparkloom.llm.common import WS, Scratch, placed, private, text_of
 
 TRACKED = 8192
 HEAVY_ROWS = 64
@@ -52,18 +52,20 @@ def heavy_groups(rows: DataFrame, key: str, tracked: int = TRACKED, heavy_rows:
     )
 
 
-def duplicates(docs: DataFrame, tracked: int = TRACKED, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256, n_points: one row for each input row."""
-    scratch = Scratch(docs.sparkSession, "exact")
+def _digests(docs: DataFrame, scratch: Scratch, *more) -> DataFrame:
+    """doc_id, text_sha256, n_points, rid and more columns, written: rids tell rows apart from here on."""
     digest, points = digest_columns()
-    rows = scratch.table(docs.select("doc_id", digest.alias("text_sha256"), points.alias("n_points"), F.monotonically_increasing_id().alias("rid")), "digests")
+    return scratch.table(docs.select("doc_id", digest.alias("text_sha256"), points.alias("n_points"), F.monotonically_increasing_id().alias("rid"), *more), "digests")
+
+
+def _resolved(rows: DataFrame, scratch: Scratch, tracked: int, heavy_rows: int, *more: str) -> DataFrame:
     heavy = scratch.table(heavy_groups(rows, "text_sha256", tracked, heavy_rows).coalesce(1), "heavy")
     marked = rows.join(F.broadcast(heavy), "text_sha256", "left")
     light = rows.join(F.broadcast(heavy.select("text_sha256")), "text_sha256", "left_anti")
     order = Window.partitionBy("text_sha256").orderBy(F.col("n_points").desc(), F.col("doc_id").asc_nulls_first(), "rid")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     of_heavy = marked.filter(F.col("group_size").isNotNull()).select(
-        "doc_id", F.col("best.d").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.r")).alias("kept"), "text_sha256", "n_points"
+        "doc_id", F.col("best.d").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.r")).alias("kept"), "text_sha256", "n_points", *more
     )
     of_light = light.select(
         "doc_id",
@@ -72,19 +74,24 @@ def duplicates(docs: DataFrame, tracked: int = TRACKED, heavy_rows: int = HEAVY_
         (F.row_number().over(order) == 1).alias("kept"),
         "text_sha256",
         "n_points",
+        *more,
     )
-    return scratch.own(of_light.unionByName(of_heavy))
+    return of_light.unionByName(of_heavy)
 
 
-def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """The rows that stay, with all their columns. Rows equal in id and text count as one."""
-    marks = duplicates(docs, **options)
-    # plain equality on the same four columns throughout, so that the text is shuffled once for the join and the window
-    *names, rank = private(docs.columns, "_z", "_k", "_h", "_n", "_r")
-    key = [F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))]
-    digest, points = digest_columns()
-    kept = marks.filter("kept").select(*[c.alias(n) for c, n in zip([*key, F.col("text_sha256"), F.col("n_points")], names, strict=True)])
-    own = docs.select("*", *[c.alias(n) for c, n in zip([*key, digest, points], names, strict=True)])
-    once = Window.partitionBy(*names).orderBy("text")
-    out = own.join(kept, names).withColumn(rank, F.row_number().over(once)).filter(F.col(rank) == 1)
-    return carry(marks, out.select(*[F.col(f"`{c}`") for c in docs.columns]))
+def duplicates(docs: DataFrame, tracked: int = TRACKED, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256, n_points: one row for each input row."""
+    scratch = Scratch(docs.sparkSession, "exact")
+    return scratch.own(_resolved(_digests(docs, scratch), scratch, tracked, heavy_rows))
+
+
+def deduplicate(docs: DataFrame, tracked: int = TRACKED, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """The rows that stay, with all their columns: one of each group of equal normalised texts.
+
+    Rows are told apart by their place in the input, which no two share, so repeated or null ids meet in no task."""
+    scratch = Scratch(docs.sparkSession, "exact-rows")
+    file, index = private(docs.columns, "_f", "_i")
+    own = placed(docs, scratch, file, index)
+    rows = _digests(own, scratch, file, index)
+    kept = _resolved(rows, scratch, tracked, heavy_rows, file, index).filter("kept").select(file, index)
+    return scratch.own(own.join(kept, [file, index]).select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -27,10 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import Scratch, map_arrow, private, slices, text_of
+from sparkloom.llm.common import Scratch, map_arrow, placed, private, slices, text_of
 
 SHINGLE = 3
 RADIUS = 3
@@ -67,19 +67,21 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = HASH_SEED) -> i
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = HASH_SEED, digest: bool = False) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long), and the text's SHA-256 if ``digest``."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = HASH_SEED, digest: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), the text's SHA-256 if ``digest``, and ``carried`` columns (long)."""
+    names = ["doc_id", "fp", *["digest"] * digest, *carried]
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch, "text"):
                 values = np.asarray([fingerprint(t or b"", shingle, seed) for t in part.column(1).to_pylist()], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values), *part.columns[2:]], ["doc_id", "fp", "digest"][: part.num_columns])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values), *part.columns[2:]], names)
 
         return step
 
     own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")]
-    return map_arrow(docs.select(*own, *[F.sha2(text_of(), 256).alias("digest")] * digest), "doc_id long, fp long" + ", digest string" * digest, make)
+    more = [*[F.sha2(text_of(), 256).alias("digest")] * digest, *carried]
+    return map_arrow(docs.select(*own, *more), ", ".join(f"{n} {'string' if n == 'digest' else 'long'}" for n in names), make)
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64, seed: int = MASK_SEED) -> list[int]:
@@ -290,20 +292,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, hash_seed: int = HASH_SEED) -> DataFrame:
-    """One document of each component stays: the smallest id (null last), of rows with that id the smallest text digest.
+    """One document of each component stays: the smallest id (null last), of rows with that id the smallest text digest, of equal rows
+    the first of the input.
 
-    Rows are told apart by id and digest, so unrelated texts without an id, or under one id, stay each.
+    Rows are told apart by their place in the input, so unrelated texts without an id, or under one id, stay each, and repeated ids
+    meet in no task.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = scratch.table(fingerprints(docs, shingle, hash_seed, digest=True), "fp")
+    file, index = private(docs.columns, "_f", "_i")
+    own = placed(docs, scratch, file, index)
+    rows = scratch.table(fingerprints(own, shingle, hash_seed, digest=True, carried=(file, index)), "fp")
     named = _components_of(rows, scratch, radius)
-    *names, rank = private(docs.columns, "_z", "_k", "_h", "_r")
-    key = [F.col("doc_id").isNull().alias(names[0]), F.coalesce("doc_id", F.lit(0)).alias(names[1])]
     # by fingerprint first, so that equal texts go into the join as one row
-    of_fp = rows.groupBy("fp").agg(F.min(F.struct(*key, F.col("digest").alias(names[2]))).alias("m"))
-    stay = of_fp.join(named.select("fp", "c"), "fp").groupBy("c").agg(F.min("m").alias("m")).select("m.*")
-    # plain equality on the same columns, so that the text is shuffled once for the join and the window
-    own = docs.select("*", *key, F.sha2(text_of(), 256).alias(names[2]))
-    first = Window.partitionBy(*names).orderBy("text")
-    out = own.join(stay, names).withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1)
-    return scratch.own(out.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    first = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "digest", file, index)
+    of_fp = rows.groupBy("fp").agg(F.min(first).alias("m"))
+    stay = of_fp.join(named.select("fp", "c"), "fp").groupBy("c").agg(F.min("m").alias("m")).select(f"m.{file}", f"m.{index}")
+    return scratch.own(own.join(stay, [file, index]).select(*[F.col(f"`{c}`") for c in docs.columns]))
