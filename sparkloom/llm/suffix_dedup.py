@@ -31,12 +31,14 @@ from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,8 +55,9 @@ BUCKET_RECORDS = 250_000
 ARRAY_BYTES = 3 << 20
 #: Buckets, and suffix arrays, of one task.
 OF_TASK = 4
-#: Counters of the summary, the least count of a hot minimizer, and the windows of its cut snippets. A minimizer that is not
-#: hot has at most 1/COUNTERS of all records (one for about 35 bytes), or HOT of them.
+#: Counters of the summary, the least count of a hot minimizer, and the windows of its cut snippets. A task's summary misses at most
+#: 1/COUNTERS of the task's records (one for about 35 bytes) of a minimizer, and leaves counts of one out; the sum over tasks has to reach
+#: 1/COUNTERS of all. So a minimizer that is not hot has at most 2/COUNTERS of all records and one for each task, or HOT of them.
 COUNTERS = 1 << 20
 HOT = 4096
 HOT_WINDOWS = 4
@@ -223,9 +226,12 @@ def window_classes(strings: list[bytes], windows: np.ndarray, length: int = LENG
 
 
 def write_slices(docs: DataFrame, folder: str, scratch: Scratch, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """path, row, doc_id, n_bytes, digest of every document; texts go to files of about ``slice_bytes``."""
+    """slice, path, row, doc_id, n_bytes, digest of every document; texts go to files of about ``slice_bytes``. Slices are numbered by task,
+    so that what is shuffled later names a slice in eight bytes."""
 
     def make():
+        numbers = itertools.count(TaskContext.get().partitionId() << 32)
+
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch, "text", slice_bytes):
                 texts = [t or b"" for t in part.column(1).to_pylist()]
@@ -240,19 +246,20 @@ def write_slices(docs: DataFrame, folder: str, scratch: Scratch, slice_bytes: in
                     out.write(sink.getbuffer())
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array([next(numbers)] * len(texts), pa.int64()),
                         pa.array([path] * len(texts)),
                         pa.array(range(len(texts)), pa.int32()),
                         part.column(0),
                         pa.array([len(t) for t in texts], pa.int64()),
                         pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
                     ],
-                    ["path", "row", "doc_id", "n_bytes", "digest"],
+                    ["slice", "path", "row", "doc_id", "n_bytes", "digest"],
                 )
 
         return step
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return scratch.table(map_arrow(source, "path string, row int, doc_id long, n_bytes long, digest binary", make), "rows")
+    return scratch.table(map_arrow(source, "slice long, path string, row int, doc_id long, n_bytes long, digest binary", make), "rows")
 
 
 def read_slice(path: str) -> list[bytes]:
@@ -362,7 +369,7 @@ DOC = np.dtype([("id", "<i8"), ("tie", "<i8"), ("row", "<i4"), ("null", "u1")])
 PLACE = np.dtype([("row", "<i4"), ("first", "<u4"), ("count", "u1")])
 
 
-def hot_minimizers(work: DataFrame, length: int, gram: int, counters: int, least: int) -> np.ndarray:
+def hot_minimizers(work: DataFrame, scratch: Scratch, length: int, gram: int, counters: int, least: int) -> np.ndarray:
     """Hashes of at least ``least`` places and 1/counters of all: at most ``counters`` of them, by a Misra-Gries summary."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,10 +401,10 @@ def hot_minimizers(work: DataFrame, length: int, gram: int, counters: int, least
         yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(counts[some]), pa.array(np.zeros(some.sum(), np.int64))], ["h", "n", "total"])
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([0], pa.int64()), pa.array([total], pa.int64())], ["h", "n", "total"])
 
-    counted = work.mapInArrow(summarise, "h long, n long, total long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    counted = counted.filter((F.col("n") >= least) | (F.col("total") > 0)).toArrow()
-    n, all_ = counted["n"].to_numpy(), counted["total"].to_numpy()
-    return counted["h"].to_numpy()[(n >= max(least, int(all_.sum()) // counters))].view(np.uint64)
+    counted = scratch.table(work.mapInArrow(summarise, "h long, n long, total long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "counted")
+    all_ = counted.agg(F.sum("total")).first()[0] or 0
+    # no counter says more than was counted, so at most ``counters`` rows have a share of 1/counters
+    return counted.filter(F.col("n") >= max(least, -(-all_ // counters))).select("h").toArrow()["h"].to_numpy().view(np.uint64)
 
 
 def doc_table(rows: list[dict]) -> np.ndarray:
@@ -432,11 +439,11 @@ def slice_records(texts: list[bytes], hot: np.ndarray, length: int, gram: int, w
 
 
 def runs_by_bucket(work: DataFrame, hot: np.ndarray, buckets: int, length: int, gram: int) -> DataFrame:
-    """bucket, path, docs, runs: packed records of a slice for each bucket of keys, but for hot minimizers."""
+    """bucket, slice, docs, runs: packed records of a slice for each bucket of keys, but for hot minimizers."""
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for path, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for path, rows, number in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 texts = read_slice(path)
                 record = slice_records([texts[r["row"]] for r in rows], hot, length, gram, False)
                 if not len(record):
@@ -455,27 +462,27 @@ def runs_by_bucket(work: DataFrame, hot: np.ndarray, buckets: int, length: int,
                 for i in range(0, len(edge), 256):
                     j = slice(i, i + 256)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(bucket[edge][j].astype(np.int32)), pa.array([path] * len(edge[j])), pa.array(docs[j], pa.binary()), pa.array(blobs[j], pa.binary())],
-                        ["bucket", "path", "docs", "runs"],
+                        [pa.array(bucket[edge][j].astype(np.int32)), pa.array([number] * len(edge[j]), pa.int64()), pa.array(docs[j], pa.binary()), pa.array(blobs[j], pa.binary())],
+                        ["bucket", "slice", "docs", "runs"],
                     )
 
         return step
 
-    return map_arrow(work, "bucket int, path string, docs binary, runs binary", make)
+    return map_arrow(work, "bucket int, slice long, docs binary, runs binary", make)
 
 
 #: Place of a string in document order, as Spark compares it.
-ORDERED = "struct<has:boolean,id:long,tie:long,path:string,row:int,first:long>"
+ORDERED = "struct<has:boolean,id:long,tie:long,slice:long,row:int,first:long>"
 
 
 def hot_strings(work: DataFrame, hot: np.ndarray, length: int, gram: int) -> DataFrame:
-    """key, content, windows, path, lo and hi (first and last place in the slice), n, places: a row for each distinct string of a
+    """key, content, windows, slice, lo and hi (first and last place in the slice), n, places: a row for each distinct string of a
     slice whose minimizer is hot."""
-    place = pa.struct([("has", pa.bool_()), ("id", pa.int64()), ("tie", pa.int64()), ("path", pa.string()), ("row", pa.int32()), ("first", pa.int64())])
+    place = pa.struct([("has", pa.bool_()), ("id", pa.int64()), ("tie", pa.int64()), ("slice", pa.int64()), ("row", pa.int32()), ("first", pa.int64())])
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for path, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for path, rows, number in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 texts = read_slice(path)
                 record, table = slice_records([texts[r["row"]] for r in rows], hot, length, gram, True), doc_table(rows)
                 if not len(record):
@@ -489,7 +496,7 @@ def hot_strings(work: DataFrame, hot: np.ndarray, length: int, gram: int) -> Dat
 
                 def at(i: np.ndarray) -> pa.Array:
                     d = table[record["doc"][i]]
-                    columns = [pa.array(d["null"] == 0), pa.array(d["id"]), pa.array(d["tie"]), pa.array([path] * len(i)), pa.array(d["row"]), pa.array(record["first"][i].astype(np.int64))]
+                    columns = [pa.array(d["null"] == 0), pa.array(d["id"]), pa.array(d["tie"]), pa.array([number] * len(i), pa.int64()), pa.array(d["row"]), pa.array(record["first"][i].astype(np.int64))]
                     return pa.StructArray.from_arrays(columns, fields=list(place))
 
                 yield pa.RecordBatch.from_arrays(
@@ -497,22 +504,22 @@ def hot_strings(work: DataFrame, hot: np.ndarray, length: int, gram: int) -> Dat
                         pa.array(record["key"][edge].view(np.int64)),
                         pa.array(record["content"][edge].view(np.int64)),
                         pa.array(record["count"][edge].astype(np.int32)),
-                        pa.array([path] * len(edge)),
+                        pa.array([number] * len(edge), pa.int64()),
                         at(edge),
                         at(last),
                         pa.array(last - edge + 1),
                         pa.array([own[a : b + 1].tobytes() for a, b in zip(edge, last, strict=True)], pa.binary()),
                     ],
-                    ["key", "content", "windows", "path", "lo", "hi", "n", "places"],
+                    ["key", "content", "windows", "slice", "lo", "hi", "n", "places"],
                 )
 
         return step
 
-    return map_arrow(work, f"key long, content long, windows int, path string, lo {ORDERED}, hi {ORDERED}, n long, places binary", make)
+    return map_arrow(work, f"key long, content long, windows int, slice long, lo {ORDERED}, hi {ORDERED}, n long, places binary", make)
 
 
 def resolve_hot(strings: DataFrame, scratch: Scratch, length: int) -> DataFrame:
-    """path, member, repeat, n as ``resolve_bucket`` gives them, for strings with hot minimizers.
+    """slice, member, repeat, n as ``resolve_bucket`` gives them, for strings with hot minimizers.
 
     First and last places of a string are algebraic, so they are combined before the shuffle; repeats return by
     a plain join on (key, content), which can split a hot string.
@@ -520,11 +527,11 @@ def resolve_hot(strings: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     whole = scratch.table(strings.groupBy("key", "content").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.first("windows").alias("windows")), "strings")
     shared = whole.groupBy("key").agg(F.sum("n").alias("_all")).filter("_all > 1").select("key")
     ends = F.when(F.col("n") > 1, F.array("lo", "hi")).otherwise(F.array("lo"))
-    members = whole.join(shared, "key").select("key", "windows", F.explode(ends).alias("p")).select("p.path", "p.row", "p.first", "windows", "key")
-    others = strings.select("key", "content", "path", "places").join(whole.filter("n > 2").select("key", "content", "lo", "hi"), ["key", "content"]).select(
-        "path", "places", "lo.path", "lo.row", "lo.first", "hi.path", "hi.row", "hi.first"
+    members = whole.join(shared, "key").select("key", "windows", F.explode(ends).alias("p")).select("p.slice", "p.row", "p.first", "windows", "key")
+    others = strings.select("key", "content", "slice", "places").join(whole.filter("n > 2").select("key", "content", "lo", "hi"), ["key", "content"]).select(
+        "slice", "places", "lo.slice", "lo.row", "lo.first", "hi.slice", "hi.row", "hi.first"
     )
-    names, types = ["path", "member", "repeat", "n"], [pa.string(), pa.binary(), pa.binary(), pa.int64()]
+    names, types = ["slice", "member", "repeat", "n"], [pa.int64(), pa.binary(), pa.binary(), pa.int64()]
 
     def pack():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -540,20 +547,20 @@ def resolve_hot(strings: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     def rest():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             out = []
-            for path, places, *ends in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for number, places, *ends in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = np.frombuffer(places, PLACE)
                 for p, row, first in (ends[:3], ends[3:]):
-                    if p == path:
+                    if p == number:
                         own = own[(own["row"] != row) | (own["first"] != first)]
                 if len(own):
-                    out.append((path, b"", own.tobytes(), 0))
+                    out.append((number, b"", own.tobytes(), 0))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
         return step
 
-    schema = "path string, member binary, repeat binary, n long"
-    others = others.toDF("path", "places", "p1", "r1", "f1", "p2", "r2", "f2")
+    schema = "slice long, member binary, repeat binary, n long"
+    others = others.toDF("slice", "places", "p1", "r1", "f1", "p2", "r2", "f2")
     return map_arrow(members, schema, pack).unionByName(map_arrow(others, schema, rest))
 
 
@@ -564,7 +571,7 @@ def by_first_place(record: np.ndarray, docs: np.ndarray, *keys: np.ndarray) -> n
     return np.lexsort((rank[record["doc"]] << 32 | record["first"], *reversed(keys)))
 
 
-def resolve_bucket(paths: list[str], docs: list[bytes], runs: list[bytes], length: int = LENGTH) -> Iterator[tuple[str, bytes, bytes, int]]:
+def resolve_bucket(numbers: list[int], docs: list[bytes], runs: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, bytes, bytes, int]]:
     """For each slice: the members of suffix arrays with their keys, the repeats, and the members' bytes.
 
     Of every string of a key with more than one place, the first place and one later place are members;
@@ -593,7 +600,7 @@ def resolve_bucket(paths: list[str], docs: list[bytes], runs: list[bytes], lengt
     for first, last in zip(edge, [*edge[1:], len(source)], strict=True):
         own = by_source[first:last]
         member, repeat = own[rank[own] < 2], own[rank[own] >= 2]
-        yield paths[source[own[0]]], place[member].tobytes() + record["key"][member].tobytes(), place[repeat].tobytes(), int(place["count"][member].sum() + len(member) * (length - 1))
+        yield numbers[source[own[0]]], place[member].tobytes() + record["key"][member].tobytes(), place[repeat].tobytes(), int(place["count"][member].sum() + len(member) * (length - 1))
 
 
 #: One string of a suffix array: document in the table, first window, windows, bytes.
@@ -601,11 +608,11 @@ STRING = np.dtype([("doc", "<u4"), ("first", "<u4"), ("count", "u1"), ("size", "
 
 
 def strings_by_array(work: DataFrame, arrays: int, length: int) -> DataFrame:
-    """array, path, docs, strings, text: the members of a slice for each suffix array."""
+    """array, slice, docs, strings, text: the members of a slice for each suffix array."""
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for path, rows, members in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for path, rows, number, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not members:
                     continue
                 texts = read_slice(path)
@@ -626,19 +633,19 @@ def strings_by_array(work: DataFrame, arrays: int, length: int) -> DataFrame:
                     record = np.empty(len(own), STRING)
                     record["doc"], record["first"], record["count"] = doc, own["first"], own["count"]
                     record["size"] = list(map(len, strings))
-                    out.append((int(array[a]), path, table[used].tobytes(), record.tobytes(), b"".join(strings)))
+                    out.append((int(array[a]), number, table[used].tobytes(), record.tobytes(), b"".join(strings)))
                 for i in range(0, len(out), 256):
                     columns = list(zip(*out[i : i + 256], strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(columns[0], pa.int32()), pa.array(columns[1]), *(pa.array(c, pa.binary()) for c in columns[2:])], ["array", "path", "docs", "strings", "text"]
+                        [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[2:])], ["array", "slice", "docs", "strings", "text"]
                     )
 
         return step
 
-    return map_arrow(work, "array int, path string, docs binary, strings binary, text binary", make)
+    return map_arrow(work, "array int, slice long, docs binary, strings binary, text binary", make)
 
 
-def judge_array(paths: list[str], docs: list[bytes], strings: list[bytes], texts: list[bytes], length: int) -> Iterator[tuple[str, bytes]]:
+def judge_array(numbers: list[int], docs: list[bytes], strings: list[bytes], texts: list[bytes], length: int) -> Iterator[tuple[int, bytes]]:
     """For each slice the windows that repeat an earlier one, by one suffix array."""
     tables = [np.frombuffer(d, DOC) for d in docs]
     parts = [np.frombuffer(x, STRING).copy() for x in strings]
@@ -674,7 +681,7 @@ def judge_array(paths: list[str], docs: list[bytes], strings: list[bytes], texts
     out["row"], out["first"], out["count"] = row[edge], window[edge], window[last] - window[edge] + 1
     first_of = np.flatnonzero(np.concatenate([[True], src[edge][1:] != src[edge][:-1]]))
     for a, b in zip(first_of, [*first_of[1:], len(edge)], strict=True):
-        yield paths[src[edge[a]]], out[a:b].tobytes()
+        yield numbers[src[edge[a]]], out[a:b].tobytes()
 
 
 def mark(work: DataFrame, length: int) -> DataFrame:
@@ -715,48 +722,48 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slic
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix")
     rows = write_slices(docs, scratch.folder("slices"), scratch, slice_bytes).withColumn("tie", F.xxhash64("digest"))
-    place = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "path", "row")
+    place = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "slice", "row")
     # only texts that occur more than once are joined, from a written table: a plain join, which can split hot digests
-    best = scratch.table(rows.filter(F.col("n_bytes") >= length).groupBy("digest").agg(F.min(place).alias("best"), F.count("*").alias("n")).filter("n > 1").select("digest", "best.path", "best.row").toDF("digest", "b_path", "b_row"), "best")
-    stands = F.col("b_path").isNull() | ((F.col("b_path") == F.col("path")) & (F.col("b_row") == F.col("row")))
-    told = scratch.table(rows.join(best, "digest", "left").select("path", "row", "doc_id", "n_bytes", "tie", stands.alias("stands")), "told")
-    work = scratch.table(told.filter("stands").groupBy("path").agg(F.collect_list(F.struct("row", "doc_id", "tie")).alias("rows"), F.sum("n_bytes").alias("n_bytes")), "work")
+    best = scratch.table(rows.filter(F.col("n_bytes") >= length).groupBy("digest").agg(F.min(place).alias("best"), F.count("*").alias("n")).filter("n > 1").select("digest", "best.slice", "best.row").toDF("digest", "b_slice", "b_row"), "best")
+    stands = F.col("b_slice").isNull() | ((F.col("b_slice") == F.col("slice")) & (F.col("b_row") == F.col("row")))
+    told = scratch.table(rows.join(best, "digest", "left").select("slice", "path", "row", "doc_id", "n_bytes", "tie", stands.alias("stands")), "told")
+    work = scratch.table(told.filter("stands").groupBy("slice").agg(F.first("path").alias("path"), F.collect_list(F.struct("row", "doc_id", "tie")).alias("rows"), F.sum("n_bytes").alias("n_bytes")), "work")
     sizes = work.agg(F.count("*").alias("n"), F.sum("n_bytes").alias("b")).first()
     copies = told.filter("NOT stands").select(
         "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"), F.lit(b"").alias("kept")
     )
     tasks = max(1, -(-sizes["n"] // max(2, sizes["n"] // 50_000)))
-    dealt = work.select("path", "rows").repartition(tasks, "path")
-    found = hot_minimizers(dealt, length, gram, counters, hot)
+    dealt = work.select("path", "rows", "slice").repartition(tasks, "slice")
+    found = hot_minimizers(dealt, scratch, length, gram, counters, hot)
     records = (sizes["b"] or 0) // ((length - gram + 2) // 2) + 1
     buckets = max(1, -(-records // bucket_records))
 
     def resolve(frame):
         import pandas as pd
 
-        got = list(resolve_bucket(frame["path"].tolist(), frame["docs"].tolist(), frame["runs"].tolist(), length))
-        return pd.DataFrame(got, columns=["path", "member", "repeat", "n"])
+        got = list(resolve_bucket(frame["slice"].tolist(), frame["docs"].tolist(), frame["runs"].tolist(), length))
+        return pd.DataFrame(got, columns=["slice", "member", "repeat", "n"])
 
     # tasks of a fixed size, so that they grow in number with the data
     packed = runs_by_bucket(dealt, found, buckets, length, gram).repartition(-(-buckets // OF_TASK), "bucket")
-    resolved = packed.groupBy("bucket").applyInPandas(resolve, "path string, member binary, repeat binary, n long")
+    resolved = packed.groupBy("bucket").applyInPandas(resolve, "slice long, member binary, repeat binary, n long")
     if len(found):
         strings = scratch.table(hot_strings(dealt, found, length, gram), "hot")
         resolved = resolved.unionByName(resolve_hot(strings, scratch, length))
     resolved = scratch.table(resolved, "resolved")
-    members = resolved.filter("n > 0").groupBy("path").agg(F.collect_list("member").alias("members"), F.sum("n").alias("n"))
+    members = resolved.filter("n > 0").groupBy("slice").agg(F.collect_list("member").alias("members"), F.sum("n").alias("n"))
     arrays = max(1, -(-(resolved.agg(F.sum("n")).first()[0] or 0) // array_bytes))
 
     def judge(frame):
         import pandas as pd
 
-        got = list(judge_array(frame["path"].tolist(), frame["docs"].tolist(), frame["strings"].tolist(), frame["text"].tolist(), length))
-        return pd.DataFrame(got, columns=["path", "repeat"])
+        got = list(judge_array(frame["slice"].tolist(), frame["docs"].tolist(), frame["strings"].tolist(), frame["text"].tolist(), length))
+        return pd.DataFrame(got, columns=["slice", "repeat"])
 
-    asked = work.join(members.select("path", "members"), "path").select("path", "rows", "members").repartition(tasks, "path")
+    asked = work.join(members.select("slice", "members"), "slice").select("path", "rows", "slice", "members").repartition(tasks, "slice")
     sorted_by = strings_by_array(asked, arrays, length).repartition(-(-arrays // OF_TASK), "array")
-    judged = scratch.table(sorted_by.groupBy("array").applyInPandas(judge, "path string, repeat binary"), "judged")
-    repeats = resolved.filter(F.octet_length("repeat") > 0).select("path", "repeat").unionByName(judged).groupBy("path").agg(F.collect_list("repeat").alias("repeats"))
-    final = work.join(repeats, "path", "left").select("path", "rows", F.coalesce("repeats", F.array().cast("array<binary>")).alias("repeats")).repartition(tasks, "path")
+    judged = scratch.table(sorted_by.groupBy("array").applyInPandas(judge, "slice long, repeat binary"), "judged")
+    repeats = resolved.filter(F.octet_length("repeat") > 0).select("slice", "repeat").unionByName(judged).groupBy("slice").agg(F.collect_list("repeat").alias("repeats"))
+    final = work.join(repeats, "slice", "left").select("path", "rows", F.coalesce("repeats", F.array().cast("array<binary>")).alias("repeats"), "slice").repartition(tasks, "slice").drop("slice")
     out = mark(final, length).unionByName(copies)
     return scratch.own(out if with_text else out.drop("kept"))
