@@ -135,8 +135,8 @@ def test_a_shared_line_meets_in_no_task(spark, words):
         docs = frame(spark, [(i, f"{i * 7919} {line} {i * 104729}", "a") for i in range(n)])
         scratch = common.Scratch(spark, "t")
         rows = suffix_dedup.write_slices(docs, scratch.folder("s"), scratch).withColumn("tie", F.xxhash64("digest"))
-        work = rows.groupBy("path").agg(F.collect_list(F.struct("row", "doc_id", "tie")).alias("rows"))
-        hot = suffix_dedup.hot_minimizers(work, 100, 32, 1 << 16, 50)
+        work = rows.groupBy("slice").agg(F.first("path").alias("path"), F.collect_list(F.struct("row", "doc_id", "tie")).alias("rows")).select("path", "rows", "slice")
+        hot = suffix_dedup.hot_minimizers(work, scratch, 100, 32, 1 << 16, 50)
         assert len(hot)
         strings = suffix_dedup.hot_strings(work, hot, 100, 32)
         assert strings.groupBy("key", "content").count().agg(F.max("count")).first()[0] <= work.count()
