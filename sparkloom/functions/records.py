@@ -13,10 +13,16 @@ PAGE_DEFAULTS = {"primary_language": "ko", "is_rotation_valid": True, "rotation_
 PAGE_SCHEMA = "primary_language string, is_rotation_valid boolean, rotation_correction int, is_table boolean, is_diagram boolean, natural_text string, table_matrix string"
 
 
+# Escapes that are broken, and the natural text alone in an answer that is no JSON.
+BROKEN_ESCAPES = (r"\\u[^0-9a-fA-F]", r"\\u[0-9a-fA-F]{0,3}(?![0-9a-fA-F])")
+LONE_TEXT = r'(?s)"natural_text"\s*:\s*"([^"]*(?:\\.[^"]*)*)"'
+
+
 def repaired_json(raw: Column) -> Column:
     """Broken unicode escapes go; an object that was cut off is closed after its last whole string value."""
-    clean = F.regexp_replace(raw, r"\\u[^0-9a-fA-F]", "")
-    clean = F.regexp_replace(clean, r"\\u[0-9a-fA-F]{0,3}(?![0-9a-fA-F])", "")
+    clean = raw
+    for broken in BROKEN_ESCAPES:
+        clean = F.regexp_replace(clean, broken, "")
     last = F.length(clean) - F.instr(F.reverse(clean), ',"')  # characters up to and with the last quote before a comma
     closed = F.when(F.instr(clean, '",') > 1, F.concat(F.left(clean, last.cast("int")), F.lit("}"))).otherwise(F.concat(clean, F.lit('"}')))
     return F.when(F.rtrim(strip(clean)).endswith("}"), clean).otherwise(closed)
@@ -32,8 +38,8 @@ def tolerant_page(raw: Column) -> Column:
     text = F.when(_is_object(raw), raw).when(_is_object(fixed), fixed)
     parsed = F.from_json(text, PAGE_SCHEMA)
     present = F.from_json(text, "map<string,string>")
-    lone = F.regexp_extract(raw, r'(?s)"natural_text"\s*:\s*"([^"]*(?:\\.[^"]*)*)"', 1)
-    found = raw.rlike(r'(?s)"natural_text"\s*:\s*"([^"]*(?:\\.[^"]*)*)"')
+    lone = F.regexp_extract(raw, LONE_TEXT, 1)
+    found = raw.rlike(LONE_TEXT)
     unescaped = F.replace(F.replace(lone, F.lit('\\"'), F.lit('"')), F.lit("\\n"), F.lit("\n"))
 
     def field(name: str) -> Column:

@@ -5,11 +5,15 @@ White space is Unicode white space (``strip``), lengths are code points, arrays
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkloom.functions import calls
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, not wherever it occurs."""
     return F.transform(F.array(value), body)[0]
@@ -194,23 +198,30 @@ def split_reasoning(output: Column, start: str = "<think>", end: str = "</think>
     )
 
 
+def is_one_json_value(text: Column) -> Column:
+    """Whether a text is one JSON value with nothing behind it, which Spark's JSON functions do not ask for: as the only item of a list it
+    makes one, and one more item makes two."""
+    alone, more = (F.json_array_length(F.concat(F.lit("["), text, F.lit(end))) for end in ("]", ",0]"))
+    return F.coalesce((alone == 1) & (more == 2), F.lit(False))
+
+
 CALL = "struct<name:string,arguments:string>"
 
 
 def tagged_tool_calls(output: Column, start: str = "<tool_call>", end: str = "</tool_call>") -> Column:
-    """struct<called, calls, content>: JSON calls between tags. One bad call makes the whole output plain content."""
-    raw = F.filter(
-        F.transform(F.regexp_extract_all(output, F.lit(f"(?s){start}(.*?){end}|{start}(.*)"), F.lit(0)), lambda m: strip(F.regexp_replace(m, f"^{start}|{end}$", ""))),
-        lambda c: c != "",
-    )
+    """struct<called, calls, content>: JSON calls between tags (plain text), the last of which may lack its end. Each piece must be one
+    JSON object with ``name`` and ``arguments``, of which the arguments may be null; otherwise the whole output is plain content."""
+    first, last = re.escape(start), re.escape(end)
+    raw = F.transform(F.regexp_extract_all(output, F.lit(f"(?s){first}.*?{last}|{first}.*"), F.lit(0)), lambda m: strip(F.regexp_replace(m, f"^{first}|{last}$", "")))
     name = F.transform(raw, lambda c: F.get_json_object(c, "$.name"))
-    arguments = F.transform(raw, lambda c: F.get_json_object(c, "$.arguments"))
-    good = (F.size(raw) > 0) & F.forall(name, lambda n: n.isNotNull()) & F.forall(arguments, lambda a: a.isNotNull())
-    calls = F.zip_with(name, arguments, lambda n, a: F.struct(n.alias("name"), a.alias("arguments")).cast(CALL))
+    arguments = F.transform(raw, lambda c: F.coalesce(F.get_json_object(c, "$.arguments"), F.lit("null")))
+    whole = F.forall(raw, lambda c: is_one_json_value(c) & F.coalesce(F.array_contains(F.json_object_keys(c), "arguments"), F.lit(False)))
+    good = (F.size(raw) > 0) & whole & F.forall(name, lambda n: n.isNotNull())
+    made = F.zip_with(name, arguments, lambda n, a: F.struct(n.alias("name"), a.alias("arguments")).cast(CALL))
     before = F.substring_index(output, start, 1)
     return F.struct(
         good.alias("called"),
-        F.when(good, calls).otherwise(F.array().cast(f"array<{CALL}>")).alias("calls"),
+        F.when(good, made).otherwise(F.array().cast(f"array<{CALL}>")).alias("calls"),
         F.when(good, F.when(before != "", before)).otherwise(output).alias("content"),
     )
 
@@ -221,16 +232,21 @@ def bare_json_tool_calls(output: Column) -> Column:
     one = F.from_json(text, "name string, arguments string, parameters string")
     many = F.from_json(text, "array<struct<name:string,arguments:string,parameters:string>>")
     listed = F.when(text.startswith("["), many).when(text.startswith("{"), F.array(one))
-    calls = F.transform(listed, lambda c: F.struct(c["name"].alias("name"), F.coalesce(c["arguments"], c["parameters"]).alias("arguments")).cast(CALL))
-    good = F.coalesce((F.size(calls) > 0) & F.forall(calls, lambda c: c["name"].isNotNull() & c["arguments"].isNotNull()), F.lit(False))
-    return F.struct(good.alias("called"), F.when(good, calls).otherwise(F.array().cast(f"array<{CALL}>")).alias("calls"), F.when(~good, output).alias("content"))
+    made = F.transform(listed, lambda c: F.struct(c["name"].alias("name"), F.coalesce(c["arguments"], c["parameters"]).alias("arguments")).cast(CALL))
+    good = F.coalesce((F.size(made) > 0) & F.forall(made, lambda c: c["name"].isNotNull() & c["arguments"].isNotNull()), F.lit(False))
+    return F.struct(good.alias("called"), F.when(good, made).otherwise(F.array().cast(f"array<{CALL}>")).alias("calls"), F.when(~good, output).alias("content"))
 
 
-#: Parsers of model output by name; ``register_parser`` adds more.
+#: Parsers of model output by name; ``register_parser`` adds more. Those of nested forms tell in ``finished`` whether the output was whole.
 TOOL_PARSERS: dict[str, Callable[[Column], Column]] = {
     "call_tags": tagged_tool_calls,
     "bare_json": bare_json_tool_calls,
-    "bracketed": lambda c: tagged_tool_calls(c, r"\[TOOL_CALLS\]", r"\[/TOOL_CALLS\]"),
+    "bracketed": lambda c: calls.parsed(c, calls.bracket_list),
+    "bracketed_names": lambda c: calls.parsed(c, calls.bracket_list, named=True),
+    "bracket_pairs": lambda c: tagged_tool_calls(c, "[TOOL_CALLS]", "[/TOOL_CALLS]"),
+    "call_expressions": lambda c: calls.parsed(c, calls.call_expressions),
+    "parameter_tags": lambda c: calls.parsed(c, calls.parameter_tags),
+    "argument_pairs": lambda c: calls.parsed(c, calls.argument_pairs),
 }
 REASONING_PARSERS: dict[str, Callable[[Column], Column]] = {
     "think_tags": split_reasoning,

@@ -4,48 +4,88 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkloom.ship import ship
+
+
+def _blocks(tokens: pa.ListArray, size: int) -> tuple[list[str], list[int]]:
+    """The texts of all full blocks, one row's after the other's, and each row's number of them. Null tokens have no text."""
+    offsets = tokens.offsets.to_numpy().astype(np.int64)
+    n = np.diff(offsets) // size
+    first = np.repeat(offsets[:-1] - (np.cumsum(n) - n) * size, n) + np.arange(int(n.sum())) * size
+    at = (first[:, None] + np.arange(size)).ravel()
+    texts = tokens.values.take(pa.array(at)).cast(pa.string())
+    edges = np.arange(0, len(at) + 1, size)
+    if texts.null_count:
+        edges = np.concatenate([[0], np.cumsum(texts.is_valid().to_numpy(zero_copy_only=False))])[edges]
+        texts = texts.drop_null()
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), texts), ",").to_pylist(), n.tolist()
+
 
 def prefix_block_hashes(tokens: Column, size: int, extra: Column | None = None) -> Column:
     """A chained hash for every full block: digest of the parent's hash, the block's tokens and extra keys."""
 
     def chain(rows: pa.Array, extras: pa.Array) -> pa.Array:
-        out = []
-        for row, key in zip(rows, extras.to_pylist(), strict=True):
-            values, parent, hashes = row.as_py(), "root", []
-            for first in range(0, len(values or []) // size * size, size):
-                block = ",".join(str(v) for v in values[first : first + size] if v is not None)
-                parent = hashlib.sha256(f"{parent}|{block}|{key or ''}".encode()).hexdigest()
+        blocks, counts = _blocks(rows, size)
+        out, at = [], 0
+        for n, key, valid in zip(counts, extras.to_pylist(), rows.is_valid().to_pylist(), strict=True):
+            parent, tail, hashes = "root", f"|{key or ''}", []
+            for block in blocks[at : at + n]:
+                parent = hashlib.sha256(f"{parent}|{block}{tail}".encode()).hexdigest()
                 hashes.append(parent)
-            out.append(None if values is None else hashes)
+            out.append(hashes if valid else None)
+            at += n
         return pa.array(out, pa.list_(pa.string()))
 
     key = F.lit("") if extra is None else F.coalesce(extra.cast("string"), F.lit(""))
+    ship()
     return F.arrow_udf(chain, "array<string>")(tokens, key)
 
 
+def longest_repeat(tokens: list, shortest: int, longest: int) -> tuple[int, int]:
+    """Width of the longest suffix, of ``shortest`` to ``longest`` tokens, that occurs earlier as well, and where it first does; (0, 0)
+    if none. One pass: the suffix is searched backwards with its prefix function, so a place is never compared twice."""
+    suffix = tokens[: -longest - 1 : -1]
+    border = [0] * len(suffix)  # of the first i + 1 tokens of the reversed suffix
+    for i in range(1, len(suffix)):
+        k = border[i - 1]
+        while k and suffix[i] != suffix[k]:
+            k = border[k - 1]
+        border[i] = k + (suffix[i] == suffix[k])
+    width = matched = at = 0
+    for i in range(len(tokens) - 2, -1, -1):
+        token = tokens[i]
+        if matched == len(suffix):
+            matched = border[matched - 1]
+        while matched and suffix[matched] != token:
+            matched = border[matched - 1]
+        matched += suffix[matched] == token
+        if matched >= width and matched:
+            width, at = matched, i  # the farther back, the earlier
+    return (width, at) if width >= shortest else (0, 0)
+
+
 def ngram_proposal(tokens: Column, shortest: int, longest: int, k: int, most: int) -> Column:
     """The next k tokens after the earliest earlier occurrence of the longest suffix n-gram; null if there is none.
 
-    Proposals stop at ``most`` tokens in all; lengths are tried from ``longest`` down.
+    Proposals stop at ``most`` tokens in all. Texts of any length are searched in one pass.
     """
-    n = F.size(tokens)
-    take = F.least(F.lit(k), F.lit(most) - n)
-    out = F.lit(None).cast("array<int>")
-    for width in range(shortest, longest + 1):
-        suffix = F.slice(tokens, n - width + 1, F.lit(width))
-        hit = F.filter(F.sequence(F.lit(1), F.greatest(n - width, F.lit(1))), _matches(tokens, suffix, width))
-        proposal = F.slice(tokens, hit[0] + width, F.greatest(F.lit(0), F.least(take, n - hit[0] - width + 1)))
-        found = (n > width) & (take > 0)
-        out = F.when(found, F.when(F.size(hit) > 0, proposal).otherwise(out)).otherwise(out)
-    return out
-
-
-def _matches(tokens: Column, pattern: Column, width: int):
-    return lambda i: F.slice(tokens, i, F.lit(width)) == pattern
+
+    def propose(rows: pa.Array) -> pa.Array:
+        out = []
+        for row in rows.to_pylist():
+            take = 0 if row is None else min(k, most - len(row))
+            width, at = longest_repeat(row, shortest, longest) if take > 0 else (0, 0)
+            out.append(row[at + width : at + width + take] if width else None)
+        return pa.array(out, rows.type)
+
+    ship()
+    return F.arrow_udf(propose, "array<int>")(tokens.cast("array<int>"))
 
 
 def ends_with_bad_prefix(tokens: Column, bad: list[int]) -> Column:

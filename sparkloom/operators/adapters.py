@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.functions import grammar
 from sparkloom.ship import ship
 
 _LOADED: dict[str, Any] = {}
@@ -298,11 +299,13 @@ def processed(rows: DataFrame, processors: list[LogitsProcessor], greedy: bool =
 
 
 def meets(output: Column, kind: str, rule) -> Column:
-    """Whether an output meets a constraint: json (schema text), regex, or choice (list)."""
+    """Whether an output meets a constraint: json (schema text), regex, choice (list) or grammar (rules, see ``functions.grammar``)."""
     if kind == "json":
         return F.coalesce(F.try_parse_json(output).isNotNull() & F.from_json(output, rule).isNotNull(), F.lit(False))
     if kind == "regex":
         return output.rlike(f"^(?:{rule})$")
     if kind == "choice":
         return output.isin(*rule)
+    if kind == "grammar":
+        return F.coalesce(grammar.recognised(output, rule)["accepted"], F.lit(False))
     raise ValueError(f"unknown constraint {kind}")

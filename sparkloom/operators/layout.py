@@ -52,8 +52,8 @@ def max_size_filter(boxes: DataFrame, width: float = 800, height: float = 850) -
 
 
 def with_thresholds(detections: DataFrame, classes: DataFrame) -> DataFrame:
-    """Detections at or above the threshold of their class, with its name. The class list is a fixed small dimension."""
-    return detections.join(F.broadcast(classes), "class_id").filter(F.col("score") >= F.col("threshold"))
+    """Detections at or above the threshold of their class, with its name. Spark broadcasts the class list where it is small."""
+    return detections.join(classes, "class_id").filter(F.col("score") >= F.col("threshold"))
 
 
 def column_leaders(x: Column, near: float = X_NEAR) -> Column:

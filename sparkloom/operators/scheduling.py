@@ -38,9 +38,11 @@ def zipped(prompts: DataFrame, params: DataFrame, shared: bool = False) -> DataF
 
 
 def scored_pairs(queries: DataFrame, documents: DataFrame, shared: bool = False) -> DataFrame:
-    """pos, score: pairs by position, or with ``shared`` the one query against all documents; cosine of ``vector``."""
+    """pos, score: pairs by position, or with ``shared`` the one query against all documents (an error unless it is one); cosine of ``vector``."""
     if shared:
-        pairs = documents.crossJoin(F.broadcast(queries.agg(F.first("vector").alias("q"))))
+        one = queries.agg(F.count("*").alias("_n"), F.first("vector").alias("_v"))
+        checked = one.select(F.when(F.col("_n") == 1, F.col("_v")).otherwise(F.raise_error(F.lit("a query that is shared is one row"))).alias("q"))
+        pairs = documents.crossJoin(F.broadcast(checked))
     else:
         pairs = documents.join(queries.select("pos", F.col("vector").alias("q")), "pos")
     return pairs.select("pos", cosine(F.col("q"), F.col("vector")).alias("score"))

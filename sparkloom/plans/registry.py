@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import base, files, layout, metrics, relational, sampling, text
+from sparkloom.plans import base, files, layout, metrics, outputs, relational, sampling, text
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,4 +22,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(base.SQL)
 
 
-__all__ = ["files", "flagship", "layout", "metrics", "oracle_sql", "queries", "relational", "sampling"]
+__all__ = ["files", "flagship", "layout", "metrics", "oracle_sql", "outputs", "queries", "relational", "sampling"]

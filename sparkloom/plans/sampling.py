@@ -184,11 +184,11 @@ def _(t: Tables):
     return Q.cached_prefix(rows, cache, 4).select("req", "blocks")
 
 
-@query("jsn10_ngram_lookup", f"""WITH {TK}, s AS (SELECT doc_id, tokens AS t, 100 - len(tokens) AS room FROM t),
+@query("jsn10_ngram_lookup", f"""WITH {TK}, s AS (SELECT doc_id, tokens AS t, 1000000 - len(tokens) AS room FROM t),
 m AS (SELECT doc_id, t, len(t) AS n, room, list_filter(range(1, len(t) - 2), lambda i: t[i:i + 2] = t[-3:]) AS m3, list_filter(range(1, len(t) - 1), lambda i: t[i:i + 1] = t[-2:]) AS m2 FROM s)
 SELECT doc_id, array_to_string(CASE WHEN room <= 0 THEN NULL WHEN n > 3 AND len(m3) > 0 THEN t[m3[1] + 3 : least(m3[1] + 2 + least(3, room), n)] WHEN n > 2 AND len(m2) > 0 THEN t[m2[1] + 2 : least(m2[1] + 1 + least(3, room), n)] END, ',') AS proposal FROM m""")
 def _(t: Tables):
-    p = K.ngram_proposal(F.col("tokens"), 2, 3, 3, 100)
+    p = K.ngram_proposal(F.col("tokens"), 2, 3, 3, 1_000_000)
     return tokens(t).select("doc_id", F.array_join(F.transform(p, lambda x: x.cast("string")), ",").alias("proposal"))
 
 
@@ -221,13 +221,21 @@ def _(t: Tables):
     return t("lineitem").select("l_orderkey", "l_linenumber", K.slot(F.col("l_linenumber"), F.array(F.lit(7), F.lit(3), F.lit(9)), 4).cast("int").alias("slot"))
 
 
-@query("jsn19_merged_logprobs", "SELECT vec_id, CASE WHEN vec_id % 64 < 2 THEN 2 ELSE 3 END AS n FROM embeddings")
+@query("jsn19_merged_logprobs", """WITH e AS (SELECT vec_id, CAST(i - 1 AS INT) AS token, CAST(embedding[i] AS DOUBLE) AS logprob FROM embeddings, unnest(range(1, 65)) u(i)),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY logprob DESC, token) AS rank FROM e)
+SELECT vec_id, string_agg(token || ':' || rank, ',' ORDER BY token) AS entries, round(sum(logprob), 6) AS total FROM r WHERE rank <= 5 OR token = vec_id % 64 GROUP BY vec_id""")
 def _(t: Tables):
+    """The five best of all components, and the sampled one with its rank among them all."""
     from sparkloom.functions.records import merged_logprobs
 
-    top = F.array(*[F.struct(F.lit(i).alias("token"), F.col("embedding")[i].alias("logprob")) for i in (0, 1)])
-    m = merged_logprobs((F.col("vec_id") % 64).cast("int"), F.lit(-1.0), F.lit(9), top)
-    return t("embeddings").select("vec_id", F.size(m).alias("n"))
+    entry = "array<struct<token:int,logprob:double>>"
+    best = F.array_sort(F.transform("embedding", lambda x, i: F.struct((-x.cast("double")).alias("key"), i.alias("token"))))
+    rows = t("embeddings").select("vec_id", F.transform(best, lambda b: F.struct(b["token"].alias("token"), (-b["key"]).alias("logprob"))).cast(entry).alias("ranked"), (F.col("vec_id") % 64).cast("int").alias("sampled"))
+    rank = F.array_position(F.transform("ranked", lambda r: r["token"]), F.col("sampled")).cast("int")
+    own = F.element_at("ranked", rank)
+    m = rows.select("vec_id", F.array_sort(F.map_entries(merged_logprobs(F.col("sampled"), own["logprob"], rank, F.slice("ranked", 1, 5)))).alias("m"))
+    entries = F.array_join(F.transform("m", lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"]["rank"].cast("string"))), ",")
+    return m.select("vec_id", entries.alias("entries"), F.round(F.aggregate("m", F.lit(0.0), lambda a, e: a + e["value"]["logprob"]), 6).alias("total"))
 
 
 @query("ag21_token_counts", f"WITH {TK} SELECT token_id, sum(n) AS n, count(*) AS docs FROM (SELECT doc_id, token_id, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS token_id FROM t) GROUP BY ALL) GROUP BY token_id")
