@@ -15,6 +15,7 @@ from sparkloom.operators import adapters as A
 from sparkloom.operators import documents as D
 from sparkloom.plans.base import BOXES, LOGITS_SQL, Tables, boxes, logits, query
 from sparkloom.sources import files as S
+from sparkloom.sources.content import content_type
 from sparkloom.streaming.operators import with_dead_letters
 
 #: Documents as files: every seventh below a metadata folder.
@@ -41,6 +42,18 @@ def _(t: Tables):
     return S.inventory(_files(t)).select("file_path", "file_name", "file_size", "file_extension", "file_hash_md5")
 
 
+# The first bytes of some types.
+_HEADS = {"255044462D": "application/pdf", "89504E470D0A1A0A": "image/png", "FFD8FF": "image/jpeg", "524946460000000057415645": "audio/x-wav", "524946460000000057454250": "image/webp", "0000002066747970": "video/mp4", "00": "application/octet-stream"}
+
+
+@query("src2_content_types", f"""SELECT page_id, CASE page_id % 8 {" ".join(f"WHEN {i} THEN '{kind}'" for i, kind in enumerate(_HEADS.values()))} ELSE 'text/html' END AS mime_type FROM {{pages}}""")
+def _(t: Tables):
+    """Pages behind the first bytes of other types, or as they are, which is HTML."""
+    head = F.unhex(F.element_at(F.array(*[F.lit(h) for h in _HEADS], F.lit("3C68746D6C3E")), (F.col("page_id") % 8 + 1).cast("int")))
+    rows = t("pages").select("page_id", content_type(F.concat(head, F.col("html").cast("binary"))).alias("k"))
+    return rows.select("page_id", F.regexp_replace("k.mime_type", "^text/.*", "text/html").alias("mime_type"))
+
+
 @query("src5_layout_discovery", f"SELECT string_split(path, '/')[-2] AS doc, doc_id % 50 AS page, count(*) AS n FROM (SELECT doc_id, {_PATH} AS path FROM {{documents}}) WHERE path LIKE '%layout_%' AND lower(path) LIKE '%.json' GROUP BY ALL")
 def _(t: Tables):
     rows = _files(t).filter(F.col("path").contains("layout_") & (T.extension(F.col("path")) == ".json"))
@@ -154,6 +167,19 @@ def _(t: Tables):
     return mixed.select("vec_id", F.posexplode("x").alias("i", "sample")).select("vec_id", "i", F.round("sample", 6).alias("sample"))
 
 
+_WEIGHT = "CASE WHEN abs(t) >= 6 THEN 0 WHEN t = 0 THEN 1 ELSE sin(pi() * t) / (pi() * t) * pow(cos(t * pi() / 12), 2) END"
+
+
+@query("mth17_band_limited", f"""WITH s AS (SELECT vec_id, j, (CAST(embedding[j + 1] AS DOUBLE) + CAST(embedding[j + 33] AS DOUBLE)) / 2 AS x FROM embeddings, unnest(range(0, 32)) u(j)),
+w AS (SELECT vec_id, i, x, (j / 441.0::DOUBLE - i / 160.0::DOUBLE) * 158.4 AS t FROM s, unnest(range(0, 12)) u(i))
+SELECT vec_id, CAST(i AS INT) AS i, round(sum(x * {_WEIGHT}) * 158.4 / 441, 6) + 0.0 AS sample FROM w GROUP BY vec_id, i""")
+def _(t: Tables):
+    """Left and right channel of 32 samples each, from 44.1 to 16 kHz and mixed."""
+    channels = F.array(F.slice("embedding", 1, 32), F.slice("embedding", 33, 32))
+    mixed = t("embeddings").select("vec_id", V.waveform(channels, 44_100).alias("x"))
+    return mixed.select("vec_id", F.posexplode("x").alias("i", "sample")).select("vec_id", "i", (F.round("sample", 6) + 0.0).alias("sample"))
+
+
 @query("mth19_unwarp", """WITH g AS (SELECT vec_id, embedding AS e, y, x, 1.75 + 1.75 * x AS px, 1.75 * y AS py FROM embeddings, unnest(range(0, 3)) a(x), unnest(range(0, 5)) b(y)),
 f AS (SELECT *, CAST(floor(px) AS BIGINT) AS x0, least(CAST(floor(py) AS BIGINT), 6) AS y0 FROM g)
 SELECT vec_id, CAST(y AS INT) AS y, CAST(x AS INT) AS x, round((CAST(e[y0 * 8 + x0 + 1] AS DOUBLE) * (1 - px + x0) + CAST(e[y0 * 8 + x0 + 2] AS DOUBLE) * (px - x0)) * (1 - py + y0)

@@ -22,6 +22,23 @@ def _(t: Tables):
     return out.select("model", "count", *[F.round(c, 6).alias(c) for c in out.columns if c not in ("model", "count", "min", "max")], "min", "max")
 
 
+@query("ag10_sketches", f"WITH {RQ} SELECT model, count(latency) AS n, round(avg(latency), 6) AS mean, true AS within, true AS members FROM r GROUP BY model")
+def _(t: Tables):
+    """Sketches by model and day, merged by model, against exact ranks: within 1 % of the rows, members within 5 %."""
+    rows = requests(t).select("model", F.to_date("ts").alias("day"), "latency", "prompt_len")
+    by_day = M.sketched(rows, "latency", ("model", "day"), "prompt_len")
+    ranks = (0.25, 0.5, 0.9, 0.99)
+    told = M.described_sketches(M.merged_sketches(by_day, ("model",)), ranks)
+    q = {r: F.col("p" + str(r)[2:]) for r in ranks}
+    shares = [F.count_if(F.col("latency") < c).alias(f"b{i}") for i, c in enumerate(q.values())] + [F.count_if(F.col("latency") <= c).alias(f"a{i}") for i, c in enumerate(q.values())]
+    exact = rows.join(told, "model").groupBy("model", "n", "mean", F.col("members").alias("told")).agg(*shares, F.count_distinct("prompt_len").alias("true"))
+    near = [(F.col(f"b{i}") <= (r + 0.01) * F.col("n")) & (F.col(f"a{i}") >= (r - 0.01) * F.col("n")) for i, r in enumerate(ranks)]
+    within = near[0]
+    for x in near[1:]:
+        within = within & x
+    return exact.select("model", "n", F.round("mean", 6).alias("mean"), within.alias("within"), (F.abs(F.col("told") - F.col("true")) <= 0.05 * F.col("true") + 1).alias("members"))
+
+
 @query("ag11_latency_summary", f"""WITH {RQ} SELECT model, round(avg(ttft * 1000), 6) AS mean_ms, round(stddev_pop(ttft * 1000), 6) AS std_ms, round(quantile_cont(ttft * 1000, 0.5), 6) AS median_ms, round(quantile_cont(ttft * 1000, 0.5), 6) AS p5_ms, round(quantile_cont(ttft * 1000, 0.99), 6) AS p99_ms FROM r GROUP BY model""")
 def _(t: Tables):
     out = M.latency_summary(requests(t), "ttft", ("model",))
@@ -61,9 +78,14 @@ def _(t: Tables):
     return M.bucket_histogram(requests(t), "output_tokens", one_two_five(50), ("model",))
 
 
-@query("ag18_bucket_bounds", "SELECT unnest([1, 2, 5, 10, 20, 50, 100, 200, 500, 1000]) AS bound")
+@query("ag18_bucket_bounds", f"""WITH {RQ}, b AS (SELECT DISTINCT CAST(m * pow(10, e) AS INT) AS bound FROM (VALUES (1), (2), (5)) v(m), range(0, 9) t(e), (SELECT max(prompt_len) AS most FROM r) WHERE m * pow(10, e) <= most)
+SELECT bound, count(*) FILTER (WHERE prompt_len <= bound) AS n FROM b, r GROUP BY bound""")
 def _(t: Tables):
-    return t.spark.createDataFrame([(b,) for b in one_two_five(1000)], "bound int")
+    """Bounds up to the longest prompt, and the prompts within each."""
+    rows = requests(t)
+    bounds = one_two_five(rows.agg(F.max("prompt_len")).first()[0] or 0)
+    counts = rows.agg(*[F.count_if(F.col("prompt_len") <= b).alias(str(b)) for b in bounds])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(b).alias("bound"), F.col(str(b)).alias("n")) for b in bounds])).alias("r")).select("r.*")
 
 
 _LIFE = "SELECT o_orderkey AS req, e.name AS event, CAST(o_orderkey * 10 + e.off * (o_orderkey % 5 + 1) AS DOUBLE) AS ts FROM {orders}, (SELECT 'arrived' AS name, 0 AS off UNION ALL SELECT 'queued', 1 UNION ALL SELECT 'scheduled', 3 UNION ALL SELECT 'first_token', 4 UNION ALL SELECT 'finished', 9) e"
@@ -107,6 +129,16 @@ def _(t: Tables):
     return out.select("sample", F.round("ms_ssim", 6).alias("ms_ssim"), F.round("ld", 6).alias("ld"))
 
 
+@query("ag25_pixels")
+def _(t: Tables):
+    """Every image of 8 x 8 against the next one."""
+    grid = lambda c: F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice(c, r * 8 + 1, F.lit(8)))
+    rows = t("embeddings").select("vec_id", "embedding")
+    pairs = rows.join(rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next")), "vec_id")
+    out = pairs.select("vec_id", M.pixel_similarity(grid("embedding"), grid("next"), 2.0).alias("s"))
+    return out.select("vec_id", F.round("s.ms_ssim", 6).alias("ms_ssim"), F.round(F.col("s.levels")[0], 6).alias("first"))
+
+
 _STATS = "SELECT CAST(user_id AS BIGINT) AS cache, CAST(event_id AS BIGINT) AS seq, CAST(event_id % 5 + 1 AS INT) AS requests, CAST(event_id % 90 AS INT) AS queries, CAST(event_id % 30 AS INT) AS hits FROM {events}"
 
 

@@ -82,9 +82,14 @@ def _(t: Tables):
     return t.sql("SELECT count(*) AS n, round(sum(l_extendedprice), 2) AS total FROM {lineitem} l WHERE l_quantity < (SELECT 0.5 * avg(l_quantity) FROM {lineitem} x WHERE x.l_partkey = l.l_partkey)")
 
 
-@query("rel_recursive_cte", "WITH RECURSIVE s AS (SELECT 1 AS n, 1 AS f UNION ALL SELECT n + 1, f * (n + 1) FROM s WHERE n < 10) SELECT n, f FROM s")
+_HALVED = """WITH RECURSIVE s(c_custkey, rest, depth) AS (SELECT c_custkey, CAST(c_custkey AS BIGINT), 0 FROM {customer}
+UNION ALL SELECT c_custkey, CAST(floor(rest / 2) AS BIGINT), depth + 1 FROM s WHERE rest > 1) SELECT c_custkey, max(depth) AS depth FROM s GROUP BY c_custkey"""
+
+
+@query("rel_recursive_cte", _HALVED)
 def _(t: Tables):
-    return t.sql("WITH RECURSIVE s(n, f) AS (SELECT 1, 1 UNION ALL SELECT n + 1, f * (n + 1) FROM s WHERE n < 10) SELECT n, f FROM s")
+    """How often a customer's key can be halved."""
+    return t.sql(_HALVED)
 
 
 @query("rel_decimals", "SELECT o_orderstatus, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DECIMAL(28, 2)) AS total FROM {orders} GROUP BY 1")
@@ -115,6 +120,15 @@ def _(t: Tables):
     return R.asof_join(e.filter("event_type <> 'purchase'").select("user_id", "event_id"), right, "user_id", "event_id", ["last_purchase"]).select("event_id", "last_purchase")
 
 
+@query("rel_bucketed_asof_join", "SELECT a.event_id, b.event_id AS last_purchase, b.value AS last_value FROM (SELECT * FROM {events} WHERE event_type <> 'purchase') a ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') b ON a.user_id % 3 = b.user_id % 3 AND a.event_id >= b.event_id")
+def _(t: Tables):
+    """Three hot keys, whose rows are many buckets."""
+    e = t("events").select("event_id", (F.col("user_id") % 3).alias("k"), "event_type", "value")
+    right = e.filter("event_type = 'purchase'").select("k", "event_id", F.col("event_id").alias("last_purchase"), F.col("value").alias("last_value"))
+    left = e.filter("event_type <> 'purchase'").select("k", "event_id")
+    return R.bucketed_asof_join(left, right, "k", "event_id", ["last_purchase", "last_value"], 2000).select("event_id", "last_purchase", "last_value")
+
+
 @query("rel_range_join", "SELECT s_suppkey, count(*) AS n FROM {lineitem} JOIN (SELECT s_suppkey, s_suppkey * 10 AS low, s_suppkey * 10 + 25 AS high FROM {supplier}) ON l_partkey >= low AND l_partkey < high GROUP BY s_suppkey")
 def _(t: Tables):
     ranges = t("supplier").select("s_suppkey", (F.col("s_suppkey") * 10).alias("low"), (F.col("s_suppkey") * 10 + 25).alias("high"))

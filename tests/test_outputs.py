@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import calls, grammar, patterns, tokens
 from sparkloom.functions import text as T
-from sparkloom.operators import adapters, scheduling
+from sparkloom.operators import adapters, detokenising, scheduling
 from sparkloom.plans.outputs import JSON_GRAMMAR
 
 
@@ -283,6 +283,22 @@ def test_ten_thousand_patterns_take_one_pass(spark):
         patterns.stop_at_any(F.lit("x"), ["a" * (patterns.MOST_BYTES + 1)])
 
 
+def test_many_stops_of_a_token_stream_equal_one_by_one(spark, monkeypatch):
+    rng = random.Random(9)
+    stops = tuple(dict.fromkeys("".join(rng.choices("abé", k=rng.randint(2, 4))) for _ in range(20)))
+    for _ in range(300):
+        data = "".join(rng.choices("abécd", k=rng.randint(1, 30))).encode()
+        pieces = [data[i : i + 2] for i in range(0, len(data), 2)]
+        options = {"stop": stops, "least": rng.choice([0, 3]), "include": rng.random() < 0.5}
+        many = list(detokenising.deltas(pieces, **options))
+        monkeypatch.setattr(detokenising, "automaton", lambda stop: None)
+        assert list(detokenising.deltas(pieces, **options)) == many
+        monkeypatch.undo()
+    rows = spark.createDataFrame([(1, 2, b"\xa9c"), (1, 0, b"a"), (1, 1, b"\xc3"), (2, 0, b"x")], "req int, pos int, piece binary")
+    got = sorted(map(tuple, detokenising.detokenised(rows).collect()))
+    assert got == [(1, 0, "a", None), (1, 1, "", None), (1, 2, "éc", None), (2, 0, "x", None)]
+
+
 def test_masked_tokens_equal_word_by_word(spark):
     rng = random.Random(7)
     bad = [[rng.randrange(3) for _ in range(rng.randint(1, 4))] for _ in range(25)] + [[]]
