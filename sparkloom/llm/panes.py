@@ -207,8 +207,11 @@ def _records(batch, hour, click_id, n_rows, cents, record, kind) -> pd.DataFrame
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
-    """A session of the same context whose streams keep their state in RocksDB, which ``MapState`` needs."""
+    """A session of the same context whose streams keep their state in RocksDB, which ``MapState`` needs. A start runs one batch, so
+    executors close their stores with it and hold no space ahead."""
     own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
