@@ -59,26 +59,31 @@ def split_chunks(text: Column, most: int = 3000) -> Column:
         long = F.transform(sentences(p), lambda s: F.struct(s.alias("text"), F.lit(" ").alias("sep"), F.lit(2).alias("room")))
         return F.when(F.length(p) > most, long.cast(piece)).otherwise(short.cast(piece))
 
-    # closed chunks gather in blocks, so that a long text does not copy all of them for every new one
-    none = F.array().cast("array<string>")
-    start = F.struct(F.array().cast("array<array<string>>").alias("blocks"), none.alias("done"), F.lit("").alias("open"))
+    # the fold carries places only: where the open chunk began, its length, and the ends of those before it
+    bounds = "array<struct<first:int,last:int>>"
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("first"), F.lit(0).alias("open"), F.array().cast(bounds).alias("done"))
 
     def closed(acc: Column) -> Column:
-        return F.when(acc["open"] != "", F.concat(F.flatten(acc["blocks"]), acc["done"], F.array(strip(acc["open"])))).otherwise(F.concat(F.flatten(acc["blocks"]), acc["done"]))
+        whole = F.array(F.struct(acc["first"].alias("first"), (acc["at"] - 1).alias("last")))
+        return F.when(acc["open"] > 0, F.concat(acc["done"], whole)).otherwise(acc["done"])
 
     def add(acc: Column, x: Column) -> Column:
-        fits = F.length(acc["open"]) + F.length(x["text"]) + x["room"] <= most
-        joined = F.when(acc["open"] != "", F.concat(acc["open"], x["sep"], x["text"])).otherwise(x["text"])
-        full = F.size(acc["done"]) >= 256
-        more = F.when(acc["open"] != "", F.array(strip(acc["open"]))).otherwise(none)
+        fits = acc["open"] + x["n"] + x["room"] <= most
+        joins = fits & (acc["open"] > 0)
         return F.struct(
-            F.when(~fits & full, F.concat(acc["blocks"], F.array(acc["done"]))).otherwise(acc["blocks"]).alias("blocks"),
-            F.when(fits, acc["done"]).when(full, more).otherwise(F.concat(acc["done"], more)).alias("done"),
-            F.when(fits, joined).otherwise(x["text"]).alias("open"),
+            (acc["at"] + 1).alias("at"),
+            F.when(joins, acc["first"]).otherwise(acc["at"]).alias("first"),
+            F.when(joins, acc["open"] + x["sep"] + x["n"]).otherwise(x["n"]).alias("open"),
+            F.when(fits, acc["done"]).otherwise(closed(acc)).alias("done"),
         )
 
+    def cut(all_: Column) -> Column:
+        sizes = F.transform(all_, lambda p: F.struct(F.length(p["text"]).alias("n"), F.length(p["sep"]).alias("sep"), p["room"].alias("room")))
+        text_of = lambda own: F.array_join(F.transform(own, lambda p, i: F.when(i == 0, p["text"]).otherwise(F.concat(p["sep"], p["text"]))), "")
+        return F.transform(F.aggregate(sizes, start, add, closed), lambda b: strip(text_of(F.slice(all_, b["first"] + 1, b["last"] - b["first"] + 1))))
+
     def whole(value: Column) -> Column:
-        packed = F.aggregate(F.flatten(F.transform(F.split(value, "\n\n", -1), pieces)), start, add, closed)
+        packed = let(F.flatten(F.transform(F.split(value, "\n\n", -1), pieces)), cut)
         return F.when(F.coalesce(value, F.lit("")) == "", F.array().cast("array<string>")).when(F.length(value) <= most, F.array(value)).otherwise(packed)
 
     return let(text, whole)
