@@ -52,6 +52,26 @@ def range_join(points: DataFrame, ranges: DataFrame, value: str, low: str, high:
     return points.withColumn("_cell", F.floor(F.col(value) / width)).join(cells, "_cell").filter((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("_cell")
 
 
+def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], start: str, end: str, width: float, right_prefix: str = "right_") -> DataFrame:
+    """Pairs of rows of equal keys whose intervals [start, end) share an instant: an equi-join on keys and cells of ``width``.
+
+    Both sides name their columns alike; those of the right but the keys get a prefix. An interval lies in every cell that it
+    touches, and a pair is made in the first cell that both touch, so no pair comes twice. Long intervals want wide cells. Empty intervals
+    and nulls match nothing.
+    """
+
+    def celled(rows: DataFrame, name: str) -> DataFrame:
+        some = rows.filter(F.col(start) < F.col(end))
+        first, last = F.floor(F.col(start) / width), F.ceil(F.col(end) / width) - 1
+        return some.withColumn(f"_first_{name}", first).withColumn("_cell", F.explode(F.sequence(first, last)))
+
+    named = {c: f"{right_prefix}{c}" for c in right.columns if c not in keys}
+    a, b = celled(left, "a"), celled(right, "b").withColumnsRenamed(named)
+    pairs = a.join(b, [*keys, "_cell"]).filter(F.col("_cell") == F.greatest("_first_a", "_first_b"))
+    meet = (F.col(start) < F.col(named[end])) & (F.col(named[start]) < F.col(end))
+    return pairs.filter(meet).select(*left.columns, *named.values())
+
+
 def salted_sum(rows: DataFrame, key: str, value: Column, salts: int = 16) -> DataFrame:
     """Sum and count by key in two steps, so that a hot key's rows are spread first."""
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts))

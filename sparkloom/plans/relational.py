@@ -135,6 +135,16 @@ def _(t: Tables):
     return R.range_join(t("lineitem").select("l_partkey"), ranges, "l_partkey", "low", "high", 32).groupBy("s_suppkey").agg(F.count("*").alias("n"))
 
 
+_INTERVALS = "SELECT event_id, user_id % 20 AS k, CAST(event_id AS BIGINT) AS start_, CAST(event_id + event_id % 60 AS BIGINT) AS end_, event_type FROM {events}"
+
+
+@query("rel_overlap_join", f"WITH i AS ({_INTERVALS}) SELECT a.event_id, b.event_id AS other, least(a.end_, b.end_) - greatest(a.start_, b.start_) AS shared FROM i a JOIN i b ON a.k = b.k AND a.start_ < b.end_ AND b.start_ < a.end_ AND a.start_ < a.end_ AND b.start_ < b.end_ WHERE a.event_type = 'purchase' AND b.event_type <> 'purchase'")
+def _(t: Tables):
+    i = t.sql(_INTERVALS)
+    out = R.overlap_join(i.filter("event_type = 'purchase'").drop("event_type"), i.filter("event_type <> 'purchase'").drop("event_type"), ["k"], "start_", "end_", 64)
+    return out.select("event_id", F.col("right_event_id").alias("other"), (F.least("end_", "right_end_") - F.greatest("start_", "right_start_")).alias("shared"))
+
+
 @query("rel_salted_aggregate", "SELECT l_returnflag, round(sum(l_quantity), 2) AS total, count(*) AS n FROM {lineitem} GROUP BY 1")
 def _(t: Tables):
     rows = t("lineitem").select("l_returnflag", "l_quantity", "l_orderkey")

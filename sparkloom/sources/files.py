@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T
+from sparkloom.sources.content import content_type
 
 # Image suffixes that are collected; layout page schema.
 IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png", ".bmp", ".tiff", ".tif", ".webp")
@@ -24,7 +25,9 @@ def scan_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
 
 
 def inventory(files: DataFrame) -> DataFrame:
-    """One metadata row a file. Only ``md5`` reads the content; without that column it is pruned from the scan."""
+    """One metadata row a file. ``mime_type`` and its encoding are told by the content, ``mime_type_guess`` by the suffix. Only the hash
+    and the type read the content; without those columns it is pruned from the scan."""
+    kind = content_type(F.col("content"))
     guess = F.lit(None).cast("string")
     suffix = T.extension(F.col("path"))
     for ext, mime in MIME.items():
@@ -35,6 +38,8 @@ def inventory(files: DataFrame) -> DataFrame:
         F.col("length").alias("file_size"),
         suffix.alias("file_extension"),
         F.md5("content").alias("file_hash_md5"),
+        kind["mime_type"].alias("mime_type"),
+        kind["mime_encoding"].alias("mime_encoding"),
         guess.alias("mime_type_guess"),
         F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss").alias("modified_time"),
     )

@@ -315,3 +315,17 @@ def test_a_hot_key_is_many_tasks(spark):
     rows = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("t"))
     joined = relational.bucketed_asof_join(rows, rows.select("k", "t", F.col("t").alias("v")), "k", "t", ["v"], 2000)
     assert joined.filter("v <> t").count() == 0 and joined.count() == 20_000
+
+
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_overlap_join_equals_all_pairs(spark, width):
+    rng = random.Random(5)
+
+    def made(n):
+        return [(rng.choice([1, 2, None]), rng.choice([None, *range(-20, 20)]), rng.choice([None, *range(-20, 25)]), i) for i in range(n)]
+
+    left, right = made(60), made(60)
+    a, b = (spark.createDataFrame(r, "k int, s int, e int, id int") for r in (left, right))
+    got = sorted((r.id, r.right_id) for r in relational.overlap_join(a, b, ["k"], "s", "e", width).collect())
+    whole = lambda r: r[0] is not None and r[1] is not None and r[2] is not None and r[1] < r[2]
+    assert got == sorted((x[3], y[3]) for x in left for y in right if whole(x) and whole(y) and x[0] == y[0] and x[1] < y[2] and y[1] < x[2])
