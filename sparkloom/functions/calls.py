@@ -413,15 +413,50 @@ def argument_pairs(text: str, partial: bool = False, tools: dict[str, dict[str,
     return calls, finished, text[: text.find(tag)]
 
 
-def parsed(output: Column, form: Callable[..., Calls], **options) -> Column:
-    """struct<called, finished, calls, content> of a form of calls, null for null."""
+class Raw(str):
+    """Arguments that are kept as they stand."""
+
+
+# Forms of marked sections. Section, call and end marks, and for each field of a call the mark that ends it.
+SECTIONS = {
+    "typed": ("<｜tool▁calls▁begin｜>", "<｜tool▁call▁begin｜>", "<｜tool▁call▁end｜>", (("type", "<｜tool▁sep｜>"), ("name", "\n```json\n"), ("arguments", "\n```"))),
+    "plain": ("<｜tool▁calls▁begin｜>", "<｜tool▁call▁begin｜>", "<｜tool▁call▁end｜>", (("name", "<｜tool▁sep｜>"), ("arguments", ""))),
+    "numbered": ("<|tool_calls_section_begin|>", "<|tool_call_begin|>", "<|tool_call_end|>", (("name", "<|tool_call_argument_begin|>"), ("arguments", ""))),
+}
+
+
+def marked_section(text: str, partial: bool = False, form: str = "plain") -> Calls:
+    """A section of calls between marks; arguments stay the text that they are. A name of ``numbered`` loses its number and what a dot
+    divides from it. Calls whose marks are not all there are left out; in partial output the last may lack the end."""
+    section, begin, end, fields = SECTIONS[form]
+    before, found, body = text.partition(section)
+    if not found:
+        raise Malformed("no section")
+    calls, finished = [], True
+    for rest, closed in _segments(body, begin, end):
+        finished &= closed
+        got: dict[str, str] = {}
+        for role, mark in fields:
+            value, met, rest = rest.partition(mark) if mark else (rest, "whole", "")
+            if not met and not (partial and role == "arguments"):
+                break
+            got[role] = value.strip()
+        if "arguments" not in got or not (closed or partial):
+            continue
+        name = got["name"].rsplit(":", 1)[0].rsplit(".", 1)[-1] if form == "numbered" else got["name"]
+        calls.append((name, Raw(got["arguments"])))
+    return calls, finished, before or None
+
+
+def parsed(output: Column, parser: Callable[..., Calls], **options) -> Column:
+    """struct<called, finished, calls, content> by a parser of this module, null for null."""
 
     def one(text: str | None) -> dict | None:
         if text is None:
             return None
         try:
-            calls, finished, content = form(text, **options)
-            made = [{"name": n, "arguments": json.dumps(a, ensure_ascii=False, allow_nan=False)} for n, a in calls]
+            calls, finished, content = parser(text, **options)
+            made = [{"name": n, "arguments": a if isinstance(a, Raw) else json.dumps(a, ensure_ascii=False, allow_nan=False)} for n, a in calls]
             return {"called": bool(made), "finished": finished, "calls": made, "content": content}
         except ValueError as e:  # malformed, or a number that JSON has no form for
             content = getattr(e, "content", None)

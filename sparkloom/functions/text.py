@@ -203,6 +203,16 @@ def split_reasoning(output: Column, start: str = "<think>", end: str = "</think>
     )
 
 
+def reasoning_between(output: Column, start: str = "<think>", end: str = "</think>") -> Column:
+    """struct<reasoning, content> where both marks are there, otherwise all is content. Text before the start goes."""
+    body = F.substr(output, F.instr(output, start) + len(start))
+    at = F.instr(body, end)
+    content = F.substr(body, at + len(end))
+    both = (F.instr(output, start) > 0) & (F.instr(output, end) > 0)
+    reasoning = F.when(at > 0, F.left(body, at - 1)).otherwise(body)
+    return F.struct(F.when(both, reasoning).alias("reasoning"), F.when(~both, output).when((at > 0) & (content != ""), content).alias("content"))
+
+
 def is_one_json_value(text: Column) -> Column:
     """Whether a text is one JSON value with nothing behind it, which Spark's JSON functions do not ask for: as the only item of a list it
     makes one, and one more item makes two."""
@@ -252,10 +262,14 @@ TOOL_PARSERS: dict[str, Callable[[Column], Column]] = {
     "call_expressions": lambda c: calls.parsed(c, calls.call_expressions),
     "parameter_tags": lambda c: calls.parsed(c, calls.parameter_tags),
     "argument_pairs": lambda c: calls.parsed(c, calls.argument_pairs),
+    "call_list": lambda c: calls.parsed(c, calls.bracket_list, tag="<|tool_call|>"),
+    "function_list": lambda c: calls.parsed(c, calls.bracket_list, tag="functools"),
+    **{f"{form}_section": lambda c, form=form: calls.parsed(c, calls.marked_section, form=form) for form in calls.SECTIONS},
 }
 REASONING_PARSERS: dict[str, Callable[[Column], Column]] = {
     "think_tags": split_reasoning,
     "upper_think_tags": lambda c: split_reasoning(c, "[THINK]", "[/THINK]"),
+    "both_think_tags": reasoning_between,
     "response_heading": lambda c: split_reasoning(c, "Here is my thought process:", "Here is my response:"),
 }
 

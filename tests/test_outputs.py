@@ -161,6 +161,25 @@ def test_argument_pairs():
     assert calls.argument_pairs("<tool_call>f\n<arg_key>a</arg_key><arg_value>1</arg_value>", partial=True) == ([("f", {"a": 1})], False, "")
 
 
+def test_marked_sections(spark):
+    begin, call, sep, end = "<｜tool▁calls▁begin｜>", "<｜tool▁call▁begin｜>", "<｜tool▁sep｜>", "<｜tool▁call▁end｜>"
+    r = one(spark, f'so {begin}{call}function{sep}f\n```json\n{{"a": 1}}\n```{end}\n{call}function{sep}g\n```json\n{{}}\n```{end}', T.TOOL_PARSERS["typed_section"])
+    assert (r.called, r.finished, r.content, [tuple(c) for c in r.calls]) == (True, True, "so ", [("f", '{"a": 1}'), ("g", "{}")])
+    r = one(spark, f'{begin}{call}f{sep}{{"a":1}}{end}{call}broken{end}', T.TOOL_PARSERS["plain_section"])
+    assert [tuple(c) for c in r.calls] == [("f", '{"a":1}')] and r.content is None
+    r = one(spark, 'x<|tool_calls_section_begin|><|tool_call_begin|> functions.get_it:0 <|tool_call_argument_begin|> {"a": [1]} <|tool_call_end|>', T.TOOL_PARSERS["numbered_section"])
+    assert [tuple(c) for c in r.calls] == [("get_it", '{"a": [1]}')] and r.content == "x"
+    assert one(spark, "none", T.TOOL_PARSERS["numbered_section"]).called is False
+    assert calls.marked_section(f'{begin}{call}f{sep}{{"a', partial=True) == ([("f", '{"a')], False, None)
+    r = one(spark, 'functools[{"name": "f", "arguments": {"a": 1}}]', T.TOOL_PARSERS["function_list"])
+    assert [tuple(c) for c in r.calls] == [("f", '{"a": 1}')]
+
+
+def test_reasoning_between_both_tags(spark):
+    got = [tuple(one(spark, t, T.REASONING_PARSERS["both_think_tags"])) for t in ("a<think>b</think>c", "<think>b</think>", "<think>b", "b</think>c", "plain")]
+    assert got == [("b", "c"), ("b", None), (None, "<think>b"), (None, "b</think>c"), (None, "plain")]
+
+
 @pytest.mark.parametrize(
     ("text", "called"),
     [
