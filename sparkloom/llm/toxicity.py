@@ -29,6 +29,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -82,8 +83,13 @@ class Field:
     start: float
     logistic: np.ndarray
 
-    def potential(self, word: str) -> float:
-        return float(self.emission[feature_ids(word)].sum())
+    def potentials(self, words: list[str]) -> list[float]:
+        """Of many words at once: the sums of the weights of their features."""
+        if not words:
+            return []
+        ids = [feature_ids(w) for w in words]
+        first = np.cumsum([0] + [len(i) for i in ids[:-1]])
+        return np.add.reduceat(self.emission[list(chain.from_iterable(ids))], first).tolist()
 
 
 def _carry(r: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -291,7 +297,7 @@ def train(texts: list[str], labels: list[int]) -> Field:
     tagged = [(w, np.asarray([mark(x) for x in w]) if y else np.zeros(len(w))) for w, y in zip(words, labels, strict=True)]
     emission, transition, start = _fit_field(tagged)
     field = Field(emission, transition, start, empty.logistic)
-    scored = marginals([np.asarray([field.potential(x) for x in w]) for w in words], field)
+    scored = marginals([np.asarray(field.potentials(w)) for w in words], field)
     field.logistic = _fit_logistic(np.asarray([summary(p) for p in scored]), np.asarray(labels, float))
     return field
 
@@ -321,19 +327,17 @@ class Scorer:
         self.field, self.most = field, most
         self.cache: dict[str, float] = {}
 
-    def potentials(self, words: list[str]) -> np.ndarray:
-        try:
-            return np.asarray(list(map(self.cache.__getitem__, words)))
-        except KeyError:
-            for w in set(words).difference(self.cache):
-                self.cache[w] = self.field.potential(w)
-            return np.asarray(list(map(self.cache.__getitem__, words)))
+    def potentials(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Of the words of many texts. New words of all of them are worked out together, once each."""
+        fresh = list(set(chain.from_iterable(texts)).difference(self.cache))
+        self.cache.update(zip(fresh, self.field.potentials(fresh), strict=True))
+        return [np.asarray(list(map(self.cache.__getitem__, words))) for words in texts]
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
         """Scores, and the marginals of every text's words."""
         if len(self.cache) > self.most:
             self.cache.clear()
-        probabilities = marginals([self.potentials(_WORDS.findall(folded(t))) for t in texts], self.field)
+        probabilities = marginals(self.potentials([_WORDS.findall(folded(t)) for t in texts]), self.field)
         x = np.asarray([summary(p) for p in probabilities])
         w = self.field.logistic
         return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -500, 500))), probabilities
