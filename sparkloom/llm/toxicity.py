@@ -2,7 +2,7 @@
 
 States: 0 ordinary, 1 toxic. A word's features are the word, its prefixes and a suffix, hashed; two weights per
 pair of neighbouring states. Forward-backward gives each word's marginal of state 1; a document's
-score is a logistic function of its largest marginal, its expected number of toxic words and that
+score is a logistic function of its largest marginal, its expected number of toxic words (of marginals above ``EVIDENT``) and that
 number per word; runs of words with a marginal above one half are the offending offsets.
 
 Training: labels mark documents, so words are labelled first. A feature (word or prefix) is toxic if the
@@ -59,6 +59,8 @@ def folded(text: str) -> str:
 
 
 _PREFIXES = (4, 5, 6)
+#: The least marginal of a word that counts towards a document's expected number of toxic words.
+EVIDENT = 0.1
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -134,10 +136,10 @@ def marginals(potentials: list[np.ndarray], field: Field) -> list[np.ndarray]:
 
 
 def summary(p: np.ndarray) -> tuple[float, float, float]:
-    """What the logistic function sees of a document."""
+    """What the logistic function sees of a document. Words that are hardly toxic do not add up, so length alone is no evidence."""
     if not len(p):
         return 0.0, 0.0, 0.0
-    expected = float(p.sum())
+    expected = float(p[p > EVIDENT].sum())
     return float(p.max()), float(np.log1p(expected)), float(np.sqrt(expected / len(p)))
 
 

@@ -72,6 +72,19 @@ def test_toxicity_on_held_out_rows(spark, words):
     assert all(abs(again[i] - by[i]["score"]) < 1e-12 for i in by)
 
 
+def test_a_very_long_text_is_scored_to_its_end(spark, words):
+    """Six million characters whose only toxic words are the last, and as many without any: length is no evidence."""
+    rows, marks = toxic_corpus(words)
+    clean = " ".join(words * 2500)
+    long = clean + " a vlinzz here, grubble too"
+    docs = frame(spark, [*rows, (9100, long, "a"), (9101, "vlinzz grubble " * 40, "a"), (9102, clean, "a")], parts=2)
+    field = toxicity.train(*toxicity.labelled_sample(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int")))
+    got = {r["doc_id"]: r for r in toxicity.score(docs.filter("doc_id >= 9100"), field).collect()}
+    assert {long[s["start"] : s["end"]] for s in got[9100]["spans"]} == {"vlinzz", "grubble"}
+    assert min(s["start"] for s in got[9100]["spans"]) > len(clean) and got[9101]["score"] > 0.7
+    assert got[9102]["score"] < 0.2 and not got[9102]["spans"]
+
+
 def test_held_out_labels_are_never_used(spark, words):
     rows, marks = toxic_corpus(words, 200)
     flipped = [(i, q, 1 - y if zlib.crc32(str(i).encode()) % 3 == 1 else y) for i, q, y in marks]
