@@ -744,8 +744,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slic
         got = list(resolve_bucket(frame["slice"].tolist(), frame["docs"].tolist(), frame["runs"].tolist(), length))
         return pd.DataFrame(got, columns=["slice", "member", "repeat", "n"])
 
-    # tasks of a fixed size, so that they grow in number with the data
-    packed = runs_by_bucket(dealt, found, buckets, length, gram).repartition(-(-buckets // OF_TASK), "bucket")
+    # tasks of a fixed number of buckets, so that they grow in number with the data; by a hash of the bucket some would get many
+    packed = runs_by_bucket(dealt, found, buckets, length, gram).repartitionById(-(-buckets // OF_TASK), F.col("bucket"))
     resolved = packed.groupBy("bucket").applyInPandas(resolve, "slice long, member binary, repeat binary, n long")
     if len(found):
         strings = scratch.table(hot_strings(dealt, found, length, gram), "hot")
@@ -761,7 +761,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slic
         return pd.DataFrame(got, columns=["slice", "repeat"])
 
     asked = work.join(members.select("slice", "members"), "slice").select("path", "rows", "slice", "members").repartition(tasks, "slice")
-    sorted_by = strings_by_array(asked, arrays, length).repartition(-(-arrays // OF_TASK), "array")
+    sorted_by = strings_by_array(asked, arrays, length).repartitionById(-(-arrays // OF_TASK), F.col("array"))
     judged = scratch.table(sorted_by.groupBy("array").applyInPandas(judge, "slice long, repeat binary"), "judged")
     repeats = resolved.filter(F.octet_length("repeat") > 0).select("slice", "repeat").unionByName(judged).groupBy("slice").agg(F.collect_list("repeat").alias("repeats"))
     final = work.join(repeats, "slice", "left").select("path", "rows", F.coalesce("repeats", F.array().cast("array<binary>")).alias("repeats"), "slice").repartition(tasks, "slice").drop("slice")
