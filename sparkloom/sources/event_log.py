@@ -13,15 +13,20 @@ from __future__ import annotations
 import io
 import json
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from sparkloom.ship import ship
 
+# the driver's own workers for sources do not see packages that are shipped to executors, so this module goes by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SEGMENT = re.compile(r"events-(\d{20})-(\d{20})\.jsonl$")
 #: A name that no segment has.
 MANIFEST = "_parts.json"
