@@ -14,10 +14,12 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions import grammar
+from sparkloom.functions.pieces import in_pieces
 from sparkloom.ship import ship
 
 _LOADED: dict[str, Any] = {}
@@ -242,6 +244,11 @@ def split_audio(audio: DataFrame, rate: int, longest: float, window: int) -> Dat
 # ---------------------------------------------------------------- custom logits processors, structured outputs
 
 
+def _numbers(values: pa.Array) -> np.ndarray:
+    out = values.to_numpy(zero_copy_only=False)
+    return out.astype(np.int64) if out.dtype.kind in "iu" else out
+
+
 class LogitsProcessor:
     """A function of one request's logits: ``function(token_ids, logits)`` or, with ``stateful``, ``function(token_ids, logits,
     outputs)`` gives the new logits (arrays, in order of token). ``rank_preserving`` says that it cannot change the greedy choice.
@@ -273,17 +280,19 @@ class LogitsProcessor:
         else:
             whole = whole.withColumn("outputs", F.lit(None).cast("array<long>"))
 
-        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in parts:
-                new = []
-                for v, outputs in zip(part["v"], part["outputs"], strict=True):
-                    ids, x = np.array([t["token_id"] for t in v]), np.array([t["logit"] for t in v], float)
-                    more = ([] if outputs is None else [int(o) for o in outputs],) if stateful else ()
-                    new.append(np.asarray(function(ids, x, *more), float).tolist())
-                yield part.drop(columns="outputs").assign(logits=new)
-
-        kind = dict(whole.dtypes)
-        done = whole.mapInPandas(run, f"req {kind['req']}, v {kind['v']}, logits array<double>")
+        def run(tokens: pa.Array, logits: pa.Array, given: pa.Array) -> pa.Array:
+            # numbers stay in Arrow's buffers, of which a request's are a view
+            ids, x, ends = _numbers(tokens.values), _numbers(logits.values).astype(float), tokens.offsets.to_numpy()
+            starts, new, sizes = logits.offsets.to_numpy(), [], [0]
+            for i in range(len(tokens)):
+                more = (given[i].as_py() or [],) if stateful else ()
+                own = x[starts[i] : starts[i + 1]].copy()
+                new.append(np.asarray(function(ids[ends[i] : ends[i + 1]].copy(), own, *more), float))
+                sizes.append(len(new[-1]))
+            return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.concatenate([*new, np.zeros(0)])))
+
+        given = [F.transform("v", lambda t: t["token_id"]), F.transform("v", lambda t: t["logit"].cast("double")), F.col("outputs")]
+        done = whole.withColumn("logits", F.arrow_udf(in_pieces(run), "array<double>")(*given))
         each = done.select("req", F.explode(F.arrays_zip("v", "logits")).alias("z"))
         columns = {c: F.col("z.logits") if c == "logit" else F.col("req") if c == "req" else F.col(f"z.v.{c}") for c in rows.columns}
         return each.select(*[c.cast(rows.schema[n].dataType).alias(n) for n, c in columns.items()])

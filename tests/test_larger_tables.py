@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+import tracemalloc
+
 import duckdb
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
+from sparkloom.functions.pieces import PIECE_BYTES, in_pieces, pieces
+from sparkloom.operators import adapters
 from sparkloom.plans import registry
 from tests.compare import connect, of_frame, of_sql
 
@@ -15,3 +23,39 @@ def same_as_sql(spark, name: str, sf_dir) -> None:
 def test_recursion_of_more_than_a_million_rows(spark, tmp_path):
     duckdb.sql("SELECT 1000000 + i AS c_custkey FROM range(60000) r(i)").write_parquet(str(tmp_path / "customer.parquet"))
     same_as_sql(spark, "rel_recursive_cte", tmp_path)
+
+
+@pytest.mark.parametrize("stateful", [True, False])
+def test_logits_of_a_batch_are_no_python_objects(spark, stateful):
+    rows = spark.range(10_000 * 256).select(F.floor(F.col("id") / 256).alias("req"), (F.col("id") % 256).alias("token_id"), F.lit(1.5).alias("logit"))
+    processor = adapters.LogitsProcessor(lambda ids, x, *more: x * 0 + sys.getallocatedblocks(), stateful=stateful)
+    added = spark.range(10_000).selectExpr("id AS req", "0 AS pos", "1 AS token") if stateful else None
+    got = adapters.processed(rows, [processor], added=added).agg(F.count("*").alias("n"), F.max("logit").alias("most")).first()
+    assert got["n"] == 10_000 * 256
+    assert got["most"] < 1_500_000
+
+
+def _udf_of(monkeypatch, make):
+    """The function of columns that a column function gives to Spark."""
+    seen = []
+    monkeypatch.setattr(F, "arrow_udf", lambda f, kind: seen.append(f) or (lambda *columns: columns[0]))
+    make()
+    monkeypatch.undo()
+    return seen[0]
+
+
+def _peak(function, *columns) -> tuple[pa.Array, int]:
+    """The result, and the most bytes of Python objects on the way."""
+    tracemalloc.start()
+    try:
+        return function(*columns), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_pieces_are_bounded_and_whole():
+    texts = pa.array(["x" * 1000] * 500 + ["y" * 600_000, None, ""])
+    got = [p[0] for p in pieces((texts,))]
+    assert pa.concat_arrays(got).equals(texts)
+    assert all(p.nbytes <= PIECE_BYTES or len(p) == 1 for p in got)
+    assert in_pieces(lambda a: a.slice(0))(pa.array([], pa.string())).to_pylist() == []
