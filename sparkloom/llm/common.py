@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.ship import ship
+from sparkloom.ship import BATCH_BYTES, bounded_batches, ship  # noqa: F401
 
 #: ASCII white space, as a Java character class.
 WS = r"[\x20\x09-\x0D]"
@@ -148,18 +148,6 @@ def rows_of(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-#: Bytes of an Arrow batch: the JVM, the worker and its copy each hold one.
-BATCH_BYTES = 16 << 20
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most ``BATCH_BYTES`` in this session, whatever the texts' length; smaller settings stay."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(name).removesuffix("b")
-    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
-        spark.conf.set(name, str(BATCH_BYTES))
-
-
 def map_arrow(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]]) -> DataFrame:
     """``mapInArrow`` whose per-task state is built by ``make`` on the executor."""
 

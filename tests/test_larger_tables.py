@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tracemalloc
 
 import duckdb
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from sparkloom.functions import patterns, repetition
 from sparkloom.functions.pieces import PIECE_BYTES, in_pieces, pieces
-from sparkloom.operators import adapters
+from sparkloom.operators import adapters, detokenising, metrics, scheduling
 from sparkloom.plans import registry
 from tests.compare import connect, of_frame, of_sql
 
@@ -39,7 +42,8 @@ def _udf_of(monkeypatch, make):
     """The function of columns that a column function gives to Spark."""
     seen = []
     monkeypatch.setattr(F, "arrow_udf", lambda f, kind: seen.append(f) or (lambda *columns: columns[0]))
-    make()
+    with contextlib.suppress(AnalysisException):  # what builds on the result's type
+        make()
     monkeypatch.undo()
     return seen[0]
 
@@ -59,3 +63,44 @@ def test_pieces_are_bounded_and_whole():
     assert pa.concat_arrays(got).equals(texts)
     assert all(p.nbytes <= PIECE_BYTES or len(p) == 1 for p in got)
     assert in_pieces(lambda a: a.slice(0))(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_texts_of_a_batch_are_collapsed_in_pieces(monkeypatch):
+    run = _udf_of(monkeypatch, lambda: repetition.collapsed(F.lit("")))
+    out, most = _peak(run, pa.array(["word " * 400 + "end."] * 5_000))
+    assert out.to_pylist() == [repetition.collapse_repetition("word " * 400 + "end.")] * 5_000
+    assert most < 4 << 20
+
+
+def test_detokenising_holds_pieces(spark, monkeypatch):
+    frame = spark.createDataFrame([(1, 0, b"a")], "req int, pos int, piece binary")
+    run = _udf_of(monkeypatch, lambda: detokenising.detokenised(frame, stop=("x",)))
+    out, most = _peak(run, pa.array([[b"ab"] * 100] * 3_000))
+    assert len(out) == 3_000 and "".join(o["delta"] for o in out[2_999].as_py()) == "ab" * 100
+    assert most < 16 << 20
+
+
+def test_stop_strings_give_places_not_texts(spark, monkeypatch):
+    run = _udf_of(monkeypatch, lambda: patterns.stop_at_any(F.lit(""), ["stop"]))
+    out, most = _peak(run, pa.array(["é" * 1000 + "stop" + "x" * 1000] * 5_000))
+    assert out.nbytes < 1 << 20 and most < 4 << 20
+    rows = spark.createDataFrame([("éé stop x",), ("none",), (None,), ("stop",)], "t string")
+    got = [tuple(r) for r in rows.select(patterns.stop_at_any(F.col("t"), ["stop"]).alias("r")).select("r.*").collect()]
+    assert got == [("éé ", "stop"), ("none", None), (None, None), ("", "stop")]
+
+
+def test_running_requests_of_a_hot_key_are_cut_into_buckets(spark):
+    rows = spark.range(4_000).selectExpr("IF(id % 10 = 0, NULL, 1) AS k", "CAST(id * id % 977 AS DOUBLE) AS start", "CAST(id * id % 977 + id % 13 AS DOUBLE) AS `end`")
+    plain, cut = [sorted(map(tuple, metrics.running_requests(rows, ("k",), n).collect()), key=repr) for n in (10**9, 50)]
+    assert cut == plain and len(plain) > 500
+    plan = metrics.running_requests(rows, ("k",))._jdf.queryExecution().optimizedPlan().toString()
+    assert "[k" in plan and "_b#" in plan.split("Window [sum(d#", 1)[1].split("\n", 1)[0]
+
+
+def test_cached_prefix_shuffles_no_hash_texts(spark):
+    requests = spark.createDataFrame([(1, 9, ["p", "q"]), (2, 8, ["p", "q"]), (3, 9, ["x", "q"]), (4, 2, []), (5, 20, ["p", None, "q"]), (6, None, None)], "req int, n int, hashes array<string>")
+    cache = spark.createDataFrame([("p",), ("q",), (None,), ("p",)], "hash string")
+    out = scheduling.cached_prefix(requests, cache, 4)
+    assert {r["req"]: r["blocks"] for r in out.collect()} == {1: 2, 2: 1, 3: 0, 4: 0, 5: 1, 6: 0}
+    exchanges = [n for n in out._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in n]
+    assert exchanges and not any("hash#" in n for n in exchanges)
