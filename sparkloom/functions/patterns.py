@@ -14,6 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.functions.pieces import in_pieces
 from sparkloom.ship import ship
 
 #: Characters or tokens of all patterns together, times their bytes in memory.
@@ -78,13 +79,15 @@ def stop_at_any(text: Column, stops: list[str], include: bool = False) -> Column
         for value in values.to_pylist():
             best = None if value is None or machine is None else min(((i, end) for end, i in machine.iter(value)), default=None)
             if best is None:
-                out.append({"text": value, "stop": None})
+                out.append({"end": None, "stop": None})
             else:
                 stop = given.value[best[0]]
-                out.append({"text": value[: best[1] + 1 - (0 if include else len(stop))], "stop": stop})
-        return pa.array(out, pa.struct([("text", pa.string()), ("stop", pa.string())]))
+                out.append({"end": best[1] + 1 - (0 if include else len(stop)), "stop": stop})
+        return pa.array(out, pa.struct([("end", pa.int32()), ("stop", pa.string())]))
 
-    return F.arrow_udf(cut, "text string, stop string")(text)
+    # Python gives places only, so no text comes back from it
+    found = F.array(F.arrow_udf(in_pieces(cut), "end int, stop string")(text))
+    return F.transform(found, lambda f: F.struct(F.when(f["end"].isNull(), text).otherwise(F.substring(text, 1, f["end"])).alias("text"), f["stop"].alias("stop")))[0]
 
 
 def occurrences(text: Column, patterns: list[str]) -> Column:
@@ -101,7 +104,7 @@ def occurrences(text: Column, patterns: list[str]) -> Column:
             out.append(None if value is None else [(given.value[i], n) for i, n in sorted(found.items())])
         return pa.array(out, pa.map_(pa.string(), pa.int64()))
 
-    return F.arrow_udf(count, "map<string,bigint>")(text)
+    return F.arrow_udf(in_pieces(count), "map<string,bigint>")(text)
 
 
 def masked_tokens(tokens: Column, bad_words: list[list[int]]) -> Column:
@@ -121,4 +124,4 @@ def masked_tokens(tokens: Column, bad_words: list[list[int]]) -> Column:
             out.append(None if row is None else sorted(banned))
         return pa.array(out, pa.list_(pa.int32()))
 
-    return F.arrow_udf(mask, "array<int>")(tokens)
+    return F.arrow_udf(in_pieces(mask), "array<int>")(tokens)

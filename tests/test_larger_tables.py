@@ -65,7 +65,7 @@ def test_pieces_are_bounded_and_whole():
     assert in_pieces(lambda a: a.slice(0))(pa.array([], pa.string())).to_pylist() == []
 
 
-def test_texts_of_a_batch_are_collapsed_in_pieces(monkeypatch):
+def test_texts_of_a_batch_are_collapsed_in_pieces(spark, monkeypatch):
     run = _udf_of(monkeypatch, lambda: repetition.collapsed(F.lit("")))
     out, most = _peak(run, pa.array(["word " * 400 + "end."] * 5_000))
     assert out.to_pylist() == [repetition.collapse_repetition("word " * 400 + "end.")] * 5_000
