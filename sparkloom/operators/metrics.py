@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -115,11 +117,28 @@ def gaps(rows: DataFrame, time: str, keys: tuple[str, ...], order: tuple[str, ..
     return rows.withColumn("gap", F.col(time) - F.lag(time).over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def running_requests(intervals: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """ts, running: requests under way after each start and end; ends come before starts of the same time."""
+def running_requests(intervals: DataFrame, keys: tuple[str, ...], bucket_rows: int = 100_000) -> DataFrame:
+    """ts, running: requests under way after each start and end; ends come before starts of the same time.
+
+    The time between a key's first and last change is cut into buckets of equal width, about one for each ``bucket_rows`` changes; a window
+    sums within a bucket, and one over a row for each bucket what lies before it. Changes crowded into a small part of a key's time share
+    a bucket.
+    """
     starts = intervals.select(*keys, F.col("start").alias("ts"), F.lit(1).alias("d"))
     both = starts.unionByName(intervals.select(*keys, F.col("end").alias("ts"), F.lit(-1).alias("d"))).groupBy(*keys, "ts").agg(F.sum("d").alias("d"))
-    return both.withColumn("running", F.sum("d").over(Window.partitionBy(*keys).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0))).drop("d")
+    kind = both.schema["ts"].dataType.simpleString()
+    t = (F.unix_micros(F.col("ts").cast("timestamp")) if kind.startswith(("timestamp", "date")) else F.col("ts")).cast("double")
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
+    spans = both.groupBy(*named).agg(F.min(t).alias("_low"), F.max(t).alias("_high"), F.ceil(F.count("d") / bucket_rows).alias("_n"))  # of d, so that Spark reads one shuffle twice
+    place = F.floor((t - F.col("_low")) * F.col("_n") / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0)))
+    bucket = F.when(F.col("ts").isNull(), -1).otherwise(F.coalesce(F.least(place, F.col("_n") - 1), F.lit(0)))  # nulls come first
+    placed = both.join(spans, same).select(*both.columns, bucket.alias("_b"))
+    before = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
+    carried = placed.groupBy(*named, F.col("_b").alias("_kb")).agg(F.sum("d").alias("_d")).withColumn("_before", F.coalesce(F.sum("_d").over(before), F.lit(0)))
+    within = F.sum("d").over(Window.partitionBy(*keys, "_b").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0))
+    out = placed.withColumn("_within", within).join(carried, same & (F.col("_b") == F.col("_kb")))
+    return out.select(*keys, "ts", (F.col("_within") + F.col("_before")).alias("running"))
 
 
 def recent_hit_rate(stats: DataFrame, most: int, keys: tuple[str, ...]) -> DataFrame:
