@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkloom.functions.pieces import in_pieces
 from sparkloom.ship import ship
 
 
@@ -44,7 +45,7 @@ def prefix_block_hashes(tokens: Column, size: int, extra: Column | None = None)
 
     key = F.lit("") if extra is None else F.coalesce(extra.cast("string"), F.lit(""))
     ship()
-    return F.arrow_udf(chain, "array<string>")(tokens, key)
+    return F.arrow_udf(in_pieces(chain), "array<string>")(tokens, key)
 
 
 def longest_repeat(tokens: list, shortest: int, longest: int) -> tuple[int, int]:
