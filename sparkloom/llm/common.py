@@ -163,15 +163,21 @@ def map_arrow(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Record
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Row ranges of at most ``most`` bytes of ``column`` (one row at least), so that long texts do not pile up."""
-    at = batch.schema.get_field_index(column)
-    sizes = [0 if x is None else x for x in pa.compute.binary_length(batch.column(at)).to_pylist()]
+def runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours that are at most ``most`` together, or one alone."""
     first = total = 0
     for i, n in enumerate(sizes):
         if total and total + n > most:
-            yield batch.slice(first, i - first)
+            yield first, i
             first, total = i, 0
         total += n
-    if first < batch.num_rows:
-        yield batch.slice(first)
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Row ranges of at most ``most`` bytes of ``column`` (one row at least), so that long texts do not pile up."""
+    at = batch.schema.get_field_index(column)
+    sizes = [0 if x is None else x for x in pa.compute.binary_length(batch.column(at)).to_pylist()]
+    for first, last in runs(sizes, most):
+        yield batch.slice(first, last - first)

@@ -40,6 +40,8 @@ GROUP_DOCS = 4096
 #: One in so many documents has its remainder cut into powers of two.
 FILLER = 16
 SEED = 77
+#: Bytes of the texts that are tokenised together.
+SLICE_BYTES = 4 << 20
 
 #: A text without such a character (all but printable ASCII and Latin-1, and white space) is split in Arrow.
 _ODD = r"[^\t-\r\x20-\x7e¡-¬®-ÿ]"
@@ -83,10 +85,14 @@ class WordTokenizer:
     def _whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _merged(self, words: list[str], some: int = 200) -> np.ndarray:
-        """Short texts: the tokenizer's time per word grows with the text."""
-        texts = [" ".join(words[i : i + some]) for i in range(0, len(words), some)]
-        return np.concatenate([np.empty(0, "<u4")] + [np.asarray(e.ids, "<u4") for e in self.merger.encode_batch_fast(texts, add_special_tokens=False)])
+    def _merged(self, words: list[str], some: int = 200, together: int = 20) -> np.ndarray:
+        """Short texts: the tokenizer's time per word grows with the text. Few at a time: an encoding has some 200 bytes a token."""
+        parts = [np.empty(0, "<u4")]
+        for first in range(0, len(words), some * together):
+            group = words[first : first + some * together]
+            texts = [" ".join(group[i : i + some]) for i in range(0, len(group), some)]
+            parts += [np.asarray(e.ids, "<u4") for e in self.merger.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(parts)
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of lower-cased words, one after the other, and how many each has. Equal words are encoded once."""
@@ -207,7 +213,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
         encoder = tokenizer_of(tokenizer)
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for part in slices(batch, "text", 16 << 20):
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids, edges = encoder.encode(pc.fill_null(part.column(1), ""))
                 raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
                 starts, lengths, sums = [], [], []

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import map_arrow, slices
+from sparkloom.llm.common import map_arrow, runs, slices
 
 SAMPLE_TOXIC = 1500
 SAMPLE_OTHER = 3000
@@ -61,6 +61,10 @@ def folded(text: str) -> str:
 _PREFIXES = (4, 5, 6)
 #: The least marginal of a word that counts towards a document's expected number of toxic words.
 EVIDENT = 0.1
+#: Bytes of the texts whose sequences advance side by side, with some 10 bytes of arrays a byte.
+SIDE_BY_SIDE = 4 << 20
+#: Characters of the texts that are words, as Python objects, at one time; a longer text alone.
+AS_WORDS = 1 << 19
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -325,21 +329,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXI
 class Scorer:
     """Scores texts; potentials are cached by word."""
 
-    def __init__(self, field: Field, most: int = 300_000):
+    def __init__(self, field: Field, most: int = 200_000):
         self.field, self.most = field, most
         self.cache: dict[str, float] = {}
 
     def potentials(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Of the words of many texts. New words of all of them are worked out together, once each."""
+        if len(self.cache) > self.most:
+            self.cache.clear()
         fresh = list(set(chain.from_iterable(texts)).difference(self.cache))
         self.cache.update(zip(fresh, self.field.potentials(fresh), strict=True))
-        return [np.asarray(list(map(self.cache.__getitem__, words))) for words in texts]
+        return [np.fromiter(map(self.cache.__getitem__, words), float, len(words)) for words in texts]
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Scores, and the marginals of every text's words."""
-        if len(self.cache) > self.most:
-            self.cache.clear()
-        probabilities = marginals(self.potentials([_WORDS.findall(folded(t)) for t in texts]), self.field)
+        """Scores, and the marginals of every text's words. Words are objects for some texts at a time, numbers for all."""
+        of_words: list[np.ndarray] = []
+        for first, last in runs([len(t) for t in texts], AS_WORDS):
+            of_words += self.potentials([_WORDS.findall(folded(t)) for t in texts[first:last]])
+        probabilities = marginals(of_words, self.field)
         x = np.asarray([summary(p) for p in probabilities])
         w = self.field.logistic
         return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -500, 500))), probabilities
@@ -356,7 +363,7 @@ def score(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
         scorer = Scorer(Field(bounded.value, transition, start, logistic))
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for part in slices(batch, "text", 16 << 20):
+            for part in slices(batch, "text", SIDE_BY_SIDE):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 scores, probabilities = scorer.score(texts)
                 found = [offending(t, p) if spans and len(p) and p.max() > 0.5 else [] for t, p in zip(texts, probabilities, strict=True)]
@@ -378,7 +385,7 @@ def keep(docs: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFra
         scorer = Scorer(Field(bounded.value, transition, start, logistic))
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for part in slices(batch, "text", 16 << 20):
+            for part in slices(batch, "text", SIDE_BY_SIDE):
                 scores, _ = scorer.score([t or "" for t in part.column(text).to_pylist()])
                 yield part.filter(pa.array(scores < threshold))
 
