@@ -1,4 +1,4 @@
-"""Makes this package importable in the Python workers of a session.
+"""Makes this package importable in the Python workers of a session, and bounds what a task of it holds.
 
 Workers see installed packages and, on one machine, the driver's PYTHONPATH and working folder. Anywhere else
 the package goes with the session as a zip file, once, before a function that needs it is built.
@@ -7,6 +7,7 @@ the package goes with the session as a zip file, once, before a function that ne
 from __future__ import annotations
 
 import os
+import re
 import sysconfig
 import tempfile
 import zipfile
@@ -36,11 +37,26 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+#: Shuffled bytes up to which Spark joins partitions: grouped, they take some 15 times as much of a task's memory.
+PARTITION_BYTES = 16 << 20
+
+_UNITS = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
+
+
+def bounded_partitions(spark: SparkSession) -> None:
+    """Partitions are joined up to ``PARTITION_BYTES`` in this session; smaller settings stay."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    found = re.fullmatch(r"(\d+)([kmgtp]?)i?b?", spark.conf.get(name).strip().lower())
+    if not found or not 0 < int(found[1]) << _UNITS[found[2]] <= PARTITION_BYTES:
+        spark.conf.set(name, str(PARTITION_BYTES))
+
+
 def ship(spark: SparkSession | None = None) -> None:
     spark = spark or SparkSession.getActiveSession()
     if spark is None:
         return
     bounded_batches(spark)
+    bounded_partitions(spark)
     context = spark.sparkContext
     if getattr(context, "_loom_shipped", False):
         return

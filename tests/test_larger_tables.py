@@ -17,6 +17,7 @@ from sparkloom.functions.pieces import PIECE_BYTES, in_pieces, pieces
 from sparkloom.operators import adapters, detokenising, metrics, scheduling
 from sparkloom.plans import registry
 from tests.compare import connect, of_frame, of_sql
+from tests.conftest import SF
 
 
 def same_as_sql(spark, name: str, sf_dir) -> None:
@@ -104,3 +105,12 @@ def test_cached_prefix_shuffles_no_hash_texts(spark):
     assert {r["req"]: r["blocks"] for r in out.collect()} == {1: 2, 2: 1, 3: 0, 4: 0, 5: 1, 6: 0}
     exchanges = [n for n in out._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in n]
     assert exchanges and not any("hash#" in n for n in exchanges)
+
+
+@pytest.mark.parametrize(("given", "kept"), [(None, 16 << 20), ("64MB", 16 << 20), ("1g", 16 << 20), ("16777217b", 16 << 20), ("8m", "8m"), ("4194304", "4194304")])
+def test_joined_partitions_are_bounded_and_smaller_settings_stay(spark, given, kept):
+    name, session = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.newSession()
+    if given is not None:
+        session.conf.set(name, given)
+    registry.queries()["ag16_concurrency"](session, SF)
+    assert session.conf.get(name) == str(kept)
