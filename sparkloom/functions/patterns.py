@@ -1,7 +1,8 @@
 """Many patterns at once: one automaton for all of them, so that the time of a text does not grow with their number.
 
 Strings are searched with an Aho-Corasick automaton, bad words of tokens with a tree of their heads, read backwards. Both are built once in
-each worker from a broadcast list, whose size is checked against ``MOST_BYTES``.
+each worker from a broadcast list, whose size is checked against ``MOST_BYTES``. Patterns beyond a list are rows of a table: ``candidates`` are
+the places of a text that may hold one, told by a filter of bounded size, for a join that decides.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import uuid
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
@@ -19,6 +21,11 @@ from sparkloom.ship import ship
 
 #: Characters or tokens of all patterns together, times their bytes in memory.
 MOST_BYTES = 64 << 20
+#: Bits of a filter for each pattern, of which it sets two, so that one of some 4,000 other places becomes a candidate; logarithms of the bits of
+#: the smallest and largest filter (32 MB: 2 million patterns; beyond them more places become candidates).
+FILTER_BITS, LEAST_BITS, MOST_BITS = 128, 20, 28
+#: Places of a text that are hashed at a time.
+BLOCK = 1 << 16
 
 
 def _broadcast(patterns: list, bytes_each: int) -> tuple[str, Broadcast]:
@@ -107,6 +114,74 @@ def occurrences(text: Column, patterns: list[str]) -> Column:
     return F.arrow_udf(in_pieces(count), "map<string,bigint>")(text)
 
 
+_UP, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+_DOWN = pow(_UP, -1, 1 << 64)
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number and of its inverse, modulo 2**64."""
+    out = np.empty((2, n), np.uint64)
+    out[0], out[1], out[:, 0] = _UP, _DOWN, 1
+    return tuple(np.cumprod(out, axis=1))
+
+
+def _hashes(text: str, lengths: list[int]) -> list[np.ndarray]:
+    """For each length, the hashes of the windows of that length in order: differences of two sums over the text."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    up, down = _powers(max(2 * BLOCK, 1 << len(codes).bit_length()))
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum((codes + np.uint64(1)) * up[: len(codes)], out=sums[1:])
+    out = []
+    for length in lengths:
+        n = max(len(sums) - length, 0)
+        hashes = (sums[length:] - sums[:n]) * down[:n]
+        out.append((hashes ^ (hashes >> np.uint64(32))) * _MIX)
+    return out
+
+
+def _bits(hashes: np.ndarray, log_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each hash in a filter."""
+    return hashes >> np.uint64(64 - log_bits), hashes >> np.uint64(64 - 2 * log_bits) & np.uint64((1 << log_bits) - 1)
+
+
+def _is_set(held: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (held[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def filter_bits(pattern: Column, log_bits: int) -> Column:
+    """The bits of a pattern in a filter of ``2 ** log_bits`` bits; null for null."""
+
+    def bits(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else [int(b[0]) for b in _bits(_hashes(v, [len(v)])[0], log_bits)] for v in values.to_pylist()], pa.list_(pa.int64()))
+
+    return F.arrow_udf(in_pieces(bits), "array<bigint>")(pattern)
+
+
+def candidates(text: Column, lengths: list[int], bits: bytes) -> Column:
+    """array<struct<pattern, at>>: the different substrings of these lengths whose bits are set in the filter, each with the number of characters before
+    its first place. All patterns of the filter that occur are among them. Empty for null. Each length is a pass over the text."""
+    ship(SparkSession.getActiveSession())
+    given = SparkSession.getActiveSession().sparkContext.broadcast(bits)
+    lengths, log_bits = sorted(lengths), len(bits).bit_length() + 2
+
+    def find(values: pa.Array) -> pa.Array:
+        held, out = np.frombuffer(given.value, np.uint8), []
+        for value in values.to_pylist():
+            found: dict[str, int] = {}
+            for first in range(0, len(value or ""), BLOCK):
+                block = value[first : first + BLOCK + lengths[-1] - 1]
+                for length, hashes in zip(lengths, _hashes(block, lengths), strict=True):
+                    one, other = _bits(hashes[:BLOCK], log_bits)
+                    hits = np.flatnonzero(_is_set(held, one))
+                    for at in hits[_is_set(held, other[hits])].tolist():
+                        found.setdefault(block[at : at + length], first + at)
+            out.append([{"pattern": p, "at": at} for p, at in found.items()])
+        return pa.array(out, pa.list_(pa.struct([("pattern", pa.string()), ("at", pa.int32())])))
+
+    return F.arrow_udf(in_pieces(find), "array<struct<pattern:string,at:int>>")(text)
+
+
 def masked_tokens(tokens: Column, bad_words: list[list[int]]) -> Column:
     """The tokens that would complete a bad word, ascending: last tokens of the words whose other tokens end the row. Null for null."""
     name, given = _broadcast(bad_words, 32)

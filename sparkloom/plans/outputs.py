@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions import calls as C
 from sparkloom.functions import grammar as G
 from sparkloom.functions import patterns as A
 from sparkloom.functions import text as T
-from sparkloom.operators import adapters
+from sparkloom.operators import adapters, passages
 from sparkloom.plans.base import TOKENS_SQL, Tables, query, tokens
 
 #: JSON in full.
@@ -104,25 +104,23 @@ def _(t: Tables):
     return t("documents").select("doc_id", adapters.meets(F.col("text"), "grammar", BRACKETS).alias("accepted"), F.length("text").cast("long").alias("n"))
 
 
-def _passages(t: Tables) -> list[str]:
-    """First characters of the benchmark's texts in order, as a bounded list."""
-    rows = t("benchmark").select("item_id", F.left("text", F.lit(12)).alias("s")).orderBy("item_id").limit(100_000)
-    return [r["s"] for r in rows.collect() if r["s"]]
+def _passages(t: Tables) -> DataFrame:
+    """First characters of all the benchmark's texts, ranked by their items."""
+    return t("benchmark").select(F.left("text", F.lit(12)).alias("pattern"), F.col("item_id").alias("rank"))
 
 
 @query("str16_many_stop_strings", """WITH p AS (SELECT left(text, 12) AS s, min(item_id) AS k FROM {benchmark} WHERE length(text) > 0 GROUP BY 1),
 h AS (SELECT doc_id, arg_min(s, k) AS stop FROM {documents}, p WHERE contains(text, s) GROUP BY doc_id)
 SELECT doc_id, stop, CASE WHEN stop IS NULL THEN length(text) ELSE strpos(text, stop) - 1 END AS n FROM {documents} LEFT JOIN h USING (doc_id)""")
 def _(t: Tables):
-    rows = t("documents").select("doc_id", A.stop_at_any(F.col("text"), _passages(t)).alias("r"))
-    return rows.select("doc_id", "r.stop", F.length("r.text").cast("long").alias("n"))
+    rows = t("documents").select("doc_id", "text", F.length("text").alias("n"))
+    return passages.first_stop(rows, "text", _passages(t)).select("doc_id", "stop", F.coalesce("at", "n").cast("long").alias("n"))
 
 
 @query("str16_pattern_counts", """WITH p AS (SELECT DISTINCT left(text, 12) AS s FROM {benchmark} WHERE length(text) > 0)
 SELECT s AS pattern, count(*) AS docs FROM {documents}, p WHERE contains(text, s) GROUP BY s""")
 def _(t: Tables):
-    found = t("documents").select(F.explode(A.occurrences(F.col("text"), _passages(t))).alias("pattern", "n"))
-    return found.groupBy("pattern").agg(F.count("*").alias("docs"))
+    return passages.texts_with(t("documents"), "text", _passages(t)).withColumnRenamed("texts", "docs")
 
 
 @query("jsn11_many_bad_words", f"""WITH t AS ({TOKENS_SQL}), b AS (SELECT DISTINCT tokens[1:4] AS w FROM t WHERE len(tokens) >= 4), h AS (SELECT w[1:3] AS head, list(w[4] ORDER BY w[4]) AS masked FROM b GROUP BY 1)

@@ -90,6 +90,18 @@ def test_stop_strings_give_places_not_texts(spark, monkeypatch):
     assert got == [("éé ", "stop"), ("none", None), (None, None), ("", "stop")]
 
 
+def test_candidates_are_few_and_hold_no_texts(spark, monkeypatch):
+    bits = bytearray(1 << 17)
+    for i in range(1000):
+        for bit in patterns._bits(patterns._hashes(f"{i:012d}", [12])[0], 20):
+            bits[int(bit[0]) // 8] |= 1 << int(bit[0]) % 8
+    run = _udf_of(monkeypatch, lambda: patterns.candidates(F.lit(""), [12], bytes(bits)))
+    out, most = _peak(run, pa.array(["".join(map(chr, range(97, 123))) * 80 + "000000000007"] * 3_000 + [None, ""]))
+    assert out.to_pylist() == [out[0].as_py()] * 3_000 + [[], []]
+    assert {"pattern": "000000000007", "at": 2_080} in out[0].as_py() and len(out[0]) < 4
+    assert out.nbytes < 1 << 20 and most < 8 << 20
+
+
 def test_running_requests_of_a_hot_key_are_cut_into_buckets(spark):
     rows = spark.range(4_000).selectExpr("IF(id % 10 = 0, NULL, 1) AS k", "CAST(id * id % 977 AS DOUBLE) AS start", "CAST(id * id % 977 + id % 13 AS DOUBLE) AS `end`")
     plain, cut = [sorted(map(tuple, metrics.running_requests(rows, ("k",), n).collect()), key=repr) for n in (10**9, 50)]

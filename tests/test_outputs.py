@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import calls, grammar, patterns, tokens
 from sparkloom.functions import text as T
-from sparkloom.operators import adapters, detokenising, scheduling
+from sparkloom.operators import adapters, detokenising, passages, scheduling
 from sparkloom.plans.outputs import JSON_GRAMMAR
 
 
@@ -292,6 +292,31 @@ def test_many_stop_strings_equal_one_by_one(spark):
     assert all(r.m == (None if r.t is None else {p: n for p in ("ab", "é", "aa") if (n := len(re.findall(f"(?={p})", r.t)))}) for r in counts)
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_patterns_of_a_table_equal_those_of_a_list(spark, broadcast):
+    rng, block = random.Random(8), patterns.BLOCK
+    stops = [("".join(rng.choices("abé😀", k=rng.randint(2, 9))), rng.choice([None, *range(60)])) for _ in range(300)] + [("", 0), (None, 1), ("w" * 200, 2)]
+    texts = ["".join(rng.choices("abé😀c ", k=rng.randint(0, 40))) for _ in range(200)] + [None, "", *["x" * n + s for n in (block - 3, 2 * block - 150) for s in ("w" * 200, "éaab")], "w" * 199]
+    rows = spark.createDataFrame([(i % 150, t, {"k": i}) for i, t in enumerate(texts)], "id int, t string, m map<string,int>")
+    table = spark.createDataFrame(stops, "pattern string, rank int")
+    least = {}
+    for s, r in stops:
+        if s and r is not None:
+            least[s] = min(r, least.get(s, r))
+    first = [min(((r, s) for s, r in least.items() if t and s in t), default=(None, None))[1] for t in texts]
+    expected = sorted((i % 150, i, s, None if s is None else texts[i].index(s)) for i, s in enumerate(first))
+    counts = {s: n for s, _ in stops if s and (n := sum(s in (t or "") for t in texts))}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        for listed in (0, passages.LISTED):
+            got = passages.first_stop(rows, "t", table, listed).collect()
+            assert sorted((r.id, r.m["k"], r.stop, r["at"]) for r in got) == expected
+            assert {r.pattern: r.texts for r in passages.texts_with(rows, "t", table, listed).collect()} == counts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(s is None for s in first) > 5 and len(set(first)) > 20 and "w" * 200 in first
+
+
 def test_ten_thousand_patterns_take_one_pass(spark):
     rng = random.Random(6)
     stops = ["".join(rng.choices("abcdefghij", k=8)) for _ in range(10_000)]

@@ -8,10 +8,12 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from sparkloom.plans import registry
-from tests.compare import connect, of_sql
+from tests.compare import connect, of_frame, of_sql
 
 QUERIES = registry.queries()
 
@@ -149,3 +151,18 @@ def test_chunk_response_gives_a_row_for_every_document(spark, tmp_path):
     assert got == expected
     names, rows = of_sql(connect(str(tmp_path)), registry.oracle_sql()["str6_chunk_response"])
     assert {r[0]: (r[2], r[1]) for r in rows} == expected
+
+
+@pytest.mark.parametrize("width", [6, 12])
+def test_passages_of_all_rows_are_searched(tmp_path, spark, width):
+    """Of 120,000 passages, as a list and beyond one: the last alone, a later one before an earlier one, one beyond the basic plane, a short one, none, no text."""
+    passage = [f"{i:0{width}d}" for i in range(120_000)]
+    passage[119_998], passage[119_997] = "é😀" + "y" * (width - 2), "~"
+    pa_table = {"item_id": [7 * i for i in range(120_000)], "text": [p + " more" * (len(p) == 12) for p in passage]}
+    pq.write_table(pa.table(pa_table), tmp_path / "benchmark.parquet")
+    head = [t[:12] for t in pa_table["text"]]
+    texts = ["x " + head[119_999] + " end", f"é {head[110_005]} {head[100_003]} {head[110_005]}", "😀😀" + head[119_998], "z" * 70_000 + head[119_996], "a" + head[119_997], head[3], "none", "", None]
+    pq.write_table(pa.table({"doc_id": range(len(texts)), "text": texts}), tmp_path / "documents.parquet")
+    con = connect(str(tmp_path))
+    for name in ("str16_many_stop_strings", "str16_pattern_counts"):
+        assert of_frame(QUERIES[name](spark, str(tmp_path))) == of_sql(con, registry.oracle_sql()[name])
