@@ -126,18 +126,19 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.cumprod(out, axis=1))
 
 
-def _hashes(text: str, lengths: list[int]) -> list[np.ndarray]:
-    """For each length, the hashes of the windows of that length in order: differences of two sums over the text."""
+def _sums(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over a text's beginnings, of which ``_hashes`` takes differences, and the powers that make these the same at any place."""
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     up, down = _powers(max(2 * BLOCK, 1 << len(codes).bit_length()))
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum((codes + np.uint64(1)) * up[: len(codes)], out=sums[1:])
-    out = []
-    for length in lengths:
-        n = max(len(sums) - length, 0)
-        hashes = (sums[length:] - sums[:n]) * down[:n]
-        out.append((hashes ^ (hashes >> np.uint64(32))) * _MIX)
-    return out
+    return sums, down
+
+
+def _hashes(first: np.ndarray, last: np.ndarray, down: np.ndarray) -> np.ndarray:
+    """The hashes of the substrings between two places each, by the sums there and the powers of the first."""
+    hashes = (last - first) * down
+    return (hashes ^ (hashes >> np.uint64(32))) * _MIX
 
 
 def _bits(hashes: np.ndarray, log_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +154,11 @@ def filter_bits(pattern: Column, log_bits: int) -> Column:
     """The bits of a pattern in a filter of ``2 ** log_bits`` bits; null for null."""
 
     def bits(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else [int(b[0]) for b in _bits(_hashes(v, [len(v)])[0], log_bits)] for v in values.to_pylist()], pa.list_(pa.int64()))
+        texts = values.to_pylist()
+        sums, down = _sums("".join(v or "" for v in texts))
+        edges = np.cumsum([0, *(len(v or "") for v in texts)])
+        both = np.stack(_bits(_hashes(sums[edges[:-1]], sums[edges[1:]], down[edges[:-1]]), log_bits), axis=1).tolist()
+        return pa.array([None if v is None else b for v, b in zip(texts, both, strict=True)], pa.list_(pa.int64()))
 
     return F.arrow_udf(in_pieces(bits), "array<bigint>")(pattern)
 
@@ -171,8 +176,10 @@ def candidates(text: Column, lengths: list[int], bits: bytes) -> Column:
             found: dict[str, int] = {}
             for first in range(0, len(value or ""), BLOCK):
                 block = value[first : first + BLOCK + lengths[-1] - 1]
-                for length, hashes in zip(lengths, _hashes(block, lengths), strict=True):
-                    one, other = _bits(hashes[:BLOCK], log_bits)
+                sums, down = _sums(block)
+                for length in lengths:
+                    n = min(max(len(sums) - length, 0), BLOCK)
+                    one, other = _bits(_hashes(sums[:n], sums[length : length + n], down[:n]), log_bits)
                     hits = np.flatnonzero(_is_set(held, one))
                     for at in hits[_is_set(held, other[hits])].tolist():
                         found.setdefault(block[at : at + length], first + at)

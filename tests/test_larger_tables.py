@@ -91,10 +91,9 @@ def test_stop_strings_give_places_not_texts(spark, monkeypatch):
 
 
 def test_candidates_are_few_and_hold_no_texts(spark, monkeypatch):
-    bits = bytearray(1 << 17)
-    for i in range(1000):
-        for bit in patterns._bits(patterns._hashes(f"{i:012d}", [12])[0], 20):
-            bits[int(bit[0]) // 8] |= 1 << int(bit[0]) % 8
+    bits, given = bytearray(1 << 17), [f"{i:012d}" for i in range(1000)]
+    for bit in _udf_of(monkeypatch, lambda: patterns.filter_bits(F.lit(""), 20))(pa.array(given)).flatten().to_pylist():
+        bits[bit // 8] |= 1 << bit % 8
     run = _udf_of(monkeypatch, lambda: patterns.candidates(F.lit(""), [12], bytes(bits)))
     out, most = _peak(run, pa.array(["".join(map(chr, range(97, 123))) * 80 + "000000000007"] * 3_000 + [None, ""]))
     assert out.to_pylist() == [out[0].as_py()] * 3_000 + [[], []]
